@@ -8,6 +8,7 @@ from collections.abc import Sequence
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from tablewarden.operators.scale import attach
 
@@ -193,6 +194,6 @@ def _porter(word: str) -> str:
     return word
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def porter_stem(words: pd.Series) -> pd.Series:
     return words.map(_porter, na_action="ignore")

@@ -402,7 +402,7 @@ def inventory_crosstab(files: DataFrame, types: Sequence[str]) -> DataFrame:
     rank = (
         F.when(g.startswith("ex"), 1).when(g.startswith("pilot"), 2).when(g == "shared", 3).otherwise(4)
     )
-    wide = files.groupBy("group").pivot("type", list(types)).agg(F.count("*"))
+    wide = files.groupBy("group").pivot("type", list(types)).agg(F.count("type"))
     return wide.select(
         "group", rank.alias("group_rank"), *[F.coalesce(t, F.lit(0)).alias(t) for t in types]
     )

@@ -365,7 +365,7 @@ def type_method_matrix(df: DataFrame, methods: Sequence[str]) -> DataFrame:
         scored.groupBy("type_gt")
         .pivot("type_source", list(methods))
         .agg(
-            F.count("*").alias("n"),
+            F.count("type").alias("n"),
             (100.0 * F.avg((F.col("type_gt") == F.col("type")).cast("double"))).alias("acc"),
         )
     )

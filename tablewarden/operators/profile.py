@@ -135,8 +135,8 @@ def is_date_text(value: Column) -> Column:
     dash = F.regexp_extract(value, r"^\s*([0-9]{4}-[0-9]{1,2}-[0-9]{1,2})", 1)
     slash = F.regexp_extract(value, r"^\s*([0-9]{4}/[0-9]{1,2}/[0-9]{1,2})", 1)
     return F.coalesce(
-        F.try_to_date(F.when(dash != "", dash), F.lit("yyyy-M-d").cast("string")),
-        F.try_to_date(F.when(slash != "", slash), F.lit("yyyy/M/d").cast("string")),
+        F.try_to_date(F.when(dash != "", dash), "yyyy-M-d"),
+        F.try_to_date(F.when(slash != "", slash), "yyyy/M/d"),
     ).isNotNull()
 
 
@@ -173,22 +173,15 @@ def infer_types(cells: DataFrame, by: Sequence[str] = ()) -> DataFrame:
         F.percentile(F.when(filled, clipped), F.lit(0.5), c).alias("mid_len_filled"),
     )
     dates = (
-        first_rows(distinct.where(filled), keys, [F.col("first_ord"), F.col("value")], DATE_SAMPLE)
+        first_rows(distinct.where(value.isNotNull()), keys, [F.col("first_ord"), F.col("value")], DATE_SAMPLE)
         .groupBy(*keys)
-        .agg(F.avg(is_date_text(value).cast("double")).alias("date_filled"))
-    )
-    # the sample of a text column may hold a blank, which is no date
-    blanks = (
-        distinct.where(value.isNotNull() & ~filled)
-        .groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("u_blank"))
+        .agg(F.avg(is_date_text(value).cast("double")).alias("date_share"))
     )
     n_num, n_filled = F.col("n_num"), F.col("n_filled")
     numeric = (n_filled > 0) & (n_num == n_filled)
     n = F.when(numeric | (n_filled == 0), n_filled).otherwise(F.col("n_value"))
     u = F.when(numeric, F.col("u_num")).when(n_filled == 0, F.lit(0)).otherwise(F.col("u_text"))
-    u_filled = F.least(F.col("u_text") - F.coalesce("u_blank", F.lit(0)), F.lit(DATE_SAMPLE))
-    date_share = F.coalesce("date_filled", F.lit(0.0)) * u_filled / F.least(u, F.lit(DATE_SAMPLE))
+    date_share = F.coalesce("date_share", F.lit(0.0))
     mid = F.when(numeric, F.col("mid_len_filled")).otherwise(F.col("mid_len"))
     ok = F.col("n_comma") / n
     col_type = (
@@ -203,8 +196,7 @@ def infer_types(cells: DataFrame, by: Sequence[str] = ()) -> DataFrame:
         .when(ok >= COMMA_SHARE, F.lit("continuous_comma_decimal"))
         .when(ok >= OUTLIER_SHARE, F.lit("continuous_outliers_excluded"))
     )
-    joined = attach(attach(facts, dates, keys), blanks, keys)
-    return joined.select(
+    return attach(facts, dates, keys).select(
         *keys,
         col_type.alias("col_type"),
         numeric.alias("is_numeric"),
@@ -462,8 +454,8 @@ def compare_reported(
 ) -> DataFrame:
     """Reported statistics against computed ones, one row per variable and statistic.
 
-    ``mapping`` names the data column of each reported variable. Names compare
-    in lower case; reported numbers may be text.
+    ``mapping`` gives the ``column_name`` of each ``reported_name``. Column
+    names compare in lower case; reported numbers may be text.
     """
     stats = "n n_missing mean sd min max n_unique".split()
 
@@ -473,7 +465,7 @@ def compare_reported(
             .unpivot("variable", stats, "stat", out)
         )
 
-    named = reported.join(mapping, "reported_name").drop("reported_name")
+    named = attach(reported, mapping, ["reported_name"], "inner")
     both = tall(computed, "column_name", "computed").join(
         tall(named, "column_name", "reported"), ["variable", "stat"]
     )
