@@ -3,15 +3,20 @@
 from __future__ import annotations
 
 import re
+import sys
 from collections.abc import Sequence
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from tablewarden.operators.scale import attach
 
+# the stemmer travels with the job: executors need not have this package installed
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Header names of the two columns every dictionary table has.
 VARIABLE_HEADERS = "var variable name column field variable_name varname item".split()
 LABEL_HEADERS = (

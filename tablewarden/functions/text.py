@@ -104,7 +104,7 @@ def percent(part: Column, whole: Column) -> Column:
 
 
 def format_percent(part: Column, whole: Column) -> Column:
-    value = percent(part, whole)
+    value = F.bround(percent(part, whole), 1)
     return F.when(value.isNull(), F.lit("-")).otherwise(F.format_string("%.1f%%", value))
 
 

@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 from tablewarden.plans import (
+    run_queries,
+    text_queries,
+    match_queries,
     folder_queries,
     metric_queries,
     profile_queries,
@@ -10,6 +13,9 @@ from tablewarden.plans import (
 
 FAMILIES = [
     profile_queries.FAMILY,
+    run_queries.FAMILY,
+    text_queries.FAMILY,
+    match_queries.FAMILY,
     folder_queries.FAMILY,
     metric_queries.FAMILY,
 ]

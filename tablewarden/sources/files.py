@@ -7,18 +7,23 @@ import gzip
 import io
 import lzma
 import re
+import sys
 import tarfile
 import zipfile
 from collections.abc import Iterator, Sequence
 from functools import reduce
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablewarden.functions.paths import basename, ext
 from tablewarden.operators.scale import attach, first_rows
 
+# the archive reader travels with the job: executors need not have this package installed
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 SEPARATORS = [",", ";", "\t", "|"]
 NUMERIC_WORDS = ["NA", "NAN", "NULL", "INF", "-INF", "+INF"]
 ARCHIVES = r"(?i)\.(zip|tar|tgz|tar\.gz|tar\.bz2|tar\.xz|gz|bz2|xz)$"
