@@ -33,7 +33,11 @@ COLUMN_TYPES = (
 
 
 def long_form(
-    df: DataFrame, columns: Sequence[str], keep: Sequence[str] = (), cast: str = "string"
+    df: DataFrame,
+    columns: Sequence[str],
+    keep: Sequence[str] = (),
+    cast: str = "string",
+    positions: Sequence[int] | None = None,
 ) -> DataFrame:
     """One row per (row, column): ``keep…, col_pos, column_name, value``."""
     cells = [
@@ -42,7 +46,7 @@ def long_form(
             F.lit(c).alias("column_name"),
             F.col(f"`{c}`").cast(cast).alias("value"),
         )
-        for i, c in enumerate(columns, 1)
+        for i, c in zip(positions or range(1, len(columns) + 1), columns, strict=True)
     ]
     return df.select(*keep, F.inline(F.array(*cells)))
 
@@ -67,27 +71,42 @@ def moments(v: Column) -> dict[str, Column]:
     }
 
 
+def _kind(df: DataFrame, column: str) -> str:
+    name = df.schema[column].dataType.typeName()
+    if name in ("double", "float"):
+        return "double"
+    return "bigint" if name in ("byte", "short", "integer", "long") else "string"
+
+
 def profile_counts(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """Per column: non-null, missing and distinct values. NaN counts as missing.
 
     A value is counted once per (column, value) before the shuffle, so a value
-    that fills a third of a column travels once per task.
+    that fills a third of a column travels once per task. Numbers are compared
+    as numbers; only what is no number goes through text.
     """
-    numeric = {f.name for f in df.schema if f.dataType.typeName() in ("double", "float")}
-    clean = df.select(
-        *by, *[_clean(F.col(c)).alias(c) if c in numeric else F.col(c) for c in columns]
-    )
-    return (
-        long_form(clean, columns, by)
-        .groupBy(*by, "col_pos", "column_name", "value")
-        .agg(F.count(F.lit(1)).alias("c"))
-        .groupBy(*by, "col_pos", "column_name")
-        .agg(
-            F.coalesce(F.sum(F.when(F.col("value").isNotNull(), F.col("c"))), F.lit(0)).alias("n"),
-            F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("c"))), F.lit(0)).alias("n_missing"),
-            F.count("value").alias("n_unique"),
+    out = None
+    for kind in ("bigint", "double", "string"):
+        chosen = [c for c in columns if _kind(df, c) == kind]
+        if not chosen:
+            continue
+        cells = long_form(df, chosen, by, cast=kind, positions=[columns.index(c) + 1 for c in chosen])
+        value = F.col("value")
+        if kind == "double":
+            # zero and negative zero are one value
+            cells = cells.withColumn("value", _clean(value) + F.lit(0.0))
+        part = (
+            cells.groupBy(*by, "col_pos", "column_name", "value")
+            .agg(F.count(F.lit(1)).alias("c"))
+            .groupBy(*by, "col_pos", "column_name")
+            .agg(
+                F.coalesce(F.sum(F.when(value.isNotNull(), F.col("c"))), F.lit(0)).alias("n"),
+                F.coalesce(F.sum(F.when(value.isNull(), F.col("c"))), F.lit(0)).alias("n_missing"),
+                F.count("value").alias("n_unique"),
+            )
         )
-    )
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def profile_numeric(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:

@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 from tablewarden.session import settle
 
 SLICE_WIDTH = 1_000_000
-SMALL_GROUP = 200_000
+SMALL_GROUP = 20_000
+BROADCAST_ROWS = 20_000
 
 
 def attach(big: DataFrame, facts: DataFrame, on: Sequence[str], how: str = "left") -> DataFrame:
@@ -81,22 +82,41 @@ def positions(
                 "_slice", F.spark_partition_id().cast("bigint")
             )
         )
-    inside = Window.partitionBy(*by, "_slice").orderBy(*cols)
+    # one struct key: nulls equal nulls, and window, sizes and join share one shuffle
+    keyed = sliced.withColumn("_key", F.struct(*by, "_slice"))
+    inside = Window.partitionBy("_key").orderBy(*cols)
     if weight is None:
         local, size = F.row_number().over(inside), F.count(F.lit(1))
     else:
         local = F.sum(weight).over(inside.rowsBetween(Window.unboundedPreceding, Window.currentRow))
         size = F.sum(weight)
-    sizes = sliced.groupBy(*by, "_slice").agg(size.alias("_size"))
-    before = Window.partitionBy(*by).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = keyed.groupBy("_key").agg(size.alias("_size"))
+    before = Window.partitionBy(*[F.col(f"_key.{c}") for c in by]).orderBy("_key._slice")
     starts = sizes.select(
-        *by, "_slice", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start")
+        "_key",
+        F.coalesce(
+            F.sum("_size").over(before.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
+        ).alias("_start"),
     )
-    ranked = sliced.withColumn("_local", local)
     return (
-        attach(ranked, starts, [*by, "_slice"])
+        keyed.withColumn("_local", local)
+        .join(starts, "_key", "left")
         .withColumn(out, (F.col("_local") + F.col("_start")).cast("bigint"))
-        .drop("_slice", "_local", "_start")
+        .drop("_key", "_slice", "_local", "_start")
+    )
+
+
+def small_side(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``df`` marked for broadcast if a count shows at most ``rows`` rows, else as it is.
+
+    For frames that are settled or cheap; the join is a shuffle join beyond.
+    """
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
+def _percentiles(rows: DataFrame, by: list[str], probs: dict[str, float]) -> DataFrame:
+    return rows.groupBy(*by).agg(
+        *[F.percentile("_v", F.lit(float(p))).alias(name) for name, p in probs.items()]
     )
 
 
@@ -112,76 +132,71 @@ def exact_quantiles(
     probs: dict[str, float],
     small: int = SMALL_GROUP,
     accuracy: int = 10_000,
+    at_most: int | None = None,
 ) -> DataFrame:
     """Exact quantiles with linear interpolation, one row per key.
 
     The largest group decides the way. Up to ``small`` values, Spark's
     ``percentile`` holds the group in its buffer. Beyond, a sketch gives for
-    every quantile a narrow pair of fences that must enclose it; one more scan
-    counts what lies below the lower fence and keeps only the values between
-    the two, so no raw value outside the fences is ever shuffled.
+    every quantile a narrow bracket that must enclose it; one more scan counts
+    the values between the brackets and keeps only those inside, so no raw
+    value outside a bracket is ever shuffled. ``at_most``
+    is a bound on the group size the caller already has.
     """
     by = list(by)
     rows = df.select(*by, F.col(value).cast("double").alias("_v")).where(
         F.col("_v").isNotNull() & ~F.isnan("_v")
     )
-    largest = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
-    if largest <= small:
-        return rows.groupBy(*by).agg(
-            *[F.percentile("_v", F.lit(float(p))).alias(name) for name, p in probs.items()]
-        )
-
+    if at_most is not None and at_most <= small:
+        return _percentiles(rows, by, probs)
+    names = sorted(probs, key=probs.get)
     eps = 3.0 / accuracy
-    ends = [float(min(1.0, max(0.0, p + s))) for p in probs.values() for s in (-eps, eps)]
+    ends = [float(min(1.0, max(0.0, probs[n] + s))) for n in names for s in (-eps, eps)]
     fences = settle(
         rows.groupBy(*by).agg(
             F.count(F.lit(1)).alias("_n"),
             F.percentile_approx("_v", F.array(*map(F.lit, ends)), F.lit(accuracy)).alias("_f"),
         )
     )
-    # below `small` values the sketch's slack is too few ranks: keep the group open
-    narrow = F.col("_n") > F.lit(small)
-    picks = []
+    largest = fences.agg(F.max("_n")).first()[0] or 0
+    if largest <= small:
+        return _percentiles(rows, by, probs)
+
+    # Brackets in ascending order. A value inside any is kept; of the others only their number
+    # counts, apart for each gap: `_gap` says how many brackets lie wholly below. In groups of
+    # at most `small` values the slack of the sketch is too few ranks: keep all of them.
+    v, f, everything = F.col("_v"), F.col("_f"), F.col("_n") <= F.lit(small)
+    inside, gap = everything, F.lit(0)
     for i, (p_lo, p_hi) in enumerate(zip(ends[::2], ends[1::2], strict=True)):
-        lo = F.when(narrow & F.lit(p_lo > 0), F.col("_f")[2 * i])
-        hi = F.when(narrow & F.lit(p_hi < 1), F.col("_f")[2 * i + 1])
-        inside = F.coalesce(F.col("_v") <= hi, F.lit(True))
-        below = F.coalesce(F.col("_v") < lo, F.lit(False))
-        picks.append(
-            F.when(
-                inside,
-                F.struct(F.lit(i).alias("q"), F.when(~below, F.col("_v")).alias("v")),
-            )
-        )
+        above = F.lit(p_lo == 0) | (v >= f[2 * i])
+        inside = inside | (above & (F.lit(p_hi == 1) | (v <= f[2 * i + 1])))
+        gap = gap + F.when(~everything & F.lit(p_hi < 1) & (v > f[2 * i + 1]), 1).otherwise(0)
     counted = (
-        attach(rows, fences, by)
-        .select(*by, "_n", F.explode(F.array(*picks)).alias("_p"))
-        .where(F.col("_p").isNotNull())
-        .groupBy(*by, "_n", F.col("_p.q").alias("_q"), F.col("_p.v").alias("_v"))
+        attach(rows, small_side(fences), by)
+        .groupBy(*by, "_n", gap.alias("_gap"), F.when(inside, v).alias("_v"))
         .agg(F.count(F.lit(1)).alias("_c"))
     )
-    keys = [*by, "_q"]
-    order = [F.col("_v").asc_nulls_first()]
-    cum = positions(counted, keys, order, out="_cum", weight="_c", width=None)
-    hit, n = [], F.max("_n")
-    for i, p in enumerate(probs.values()):
-        h = (F.col("_n") - 1) * F.lit(float(p))
+    order = [F.col("_gap"), F.col("_v").asc_nulls_first()]
+    if largest * len(probs) * 3 * eps + small <= SLICE_WIDTH:
+        w = Window.partitionBy(*by).orderBy(*order)
+        cum = counted.withColumn("_cum", F.sum("_c").over(w))
+    else:
+        cum = positions(counted, by, order, out="_cum", weight="_c", width=None)
+    hits = []
+    for name in names:
+        h = (F.col("_n") - 1) * F.lit(float(probs[name]))
         for side, k in (("lo", F.floor(h)), ("hi", F.ceil(h))):
             covers = (F.col("_cum") > k) & (F.col("_cum") - F.col("_c") <= k)
-            hit.append(F.max(F.when((F.col("_q") == i) & covers, F.col("_v"))).alias(f"_{side}{i}"))
+            hits.append(F.max(F.when(covers, v)).alias(f"_{side}_{name}"))
+
+    def value_of(name: str) -> Column:
+        low, high = F.col(f"_lo_{name}"), F.col(f"_hi_{name}")
+        lost = F.raise_error(F.lit("quantile outside its bracket")).cast("double")
+        found = _interpolate(F.col("_n"), probs[name], low, high)
+        return F.when(low.isNull() | high.isNull(), lost).otherwise(found).alias(name)
+
     return (
         cum.groupBy(*by)
-        .agg(n.alias("_n"), *hit)
-        .select(
-            *by,
-            *[
-                F.when(
-                    F.col(f"_lo{i}").isNull() | F.col(f"_hi{i}").isNull(),
-                    F.raise_error(F.lit("quantile outside its fences")).cast("double"),
-                )
-                .otherwise(_interpolate(F.col("_n"), p, F.col(f"_lo{i}"), F.col(f"_hi{i}")))
-                .alias(name)
-                for i, (name, p) in enumerate(probs.items())
-            ],
-        )
+        .agg(F.max("_n").alias("_n"), *hits)
+        .select(*by, *[value_of(name) for name in probs])
     )
