@@ -163,9 +163,9 @@ def exact_quantiles(
         return _percentiles(rows, by, probs)
 
     # Brackets in ascending order. A value inside any is kept; of the others only their number
-    # counts, apart for each gap: `_gap` says how many brackets lie wholly below. In groups of
-    # at most `small` values the slack of the sketch is too few ranks: keep all of them.
-    v, f, everything = F.col("_v"), F.col("_f"), F.col("_n") <= F.lit(small)
+    # counts, apart for each gap: `_gap` says how many brackets lie wholly below. In groups not
+    # larger than the accuracy the slack of the sketch is below two ranks: keep all of them.
+    v, f, everything = F.col("_v"), F.col("_f"), F.col("_n") <= F.lit(max(small, accuracy))
     inside, gap = everything, F.lit(0)
     for i, (p_lo, p_hi) in enumerate(zip(ends[::2], ends[1::2], strict=True)):
         above = F.lit(p_lo == 0) | (v >= f[2 * i])
@@ -177,7 +177,7 @@ def exact_quantiles(
         .agg(F.count(F.lit(1)).alias("_c"))
     )
     order = [F.col("_gap"), F.col("_v").asc_nulls_first()]
-    if largest * len(probs) * 3 * eps + small <= SLICE_WIDTH:
+    if largest * len(probs) * 3 * eps + max(small, accuracy) <= SLICE_WIDTH:
         w = Window.partitionBy(*by).orderBy(*order)
         cum = counted.withColumn("_cum", F.sum("_c").over(w))
     else:
