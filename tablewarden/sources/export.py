@@ -66,7 +66,7 @@ def _text(xml: Column, path: str) -> Column:
 
 def _texts(xml: Column, path: str) -> Column:
     return F.filter(
-        F.transform(F.xpath(xml, F.lit(f"{path}/text()")), F.trim), lambda x: x != ""
+        F.transform(F.xpath(xml, F.lit(f"{path}/text()")), lambda v: F.trim(v)), lambda x: x != ""
     )
 
 
@@ -133,7 +133,7 @@ def property_values(columns: DataFrame, labels: DataFrame, coverage: DataFrame |
     numeric = F.col("col_type").isin(NUMERIC_TYPES)
     stats = F.struct(*[F.col(s) for s in STATISTICS])
     values = F.array_distinct(
-        F.filter(F.transform(F.split("sample_values", r"\|"), F.trim), lambda v: v != "")
+        F.filter(F.transform(F.split("sample_values", r"\|"), lambda v: F.trim(v)), lambda v: v != "")
     )
     pattern = F.when(F.col("col_type").isin(CATEGORICAL_TYPES) & (F.size(values) > 0), F.array_join(values, "|"))
 
