@@ -27,6 +27,7 @@ from tablewarden.functions.paths import (
     type_from_extension,
 )
 from tablewarden.operators.scale import attach, first_rows, positions
+from tablewarden.session import settle
 
 FOLDER_LIMIT = 20
 BUILD_MIN_FILES = 100
@@ -155,8 +156,10 @@ def extension_groups(members: DataFrame, route_below: int = FOLDER_LIMIT, sample
     Groups below ``route_below`` are sent through one by one.
     """
     keys = ["paper_id", "aggregate_folder", "ext"]
-    rows = members.where(F.col("aggregate_folder").isNotNull()).select(
-        "paper_id", "aggregate_folder", ext(F.col("rel_path")).alias("ext"), "rel_path", "by_participant"
+    rows = settle(
+        members.where(F.col("aggregate_folder").isNotNull()).select(
+            "paper_id", "aggregate_folder", ext(F.col("rel_path")).alias("ext"), "rel_path", "by_participant"
+        )
     )
     parent = basename(dirname(F.col("rel_path")))
     sizes = rows.groupBy(*keys).agg(

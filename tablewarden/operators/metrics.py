@@ -2,7 +2,8 @@
 
 ``confusion`` aggregates the scored rows once, with map-side combine; what
 follows works on at most classes × classes cells per key, whatever the size of
-the largest repository.
+the largest repository. Operators that use the counts more than once settle
+them, so the scored rows are read a single time.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from tablewarden.operators.scale import (
     first_rows,
     positions,
 )
+from tablewarden.session import settle
 
 
 
@@ -105,6 +107,7 @@ def cm_stats(cells: DataFrame, by: Sequence[str] = (), policy: str = "eval") ->
 
 def class_metrics(cells: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Per class: TP, FP, FN, TN, rates, and the class most confused with it each way."""
+    cells = settle(cells)
     margins = class_margins(cells, by)
     totals = margins.groupBy(*by).agg(F.sum("truth").alias("_n"))
     wrong = cells.where(F.col("gt") != F.col("pred"))
@@ -152,45 +155,53 @@ def micro_f1(cells: DataFrame, by: Sequence[str] = (), sentinel: str | None = No
     return sums.select(*by, "tp", "fp", "fn", F.coalesce(score, F.lit(0.0)).alias("micro_f1"))
 
 
-def field_accuracy(df: DataFrame, by: Sequence[str], **fields: tuple[Column, Column, Column]) -> DataFrame:
-    """Accuracy in percent per field given as (scope, correct, counted)."""
-    return df.groupBy(*by).agg(
-        *[
-            _pct(F.count_if(scope & F.coalesce(right, F.lit(False))), F.count_if(scope & counted)).alias(name)
-            for name, (scope, right, counted) in fields.items()
-        ]
-    )
-
-
 def repository_metrics(df: DataFrame, min_files: int = 2) -> DataFrame:
-    """One row per repository: agreement, accuracies, most frequent error and its extension."""
+    """One row per repository: agreement, accuracies, most frequent error and its extension.
+
+    All of it comes from one count per (repository, true class, predicted
+    class, extension) that also carries the hits of the other fields.
+    """
     by = ["paper_id"]
-    cells = confusion(df, "type_gt", "type", by)
+    data = F.col("type_gt") == "data"
+    fields = {
+        "group": ("group_acc", F.lit(True)),
+        "data_granularity": ("granularity_acc", data),
+        "data_format": ("format_acc", data),
+    }
+    hits = []
+    for name, (_, scope) in fields.items():
+        hits += [
+            F.count_if(scope & F.col(f"{name}_gt").isNotNull()).alias(f"_n_{name}"),
+            F.count_if(scope & (F.col(name) == F.col(f"{name}_gt"))).alias(f"_ok_{name}"),
+        ]
+    counts = settle(
+        df.groupBy(*by, F.col("type_gt").alias("gt"), F.col("type").alias("pred"), ext_or_none(F.col("rel_path")).alias("e"))
+        .agg(F.count("*").alias("n"), *hits)
+    )
+    cells = (
+        counts.where(F.col("gt").isNotNull() & F.col("pred").isNotNull())
+        .groupBy(*by, "gt", "pred")
+        .agg(F.sum("n").alias("n"))
+    )
     stats = cm_stats(cells, by, "report").where(F.col("n") >= min_files)
-    true, data = F.lit(True), F.coalesce(F.col("type_gt") == "data", F.lit(False))
-
-    def field(name: str, scope: Column) -> tuple[Column, Column, Column]:
-        return scope, F.col(name) == F.col(f"{name}_gt"), F.col(f"{name}_gt").isNotNull()
-
-    accuracy = field_accuracy(
-        df,
-        by,
-        group_acc=field("group", true),
-        granularity_acc=field("data_granularity", data),
-        format_acc=field("data_format", data),
+    accuracy = counts.groupBy(*by).agg(
+        *[_pct(F.sum(f"_ok_{name}"), F.sum(f"_n_{name}")).alias(out) for name, (out, _) in fields.items()]
     )
-    wrong = cells.where(F.col("gt") != F.col("pred"))
     pair = F.concat(F.col("gt"), F.lit("→"), F.col("pred"))
-    top = wrong.groupBy(*by).agg(
-        F.min_by(
-            F.concat(pair, F.lit(" ("), F.col("n").cast("string"), F.lit(")")),
-            F.struct(-F.col("n"), pair),
-        ).alias("top_err")
+    top = (
+        cells.where(F.col("gt") != F.col("pred"))
+        .groupBy(*by)
+        .agg(
+            F.min_by(
+                F.concat(pair, F.lit(" ("), F.col("n").cast("string"), F.lit(")")),
+                F.struct(-F.col("n"), pair),
+            ).alias("top_err")
+        )
     )
     exts = (
-        df.where(F.col("type_gt") != F.col("type"))
-        .groupBy(*by, ext_or_none(F.col("rel_path")).alias("e"))
-        .agg(F.count("*").alias("n"))
+        counts.where(F.col("gt") != F.col("pred"))
+        .groupBy(*by, "e")
+        .agg(F.sum("n").alias("n"))
         .groupBy(*by)
         .agg(F.min_by("e", F.struct(-F.col("n"), F.col("e"))).alias("top_ext"))
     )
@@ -210,7 +221,7 @@ def averaged(df: DataFrame, by: Sequence[str], *names: str) -> DataFrame:
 def pooled_and_averaged(df: DataFrame, by: Sequence[str] = (), policy: str = "eval") -> DataFrame:
     """Pooled and repository-averaged accuracy, macro F1 and micro F1 side by side."""
     by = list(by)
-    cells = confusion(df, "type_gt", "type", [*by, "paper_id"])
+    cells = settle(confusion(df, "type_gt", "type", [*by, "paper_id"]))
     pooled_cells = cells.groupBy(*by, "gt", "pred").agg(F.sum("n").alias("n"))
 
     def both(c: DataFrame, keys: list[str]) -> DataFrame:
@@ -226,7 +237,7 @@ def pooled_and_averaged(df: DataFrame, by: Sequence[str] = (), policy: str = "ev
 def class_f1_averaged(df: DataFrame, by: Sequence[str] = (), policy: str = "report") -> DataFrame:
     """Per class: repository-averaged F1, its deviation, repositories, difference to pooled."""
     by = list(by)
-    cells = confusion(df, "type_gt", "type", [*by, "paper_id"])
+    cells = settle(confusion(df, "type_gt", "type", [*by, "paper_id"]))
     each = class_margins(cells, [*by, "paper_id"]).withColumn("f1", f1(policy))
     mean = each.groupBy(*by, "cls").agg(
         F.avg("f1").alias("avg_f1"), F.stddev_samp("f1").alias("sd_f1"), F.count("f1").alias("n_repos")
@@ -243,7 +254,7 @@ def weighted_confusion(df: DataFrame, gt: str, pred: str, min_files: int = 1) ->
     shares over the number of repositories with that class. Cells never seen
     anywhere are listed with zero, from the (closed) set of levels.
     """
-    cells = confusion(df, gt, pred, ["paper_id"])
+    cells = settle(confusion(df, gt, pred, ["paper_id"]))
     if min_files > 1:
         sizes = cells.groupBy("paper_id").agg(F.sum("n").alias("_size"))
         cells = attach(cells, sizes, ["paper_id"]).where(F.col("_size") >= min_files).drop("_size")
@@ -267,7 +278,7 @@ def weighted_confusion(df: DataFrame, gt: str, pred: str, min_files: int = 1) ->
 def config_summary(df: DataFrame, classes: Sequence[str]) -> DataFrame:
     """Per run configuration: mean of each metric and of each class's F1 over repositories."""
     keys = ["config", "paper_id"]
-    cells = confusion(df, "type_gt", "type", keys)
+    cells = settle(confusion(df, "type_gt", "type", keys))
     stats = cm_stats(cells, keys, "eval")
     means = stats.groupBy("config").agg(
         F.count("*").alias("n_repos"),
@@ -286,7 +297,7 @@ def config_summary(df: DataFrame, classes: Sequence[str]) -> DataFrame:
 
 def top_pairs(cells: DataFrame, k: int, by: Sequence[str] = ()) -> DataFrame:
     """The ``k`` most frequent confusions with their share of all errors."""
-    wrong = cells.where(F.col("gt") != F.col("pred"))
+    wrong = settle(cells.where(F.col("gt") != F.col("pred")))
     total = wrong.groupBy(*by).agg(F.sum("n").alias("_all"))
     ranked = [F.col("n").desc(), F.col("gt"), F.col("pred")]
     top = first_rows(wrong, by, ranked, k) if by else wrong.orderBy(*ranked).limit(k)
@@ -324,7 +335,7 @@ def accuracy_by(
     from grouping sets over the per-repository counts, so the rows are read once.
     """
     known = df.where(F.col(key).isNotNull())
-    counts = known.groupBy(key, "paper_id").agg(
+    counts = settle(known.groupBy(key, "paper_id").agg(
         *[
             e
             for name, gt, pred in fields
@@ -333,7 +344,7 @@ def accuracy_by(
                 F.count_if(F.col(gt) == F.col(pred)).alias(f"_ok_{name}"),
             )
         ]
-    )
+    ))
     sums = [F.sum(c).alias(c) for c in counts.columns if c.startswith("_")]
     per_repo = counts
     if total:
@@ -352,7 +363,7 @@ def accuracy_by(
             )
         ],
     )
-    scored = known.agg(F.count_if(F.col(fields[0][1]).isNotNull() & F.col(fields[0][2]).isNotNull()).alias("_all"))
+    scored = counts.agg(F.sum(f"_n_{first}").alias("_all"))
     return pooled.join(F.broadcast(scored)).select(
         "*", _pct(F.col("n_files"), F.col("_all")).alias("coverage")
     ).drop("_all")
@@ -380,7 +391,7 @@ def confused_with(cells: DataFrame, cls: str) -> DataFrame:
     """False positives and negatives of one class by the other class, with shares."""
     wrong = cells.where((F.col("gt") != F.col("pred")) & ((F.col("gt") == cls) | (F.col("pred") == cls)))
     fp = F.col("pred") == cls
-    parts = (
+    parts = settle(
         wrong.groupBy(
             F.when(fp, F.lit("fp")).otherwise(F.lit("fn")).alias("kind"),
             F.when(fp, F.col("gt")).otherwise(F.col("pred")).alias("other"),
@@ -451,7 +462,7 @@ def missingness(df: DataFrame, fields: Sequence[str]) -> DataFrame:
         F.struct(F.lit(f).alias("field"), F.col(f"{f}_gt").alias("g"), F.col(f).alias("p")) for f in fields
     ]
     tall = df.select("config", F.inline(F.array(*cells))).where(F.col("g").isNotNull())
-    counts = tall.groupBy("config", "field", "g", "p").agg(F.count("*").alias("n"))
+    counts = settle(tall.groupBy("config", "field", "g", "p").agg(F.count("*").alias("n")))
     keys = ["config", "field"]
     n, p = F.col("n"), F.col("p")
     head = counts.groupBy(*keys).agg(
@@ -531,9 +542,8 @@ def average_rank(df: DataFrame, value: str, out: str) -> DataFrame:
 
 def size_effect(per_repo: DataFrame, size: str, metric: str, min_size: int = 20) -> DataFrame:
     """Spearman of size and metric (large repositories, all) and size-weighted Pearson of log size."""
-    rows = per_repo.where(F.col(size).isNotNull() & F.col(metric).isNotNull() & (F.col(size) > 0)).select(
-        F.col(size).cast("double").alias("n"), F.col(metric).alias("y")
-    )
+    known = F.col(size).isNotNull() & F.col(metric).isNotNull() & (F.col(size) > 0)
+    rows = settle(per_repo.where(known).select(F.col(size).cast("double").alias("n"), F.col(metric).alias("y")))
 
     def spearman(df: DataFrame, out: str) -> DataFrame:
         ranks = average_rank(average_rank(df, "n", "rn"), "y", "ry")

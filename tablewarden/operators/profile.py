@@ -109,12 +109,8 @@ def profile_counts(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()
     return out
 
 
-def profile_numeric(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
-    """The twelve statistics per numeric column, one row per column and key.
-
-    Moments come from one wide aggregate (no row is multiplied or shuffled);
-    quantiles from the exact quantile operator.
-    """
+def profile_moments(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """Moments per numeric column from one wide aggregate: no row is multiplied or shuffled."""
     wide = df.groupBy(*by).agg(
         *[
             F.struct(
@@ -127,11 +123,15 @@ def profile_numeric(df: DataFrame, columns: Sequence[str], by: Sequence[str] = (
         F.struct(F.lit(i + 1).alias("col_pos"), F.lit(c).alias("column_name"), F.col(f"_m{i}").alias("m"))
         for i, c in enumerate(columns)
     ]
-    stats = wide.select(*by, F.inline(F.array(*cells))).select(*by, "col_pos", "column_name", "m.*")
+    return wide.select(*by, F.inline(F.array(*cells))).select(*by, "col_pos", "column_name", "m.*")
+
+
+def profile_numeric(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """The twelve statistics per numeric column, one row per column and key."""
     quantiles = exact_quantiles(
         long_form(df, columns, by, cast="double"), [*by, "column_name"], "value", QUANTILES
     )
-    return attach(stats, quantiles, [*by, "column_name"]).withColumn(
+    return attach(profile_moments(df, columns, by), quantiles, [*by, "column_name"]).withColumn(
         "iqr", F.col("p75") - F.col("p25")
     )
 
@@ -261,7 +261,7 @@ def describe_columns(
 ) -> DataFrame:
     """Types with counts, and the twelve statistics for ``continuous…`` columns only."""
     keys = [*by, "col_pos", "column_name"]
-    types = resolve_types(infer_types(cells, by), answers, by)
+    types = settle(resolve_types(infer_types(cells, by), answers, by))
     numeric = F.col("col_type").startswith("continuous")
     values = attach(
         cells.select(*keys, "value"), types.where(numeric).select(*keys, "col_type"), keys, "inner"

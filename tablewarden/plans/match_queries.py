@@ -9,6 +9,7 @@ from tablewarden.operators import corpus as C
 from tablewarden.operators import match as X
 from tablewarden.plans.profile_queries import rounded
 from tablewarden.plans.views import Family
+from tablewarden.session import settle
 from tablewarden.sources import export as E
 
 FAMILY = Family()
@@ -169,7 +170,7 @@ def second_pass(t):
         .agg(F.min("col_pos").alias("ord"))
         .withColumn("codebook_variable", F.expr("'Q_' || CAST(CAST(right(column_name, 1) AS INT) - 3 AS STRING)"))
     )
-    return X.joined_output(X.second_pass(_labels(t), _book(t), pairs)).select(*_OUT.split(", "))
+    return X.joined_output(X.second_pass(settle(_labels(t)), _book(t), pairs)).select(*_OUT.split(", "))
 
 
 COVERAGE = (
@@ -181,8 +182,8 @@ COVERAGE = (
 )
 
 
-def _coverage(t):
-    return X.codebook_coverage(t.v_book, _labels(t))
+def _coverage(t, labels=None):
+    return X.codebook_coverage(t.v_book, labels or _labels(t))
 
 
 @query("coverage", f"WITH {COVERAGE} SELECT paper_id, ord, codebook_variable, match_status FROM cov")
@@ -317,7 +318,7 @@ def type_string(t):
       count(*) FILTER (WHERE p = 100) AS n_full, count(*) FILTER (WHERE p = 0) AS n_none, round(median(p), 6) AS median FROM p""",
 )
 def coverage_distribution(t):
-    return rounded(C.coverage_distribution(C.coverage_per_repository(_coverage(t))))
+    return rounded(C.coverage_distribution(settle(C.coverage_per_repository(_coverage(t)))))
 
 
 @query(
@@ -362,7 +363,8 @@ def _structure(t):
     SELECT paper_id, 'variables_found', CASE WHEN ck = cn THEN 'good' ELSE 'warn' END FROM f WHERE cn > 0""",
 )
 def health_checks(t):
-    return C.health_checks(_structure(t), _labels(t), _coverage(t))
+    labels = settle(_labels(t))
+    return C.health_checks(_structure(t), labels, _coverage(t, labels))
 
 
 @query(
@@ -378,7 +380,8 @@ def health_checks(t):
     FROM str LEFT JOIN lb ON lb.paper_id = str.paper_id LEFT JOIN cv ON cv.paper_id = str.paper_id""",
 )
 def codebook_tiles(t):
-    return rounded(C.codebook_tiles(_structure(t), _labels(t), _coverage(t)))
+    labels = settle(_labels(t))
+    return rounded(C.codebook_tiles(_structure(t), labels, _coverage(t, labels)))
 
 
 @query(
@@ -406,7 +409,8 @@ def dataset_json(t):
     cols = t.v_cols.withColumns(
         {s: F.lit(1.0) for s in ["mean", "sd", "se", "median", "min", "max", "p25", "p75", "iqr", "skewness", "kurtosis"]}
     ).withColumns({"n": F.lit(10), "n_missing": F.lit(0), "sample_values": F.lit("a | b | a")})
-    return E.dataset_lines(E.property_values(cols, _labels(t), _coverage(t)))
+    labels = settle(_labels(t))
+    return E.dataset_lines(settle(E.property_values(cols, labels, _coverage(t, labels))))
 
 
 @query("sidecar_json")

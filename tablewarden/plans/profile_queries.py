@@ -348,7 +348,8 @@ def without_columns(t):
 )
 def reported_vs_computed(t):
     lines = t.lineitem
-    computed = P.profile_table(lines, ["l_quantity", "l_tax"])
+    both = ["l_quantity", "l_tax"]
+    computed = P.profile_counts(lines, both).join(P.profile_moments(lines, both), ["col_pos", "column_name"])
     fixed = "'0' AS n_missing", "'14.4' AS sd", "'1' AS min", "'50' AS max", "'50' AS n_unique"
     facts = lines.agg(
         F.count("*").cast("string").alias("n"),

@@ -10,6 +10,7 @@ from tablewarden.operators import runlog as R
 from tablewarden.operators import stability as S
 from tablewarden.plans.profile_queries import rounded
 from tablewarden.plans.views import CONFIGS, Family
+from tablewarden.session import settle
 
 FAMILY = Family()
 query = FAMILY.add
@@ -301,7 +302,7 @@ def recommend(t):
       CASE WHEN e THEN 'no_data' WHEN a IS NULL AND c IS NULL THEN 'no_codebook' ELSE 'ok' END FROM j""",
 )
 def grand_report(t):
-    stable = S.stability(*_sweep(t))
+    stable = settle(S.stability(*_sweep(t)))
     return rounded(S.grand_report(t.v_runs, stable, stable, _quality(t)))
 
 
