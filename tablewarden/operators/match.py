@@ -344,3 +344,18 @@ def type_string(columns: DataFrame) -> DataFrame:
 
 def coverage_share(coverage: DataFrame) -> DataFrame:
     return attach_grand(coverage.groupBy("match_status").agg(F.count("*").alias("n")), total=F.sum("n"))
+
+
+def documented_columns(columns: DataFrame, labels: DataFrame, structure: DataFrame) -> DataFrame:
+    """Columns with their label outcome and the type and group of their file.
+
+    Keyed by position, since names may repeat within a file.
+    """
+    outcome = labels.select(*COLUMN_KEY, "label", "label_status", "label_method")
+    files = structure.select(
+        "paper_id",
+        F.col("rel_path").alias("source_file"),
+        F.col("type").alias("file_type"),
+        F.col("group").alias("file_group"),
+    )
+    return attach(attach(columns, outcome, COLUMN_KEY), files, ["paper_id", "source_file"])

@@ -256,3 +256,15 @@ def issue_counts(issues: DataFrame) -> DataFrame:
     return issues.groupBy("key", issue_category(F.col("key"), F.col("files")).alias("category")).agg(
         F.count("*").alias("n")
     )
+
+
+def key_sets(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Distinct keys of two frames with the side they occur on: ``left``, ``right`` or ``both``.
+
+    One union and one aggregate give the union, both differences and the
+    intersection at once.
+    """
+    both = a.select(*keys, F.lit(1).alias("_s")).unionByName(b.select(*keys, F.lit(2).alias("_s")))
+    sides = both.groupBy(*keys).agg(F.bit_or("_s").alias("_s"))
+    name = F.when(F.col("_s") == 3, F.lit("both")).when(F.col("_s") == 1, F.lit("left")).otherwise(F.lit("right"))
+    return sides.select(*keys, name.alias("side"))

@@ -19,6 +19,7 @@ from tablewarden.session import settle
 SLICE_WIDTH = 1_000_000
 SMALL_GROUP = 20_000
 BROADCAST_ROWS = 20_000
+BROADCAST_BYTES = 32 << 20
 
 
 def attach(big: DataFrame, facts: DataFrame, on: Sequence[str], how: str = "left") -> DataFrame:
@@ -106,12 +107,14 @@ def positions(
     )
 
 
-def small_side(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` marked for broadcast if a count shows at most ``rows`` rows, else as it is.
+def small_side(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> DataFrame:
+    """``df`` marked for broadcast if its rows and bytes are counted to be few, else as it is.
 
     For frames that are settled or cheap; the join is a shuffle join beyond.
     """
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+    text = F.octet_length(F.to_json(F.struct("*")))
+    seen = df.limit(rows + 1).agg(F.count("*").alias("n"), F.sum(text).alias("b")).first()
+    return F.broadcast(df) if seen["n"] <= rows and (seen["b"] or 0) <= size else df
 
 
 def _percentiles(rows: DataFrame, by: list[str], probs: dict[str, float]) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from tablewarden.plans import (
+    source_queries,
     run_queries,
     text_queries,
     match_queries,
@@ -15,6 +16,7 @@ FAMILIES = [
     profile_queries.FAMILY,
     run_queries.FAMILY,
     text_queries.FAMILY,
+    source_queries.FAMILY,
     match_queries.FAMILY,
     folder_queries.FAMILY,
     metric_queries.FAMILY,

@@ -17,16 +17,25 @@ RUNTIME_SETTINGS = {
 }
 
 
+# Shuffles start with this many partitions per core on a cluster; adaptive execution merges
+# what turns out small, so a high start costs little and keeps partitions within memory.
+PARTITIONS_PER_CORE = 4
+
+
 def tune(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings the operators count on."""
     for key, value in RUNTIME_SETTINGS.items():
         spark.conf.set(key, value)
+    sc = spark.sparkContext
+    if not sc.master.startswith("local"):
+        start = max(int(spark.conf.get("spark.sql.shuffle.partitions")), PARTITIONS_PER_CORE * sc.defaultParallelism)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(start))
     return spark
 
 
 def build_session(app: str = "tablewarden", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings above; ``conf`` keys use ``__`` for dots."""
-    builder = SparkSession.builder.appName(app)
+    builder = SparkSession.builder.appName(app).config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     if master:
         builder = builder.master(master)
     for key, value in RUNTIME_SETTINGS.items():

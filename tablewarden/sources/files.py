@@ -19,7 +19,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablewarden.functions.paths import basename, ext
-from tablewarden.operators.scale import attach, first_rows
+from tablewarden.operators.scale import attach, first_rows, small_side
+from tablewarden.session import settle
 
 # the archive reader travels with the job: executors need not have this package installed
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -52,11 +53,21 @@ def file_inventory(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-def text_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """Lines with their file and an order within it: ``file, ord, line``.
+def decode_lines(lines: DataFrame) -> DataFrame:
+    """Latin-1 text for every file with any line that is not UTF-8; other files stay."""
+    odd = lines.where(~F.is_valid_utf8("line")).select("file").distinct().withColumn("_latin", F.lit(True))
+    line = F.col("line")
+    return (
+        attach(lines, odd, ["file"])
+        .withColumn(
+            "line", F.when(F.col("_latin"), F.decode(line.cast("binary"), "ISO-8859-1")).otherwise(line)
+        )
+        .drop("_latin")
+    )
 
-    A file with any line that is not UTF-8 is decoded as Latin-1 throughout.
-    """
+
+def text_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """Lines with their file and an order within it: ``file, ord, line``."""
     raw = spark.read.option("recursiveFileLookup", "true").text(paths).select(
         F.col("_metadata.file_path").alias("file"),
         F.struct(
@@ -64,15 +75,7 @@ def text_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
         ).alias("ord"),
         F.col("value").alias("line"),
     )
-    odd = raw.where(~F.is_valid_utf8("line")).select("file").distinct().withColumn("_latin", F.lit(True))
-    line = F.col("line")
-    return (
-        attach(raw, odd, ["file"])
-        .withColumn(
-            "line", F.when(F.col("_latin"), F.decode(line.cast("binary"), "ISO-8859-1")).otherwise(line)
-        )
-        .drop("_latin")
-    )
+    return decode_lines(raw)
 
 
 def _usable(line: Column) -> Column:
@@ -104,65 +107,78 @@ def split_line(line: Column, sep: Column) -> Column:
     """Fields of a line; a separator inside double quotes does not split."""
     out = None
     for s in SEPARATORS:
-        parts = F.split(line, re.escape(s) + r'(?=(?:[^"]*"[^"]*")*[^"]*$)')
+        outside = re.escape(s) + r'(?=(?:[^"]*"[^"]*")*[^"]*$)'
+        parts = F.when(line.contains('"'), F.split(line, outside)).otherwise(F.split(line, re.escape(s)))
         out = F.when(sep == s, parts) if out is None else out.when(sep == s, parts)
     return F.transform(
         out, lambda x: F.replace(F.regexp_replace(F.trim(x), '^"|"$', ""), F.lit('""'), F.lit('"'))
     )
 
 
-def detect_header(lines: DataFrame, separators: DataFrame) -> DataFrame:
-    """A file has no header iff its first two usable rows are all numeric.
-
-    Blanks and words for missing count as numeric; with fewer than two rows
-    there is a header.
-    """
-    two = first_rows(lines.where(_usable(F.col("line"))), ["file"], [F.col("ord")], 2)
+def _numeric(x: Column) -> Column:
     number = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+    return (x == "") | F.upper(x).isin(NUMERIC_WORDS) | x.rlike(number)
 
-    def numeric(x: Column) -> Column:
-        return (x == "") | F.upper(x).isin(NUMERIC_WORDS) | x.rlike(number)
 
-    fields = split_line(F.col("line"), F.col("sep"))
+def layout(lines: DataFrame) -> DataFrame:
+    """Per file: ``sep, has_header, head`` (order of the header line) and ``names``.
+
+    A file has no header iff its first two usable rows are all numeric; blanks
+    and words for missing count as numeric. With fewer than two rows there is a
+    header.
+    """
+    sep = sniff_delimiter(lines)
+    two = first_rows(lines.where(_usable(F.col("line"))), ["file"], [F.col("ord")], 2)
+    numbers = F.forall(split_line(F.col("line"), F.col("sep")), _numeric)
     facts = (
-        attach(two, separators, ["file"])
+        attach(two, sep, ["file"])
         .groupBy("file")
-        .agg(F.count("*").alias("_n"), F.bool_and(F.forall(fields, numeric)).alias("_num"))
+        .agg(
+            (F.count("*") == 2).alias("_two"),
+            F.bool_and(numbers).alias("_num"),
+            F.min_by("line", "ord").alias("_first"),
+            F.min("ord").alias("_ord"),
+        )
+    )
+    header = ~F.coalesce(F.col("_two") & F.col("_num"), F.lit(False))
+    return attach(sep, facts, ["file"]).select(
+        "file",
+        "sep",
+        header.alias("has_header"),
+        F.when(header, F.col("_ord")).alias("head"),
+        F.when(header, split_line(F.col("_first"), F.col("sep"))).alias("names"),
     )
-    return facts.select("file", (~((F.col("_n") == 2) & F.col("_num"))).alias("has_header"))
 
 
-def read_cells(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """All delimited files of a collection in long form, whatever their layouts.
+def cells_of_lines(lines: DataFrame) -> DataFrame:
+    """Delimited lines of any number of files in long form, whatever their layouts.
 
     Returns ``file, col_pos, column_name, ord, value``: the input of the type
     and profile operators. Names stay verbatim; a file without a header gets
     ``col_1 …``. Quoted fields must not span lines (see ``read_delimited``).
+    The layouts are broadcast if they are few, so lines are not shuffled; with
+    very many files both sides are joined by file.
     """
-    lines = text_lines(spark, paths)
-    sep = sniff_delimiter(lines)
-    layout = attach(sep, detect_header(lines, sep), ["file"]).withColumn(
-        "has_header", F.coalesce("has_header", F.lit(True))
-    )
-    rows = attach(lines.where(_usable(F.col("line"))), layout, ["file"]).withColumn(
-        "_f", split_line(F.col("line"), F.col("sep"))
-    )
-    heads = first_rows(rows.where("has_header"), ["file"], [F.col("ord")]).select(
-        "file", F.col("ord").alias("_head"), F.col("_f").alias("_names")
-    )
-    body = attach(rows, heads, ["file"]).where(F.col("_head").isNull() | (F.col("ord") > F.col("_head")))
-    cells = body.select("file", "ord", "_names", F.posexplode("_f").alias("_i", "value"))
+    info = small_side(settle(layout(lines)))
+    rows = attach(lines.where(_usable(F.col("line"))), info, ["file"])
+    body = rows.where(F.col("head").isNull() | (F.col("ord") > F.col("head")))
+    fields = split_line(F.col("line"), F.col("sep"))
+    cells = body.select("file", "ord", "names", F.posexplode(fields).alias("_i", "value"))
     name = F.coalesce(
-        F.get("_names", F.col("_i")), F.concat(F.lit("col_"), (F.col("_i") + 1).cast("string"))
+        F.get("names", F.col("_i")), F.concat(F.lit("col_"), (F.col("_i") + 1).cast("string"))
     )
     return cells.select("file", (F.col("_i") + 1).alias("col_pos"), name.alias("column_name"), "ord", "value")
 
 
+def read_cells(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """``cells_of_lines`` over all files below ``paths``."""
+    return cells_of_lines(text_lines(spark, paths))
+
+
 def read_delimited(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
     """One delimited table with sniffed separator, header and encoding, types inferred."""
     lines = text_lines(spark, path)
-    sep = sniff_delimiter(lines)
-    found = attach(sep, detect_header(lines, sep), ["file"]).orderBy("file").first()
+    found = layout(lines).orderBy("file").first()
     raw = spark.read.option("recursiveFileLookup", "true").text(path)
     latin = not raw.where(~F.is_valid_utf8("value")).isEmpty()
     header = found is None or found["has_header"] is not False

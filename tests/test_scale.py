@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tablewarden.operators import scale as S
 from tablewarden.operators.profile import read_budget
+from tablewarden.session import tune
 
 
 def skewed(n=3000, seed=7):
@@ -117,6 +118,36 @@ def test_attach_keeps_null_keys(frame):
     assert out.count() == 3000
 
 
-def test_small_side_falls_back_to_a_shuffle(spark):
-    big = S.small_side(spark.range(100), rows=10)
-    assert "hint" not in big._jdf.queryExecution().analyzed().toString().lower()
+def test_a_hot_key_is_split_when_facts_are_attached(spark):
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        rows = spark.range(60_000, numPartitions=6).select(
+            F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("k"),
+            F.sha2(F.col("id").cast("string"), 256).alias("payload"),
+        )
+        out = S.attach_total(rows, ["k"], n=F.count("*"))
+        assert out.agg(F.max("n"), F.count("*")).first() == (20_000, 60_000)
+        out.write.format("noop").mode("overwrite").save()
+        result = out.collect()
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert len(result) == 60_000 and "skew=true" in plan
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+        tune(spark)
+
+
+def test_small_side_counts_bytes(spark):
+    wide = spark.range(3).select(F.repeat(F.lit("x"), 1000).alias("v"))
+    hinted = lambda df: "broadcast" in df._jdf.queryExecution().logical().toString().lower()
+    assert hinted(S.small_side(wide)) and not hinted(S.small_side(wide, size=2000)) and not hinted(S.small_side(wide, rows=2))

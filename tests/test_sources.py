@@ -29,10 +29,10 @@ def test_sniffing(spark, tmp_path):
         d_dot_dat="1,2\nNA,4\nx,y\n", e_dot_csv="a,b\n", f_dot_csv="#c\n" * 12 + "a;b\n", g_dot_csv="1;2\n3;inf\n",
     )
     lines = S.text_lines(spark, root)
-    sep = S.sniff_delimiter(lines)
-    got = by_name(sep, "sep")
+    found = S.layout(lines)
+    got = by_name(found, "sep")
     assert got == {"a.csv": ";", "b.tsv": "\t", "c.txt": ",", "d.dat": ",", "e.csv": ",", "f.csv": ",", "g.csv": ";"}
-    head = by_name(S.detect_header(lines, sep), "has_header")
+    head = by_name(found, "has_header")
     assert (head["a.csv"], head["b.tsv"], head["d.dat"], head["e.csv"], head["g.csv"]) == (True, True, False, True, False)
 
 
