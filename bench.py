@@ -24,6 +24,7 @@ consistency_checks cm_stats_eval class_metrics per_repo_metrics repo_avg weighte
 method_accuracy binary_field missingness size_quartiles size_effect winner match_labels second_pass coverage
 label_quality health_checks stability run_quality recommend grand_report cross_config repeat_score timing_summary
 slowest_k stage_status upsert funnel repo_summary corpus_composition batch_plan strip_markup parse_answer
+xml_metadata delimited_cells
 """.split()
 
 

@@ -76,7 +76,8 @@ def ext_or_none(path: Column) -> Column:
 
 
 def stem(path: Column) -> Column:
-    return F.regexp_replace(basename(path), r"\.[A-Za-z0-9]+$", "")
+    """The file name without its extension; a name that is only a dot and letters stays."""
+    return F.regexp_replace(basename(path), r"([^.])\.[A-Za-z0-9]+$", "$1")
 
 
 def ancestors(path: Column) -> Column:
@@ -161,7 +162,7 @@ def rebuild_path(root: str, source: Column, paper_id: Column, rel_path: Column)
 def export_keyword(name: Column, limit: int = 60) -> Column:
     """Letters and digits of the name without its extension, at most ``limit``."""
     return F.substring(
-        F.regexp_replace(F.regexp_replace(name, r"\.[A-Za-z0-9]+$", ""), "[^a-zA-Z0-9]", ""), 1, limit
+        F.regexp_replace(stem(name), "[^a-zA-Z0-9]", ""), 1, limit
     )
 
 

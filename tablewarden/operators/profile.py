@@ -150,13 +150,11 @@ def as_comma_number(value: Column) -> Column:
 
 
 def is_date_text(value: Column) -> Column:
-    """A leading calendar date, ``Y-m-d`` or ``Y/m/d``."""
-    dash = F.regexp_extract(value, r"^\s*([0-9]{4}-[0-9]{1,2}-[0-9]{1,2})", 1)
-    slash = F.regexp_extract(value, r"^\s*([0-9]{4}/[0-9]{1,2}/[0-9]{1,2})", 1)
-    return F.coalesce(
-        F.try_to_date(F.when(dash != "", dash), "yyyy-M-d"),
-        F.try_to_date(F.when(slash != "", slash), "yyyy/M/d"),
-    ).isNotNull()
+    """A leading calendar date, ``Y-m-d`` or ``Y/m/d``; the year has one to four digits."""
+    parts = r"^\s*([0-9]{1,4})([-/])([0-9]{1,2})\2([0-9]{1,2})"
+    year, month, day = (F.regexp_extract(value, parts, i) for i in (1, 3, 4))
+    text = F.concat_ws("-", F.lpad(year, 4, "0"), month, day)
+    return F.try_to_date(F.when(year != "", text), "yyyy-M-d").isNotNull()
 
 
 def infer_types(cells: DataFrame, by: Sequence[str] = ()) -> DataFrame:

@@ -23,7 +23,11 @@ BROADCAST_BYTES = 32 << 20
 
 
 def attach(big: DataFrame, facts: DataFrame, on: Sequence[str], how: str = "left") -> DataFrame:
-    """Join ``facts`` (one row per ``on``) to ``big``, nulls matching nulls."""
+    """Join ``facts`` (one row per ``on``) to ``big``, nulls matching nulls.
+
+    Keys that cannot be null on both sides compare by plain equality, so that
+    a partitioning by them is used again.
+    """
     keys = {c: f"_k_{c}" for c in on}
     right = facts.select(
         *[F.col(c).alias(k) for c, k in keys.items()],
@@ -31,7 +35,8 @@ def attach(big: DataFrame, facts: DataFrame, on: Sequence[str], how: str = "left
     )
     cond = None
     for c, k in keys.items():
-        part = F.col(c).eqNullSafe(F.col(k))
+        nullable = big.schema[c].nullable and right.schema[k].nullable
+        part = F.col(c).eqNullSafe(F.col(k)) if nullable else F.col(c) == F.col(k)
         cond = part if cond is None else cond & part
     return big.join(right, cond, how).drop(*keys.values())
 
@@ -107,6 +112,12 @@ def positions(
     )
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """More partitions for work that is heavy per row, if the input has fewer than there are cores."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def small_side(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> DataFrame:
     """``df`` marked for broadcast if its rows and bytes are counted to be few, else as it is.
 

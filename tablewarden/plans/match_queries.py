@@ -367,6 +367,26 @@ def health_checks(t):
     return C.health_checks(_structure(t), labels, _coverage(t, labels))
 
 
+@query(
+    "health_score",
+    f"""
+    WITH {COVERAGE}, {_STRUCT},
+    lb AS (SELECT paper_id, count(*) FILTER (WHERE label_status <> 'labelled') = 0 AS k,
+      coalesce(bool_or(label_method = 'haven_priority'), false) AS emb FROM lab GROUP BY 1),
+    cv AS (SELECT paper_id, count(*) FILTER (WHERE match_status <> 'matched') = 0 AS k,
+      bool_or(parse_method IN ('structured', 'haven')) AS mach FROM cov GROUP BY 1)
+    SELECT str.paper_id AS paper_id,
+      CAST(CAST(readme AS BIGINT) + CAST(books > 0 AS BIGINT) + CAST(books > 0 AND coalesce(mach, false) AS BIGINT)
+        + CAST(coalesce(emb, false) AS BIGINT) + CAST(coalesce(lb.k, false) AS BIGINT) + CAST(coalesce(cv.k, false) AS BIGINT) AS BIGINT) AS n_good,
+      CAST(2 + CAST(books > 0 AS BIGINT) + CAST(coalesce(emb, false) AS BIGINT) + CAST(lb.k IS NOT NULL AS BIGINT)
+        + CAST(cv.k IS NOT NULL AS BIGINT) AS BIGINT) AS n_checks
+    FROM str LEFT JOIN lb ON lb.paper_id = str.paper_id LEFT JOIN cv ON cv.paper_id = str.paper_id""",
+)
+def health_score(t):
+    labels = settle(_labels(t))
+    return C.health_score(C.health_checks(_structure(t), labels, _coverage(t, labels)))
+
+
 @query(
     "codebook_tiles",
     f"""

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 from pyspark.sql import functions as F
 
 from tablewarden.functions import grading as G
@@ -12,7 +14,9 @@ from tablewarden.operators import runlog as R
 from tablewarden.plans.match_queries import MATCH, _labels
 from tablewarden.plans.profile_queries import rounded
 from tablewarden.plans.views import Family
+from tablewarden.session import shared_folder
 from tablewarden.sources import files as S
+from tablewarden.streaming import incremental as I
 
 FAMILY = Family()
 query = FAMILY.add
@@ -150,3 +154,16 @@ def folder_words(t):
 def top_within(t):
     order = [F.col("o_totalprice").desc(), F.col("o_orderkey")]
     return R.top_within(t.orders, ["o_custkey"], order, 3).select("o_custkey", "o_orderkey")
+
+
+@query(
+    "incremental_log",
+    "SELECT event_id, event_type, round(value, 6) AS value FROM {events}",
+)
+def incremental_log(t):
+    """The event table arrives as a stream of files, is logged batch by batch and read back."""
+    folder = f"{shared_folder(t.spark)}/stream-{uuid4().hex}"
+    arriving = I.arrivals(t.spark, f"{t.sf_dir}/events.parquet*", t.events.schema)
+    work = I.append_log(f"{folder}/log", ["event_id"])
+    I.run_available(arriving.select("event_id", "event_type", "value"), work, f"{folder}/state").awaitTermination()
+    return rounded(I.read_log(t.spark, f"{folder}/log", ["event_id"]))

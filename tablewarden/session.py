@@ -45,16 +45,18 @@ def build_session(app: str = "tablewarden", master: str | None = None, **conf: s
     return builder.getOrCreate()
 
 
-def _checkpoint_folder(spark: SparkSession) -> None:
+def shared_folder(spark: SparkSession) -> str:
+    """The checkpoint folder of the cluster; a temporary one only for a local session."""
     sc = spark.sparkContext
     if sc.getCheckpointDir():
-        return
+        return sc.getCheckpointDir()
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         if not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
         folder = tempfile.mkdtemp(prefix="tablewarden-checkpoint-")
     sc.setCheckpointDir(folder)
+    return sc.getCheckpointDir()
 
 
 def settle(df: DataFrame) -> DataFrame:
@@ -64,5 +66,5 @@ def settle(df: DataFrame) -> DataFrame:
     borders, sketch values): a lost executor then re-reads the files instead of
     computing other borders.
     """
-    _checkpoint_folder(df.sparkSession)
+    shared_folder(df.sparkSession)
     return df.checkpoint()

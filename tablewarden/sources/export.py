@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablewarden.operators.scale import attach
+from tablewarden.functions.text import strip_markup
+from tablewarden.operators.scale import attach, spread
 
 NUMERIC_TYPES = [
     "continuous", "continuous_comma_decimal", "continuous_outliers_excluded"
@@ -59,9 +60,8 @@ def export_table(df: DataFrame, path: str) -> dict[str, object]:
     }
 
 
-def _text(xml: Column, path: str) -> Column:
-    found = F.trim(F.xpath_string(xml, F.lit(f"string({path})")))
-    return F.when(found != "", found)
+# a character no XML document can contain
+_MARK = "\x1f"
 
 
 def _texts(xml: Column, path: str) -> Column:
@@ -70,47 +70,83 @@ def _texts(xml: Column, path: str) -> Column:
     )
 
 
+def _inner(xml: Column, tag: str) -> Column:
+    """Text of the first such element of a fragment."""
+    return strip_markup(F.regexp_extract(xml, f"(?s)<{tag}(?:\\s[^>]*)?>(.*?)</{tag}>", 1))
+
+
 def xml_metadata(df: DataFrame, xml: str = "xml") -> DataFrame:
     """Paper metadata of TEI documents as columns; malformed documents give nulls only.
 
     Authors, journal and identifiers are read under the header's source node,
-    so cited works do not count.
+    so cited works do not count. Only the header is parsed, and single values are
+    fetched several at a time; the long body never is.
     """
-    x = F.regexp_replace(F.col(xml), r'\sxmlns(:\w+)?="[^"]*"', "")
+    keep = [c for c in df.columns if c != xml]
+    raw = F.col(xml)
+    start, end = F.instr(raw, "<teiHeader"), F.instr(raw, "</teiHeader>")
+    header = F.when((start > 0) & (end > start), F.substr(raw, start, end - start + 12)).otherwise(raw)
+    bare = F.regexp_replace(header, r'\sxmlns(:\w+)?="[^"]*"', "")
+    shape = F.from_xml("_x", "broken string", {"columnNameOfCorruptRecord": "broken"})
+    clean = (
+        spread(df)
+        .select(*keep, bare.alias("_x"))
+        .withColumn("_x", F.when(shape["broken"].isNull() & (F.trim("_x") != ""), F.col("_x")))
+    )
+    x = F.col("_x")
     src = "//teiHeader//sourceDesc/biblStruct"
-    imprint = f"{src}/monogr/imprint"
-    given = F.xpath(x, F.lit(f"{src}/analytic/author/persName/forename[1]/text()"))
-    family = F.xpath(x, F.lit(f"{src}/analytic/author/persName/surname/text()"))
+    monogr, imprint = f"{src}/monogr", f"{src}/monogr/imprint"
+    page = f"{imprint}/biblScope[@unit='page']"
+    single = {
+        "title": ["//titleStmt/title[@type='main']", "//titleStmt/title[1]"],
+        "doi": [f"{src}//idno[@type='DOI']"],
+        "date": ["//publicationStmt//date[@type='published']/@when", f"{imprint}/date[@type='published']/@when"],
+        "journal": [f"{monogr}/title[@level='j']", f"{monogr}/title[@level='m']"],
+        "volume": [f"{imprint}/biblScope[@unit='volume']"],
+        "issue": [f"{imprint}/biblScope[@unit='issue']"],
+        "first_page": [f"{page}/@from"],
+        "last_page": [f"{page}/@to"],
+        "page_text": [page],
+        "publisher": [f"{imprint}/publisher"],
+        "issn": [f"{monogr}/idno[@type='ISSN']"],
+    }
+    paths = [p for several in single.values() for p in several]
+
+    def together(some: list[str]) -> Column:
+        joined = f", '{_MARK}', ".join(f"string({p})" for p in some)
+        return F.split(F.xpath_string(x, F.lit(f"concat({joined})")), _MARK)
+
+    # an XPath expression may hold a hundred operators, which is enough for five paths
+    groups = [paths[i : i + 5] for i in range(0, len(paths), 5)]
+    parts = clean.withColumn("_p", F.concat(*[together(g) for g in groups]))
+
+    def value(name: str) -> Column:
+        found = [F.trim(F.get("_p", F.lit(paths.index(p)))) for p in single[name]]
+        return F.coalesce(*[F.when(v != "", v) for v in found])
+
+    analytic = F.regexp_extract(x, r"(?s)<sourceDesc.*?<analytic[^>]*>(.*?)</analytic>", 1)
+    people = F.regexp_extract_all(analytic, F.lit(r"(?s)(<persName.*?</persName>)"), F.lit(1))
     names = F.transform(
-        F.arrays_zip(given.alias("g"), family.alias("f")),
-        lambda p: F.trim(F.concat_ws(" ", F.trim(p["g"]), F.trim(p["f"]))),
+        people, lambda p: F.trim(F.concat_ws(" ", _inner(p, "forename"), _inner(p, "surname")))
     )
-    published = F.coalesce(
-        _text(x, "//publicationStmt//date[@type='published']/@when"),
-        _text(x, f"{imprint}/date[@type='published']/@when"),
-    )
-    page = f"{imprint}/biblScope[@unit='page']"
-    start, end = _text(x, f"{page}/@from"), _text(x, f"{page}/@to")
+    first, last = value("first_page"), value("last_page")
     pages = F.when(
-        start.isNotNull(), F.concat(start, F.when(end.isNotNull(), F.concat(F.lit("-"), end)).otherwise(F.lit("")))
-    ).otherwise(_text(x, page))
-    fields = {
-        "title": F.coalesce(_text(x, "//titleStmt/title[@type='main']"), _text(x, "//titleStmt/title[1]")),
-        "abstract": F.nullif(F.array_join(_texts(x, "//abstract//p"), " "), F.lit("")),
-        "authors": F.array_distinct(F.filter(names, lambda n: n != "")),
-        "doi": _text(x, f"{src}//idno[@type='DOI']"),
-        "date": published,
-        "pub_year": F.nullif(F.regexp_extract(published, "^([0-9]{4})", 1), F.lit("")),
-        "journal": F.coalesce(_text(x, f"{src}/monogr/title[@level='j']"), _text(x, f"{src}/monogr/title[@level='m']")),
-        "volume": _text(x, f"{imprint}/biblScope[@unit='volume']"),
-        "issue": _text(x, f"{imprint}/biblScope[@unit='issue']"),
-        "pages": pages,
-        "publisher": _text(x, f"{imprint}/publisher"),
-        "issn": _text(x, f"{src}/monogr/idno[@type='ISSN']"),
-        "keywords": F.array_distinct(_texts(x, "//keywords/term")),
-    }
-    keep = [c for c in df.columns if c != xml]
-    return df.select(*keep, *[e.alias(n) for n, e in fields.items()])
+        first.isNotNull(),
+        F.concat(first, F.when(last.isNotNull(), F.concat(F.lit("-"), last)).otherwise(F.lit(""))),
+    ).otherwise(value("page_text"))
+    year = F.regexp_extract(value("date"), "^([0-9]{4})", 1)
+    return parts.select(
+        *keep,
+        value("title").alias("title"),
+        F.nullif(F.array_join(_texts(x, "//abstract//p"), " "), F.lit("")).alias("abstract"),
+        F.array_distinct(F.filter(names, lambda n: n != "")).alias("authors"),
+        *[value(n).alias(n) for n in ("doi", "date")],
+        F.when(year != "", year).alias("pub_year"),
+        *[value(n).alias(n) for n in ("journal", "volume", "issue")],
+        pages.alias("pages"),
+        *[value(n).alias(n) for n in ("publisher", "issn")],
+        F.array_distinct(_texts(x, "//keywords/term")).alias("keywords"),
+    )
 
 
 def _present(fields: dict[str, Column]) -> Column:

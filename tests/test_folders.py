@@ -116,7 +116,9 @@ def test_path_functions(spark):
         PF.safe_id(F.lit("doi:10/ab")).alias("i"),
         PF.clean_group(F.lit("study1")).alias("g"),
         PF.valid_type(F.lit("datum")).alias("t"),
+        PF.stem(F.lit("a/.gitignore")).alias("s"),
     ).first()
     assert row["w"] == "My_big_bad_folder_of"
     assert row["e"] == "(none)" and row["i"] == "doi_10_ab" and row["g"] == "shared" and row["t"] is False
+    assert row["s"] == ".gitignore"
     assert row["x"] == "granularity-individual_source-Mydatav2_sheet-Sheet1_data.csv"

@@ -51,6 +51,7 @@ def test_type_ladder(spark):
         fraction=["1", "2.5", "3"],
         gaps=["1", " ", "2.5", "3"],
         dates=["2023-01-02", "2023/2/3 noon", "2023-02-30", "2020-12-31"],
+        day_first=["01-02-2020", "31-12-2021", "15-11-2020", "9-9-1999"],
         few_dates=["2023-01-02", "x", "2023-02-30", "2020-12-31"],
         years=["1990", "1991", "1992"],
         logical=["TRUE", "FALSE", None],
@@ -63,7 +64,9 @@ def test_type_ladder(spark):
     want = dict(
         empty="empty", blank="empty", Participant_ID="id", identity="text", one="constant", two="binary",
         three="continuous", twenty="continuous", twentyone="continuous", fraction="continuous", gaps="continuous",
-        dates="date", few_dates="text", years="continuous", logical="binary", comma="continuous_comma_decimal",
+        dates="date", few_dates="text",
+        # read as year 1, month 2, day 20: a date by the prefix rule
+        day_first="date", years="continuous", logical="binary", comma="continuous_comma_decimal",
         outliers="continuous_outliers_excluded", words="text", len40="text", len41="text",
     )
     assert {k: got[k]["col_type"] for k in want} == want

@@ -98,21 +98,23 @@ def test_clean_export(spark, tmp_path):
 def test_metadata_leaves_out_cited_works(spark):
     xml = """<TEI xmlns="http://x"><teiHeader><fileDesc><titleStmt><title type="main">Main</title></titleStmt>
     <publicationStmt><date type="published" when="2016-05">May</date></publicationStmt>
-    <sourceDesc><biblStruct><analytic><author><persName><forename>Ann</forename><surname>A</surname></persName></author>
+    <sourceDesc><biblStruct><analytic><author><persName><surname>Solo &amp; Co</surname></persName></author>
+    <author><persName><forename type="first">Ann</forename><surname>A</surname></persName></author>
     <author><persName><forename>Bo</forename><forename>C</forename><surname>B</surname></persName></author>
-    <author><persName><surname>Solo</surname></persName></author></analytic>
+    </analytic>
     <idno type="DOI">10.1/x</idno><monogr><title level="j">J</title><imprint><biblScope unit="page">5-9</biblScope></imprint></monogr>
     </biblStruct></sourceDesc></fileDesc><profileDesc><abstract><p>One.</p><p>Two.</p></abstract>
     <textClass><keywords><term>k1</term><term>k2</term></keywords></textClass></profileDesc></teiHeader>
     <text><back><listBibl><biblStruct><analytic><author><persName><forename>No</forename><surname>One</surname></persName></author></analytic>
     <idno type="DOI">10.1/other</idno></biblStruct></listBibl></back></text></TEI>"""
-    df = spark.createDataFrame([("p", xml), ("q", None), ("r", "<TEI><teiHeader/></TEI>")], "paper_id string, xml string")
+    df = spark.createDataFrame([("p", xml), ("q", None), ("r", "<TEI><teiHeader/></TEI>"), ("s", "<TEI><teiHeader><a></teiHeader>"),
+                                ("t", "no xml at all"), ("u", "")], "paper_id string, xml string")
     got = {r["paper_id"]: r for r in E.xml_metadata(df).collect()}
     p = got["p"]
-    assert p["title"] == "Main" and p["authors"] == ["Ann A", "Bo B", "Solo"] and p["doi"] == "10.1/x"
+    assert p["title"] == "Main" and p["authors"] == ["Solo & Co", "Ann A", "Bo B"] and p["doi"] == "10.1/x"
     assert (p["date"], p["pub_year"], p["pages"], p["journal"]) == ("2016-05", "2016", "5-9", "J")
     assert p["abstract"] == "One. Two." and p["keywords"] == ["k1", "k2"]
-    assert got["q"]["title"] is None and got["r"]["title"] is None
+    assert all(got[k]["title"] is None and not got[k]["authors"] for k in "qrstu")
 
 
 def test_documents_are_valid_json(spark, tmp_path):
