@@ -152,7 +152,7 @@ def overlay(base: DataFrame, truth: DataFrame) -> DataFrame:
     """
     key = ["paper_id", "rel_path"]
     single = base.groupBy(*key).agg(F.count("*").alias("_n")).where(F.col("_n") == 1)
-    usable = truth.join(single.select(*key), key, "left_semi").withColumn("_gt", F.lit(True))
+    usable = attach(truth, single.select(*key), key, "left_semi").withColumn("_gt", F.lit(True))
     fields = [f"{f}_gt" for f in OVERLAID]
     out = attach(base, usable.select(*key, *fields, "_gt"), key)
     for f in OVERLAID:
@@ -197,7 +197,7 @@ def annotation_status(base: DataFrame, truth: DataFrame) -> DataFrame:
 
 def fully_annotated(base: DataFrame, truth: DataFrame) -> DataFrame:
     done = annotation_status(base, truth).where(F.col("status") == "complete").select("paper_id")
-    return base.join(done, "paper_id", "left_semi")
+    return attach(base, done, ["paper_id"], "left_semi")
 
 
 def consistency_findings(truth: DataFrame) -> DataFrame:

@@ -92,7 +92,7 @@ def software_folders(files: DataFrame, min_files: int = BUILD_MIN_FILES) -> Data
         .select("paper_id", "_dir")
     )
     claims = (
-        cand.join(judged, ["paper_id", "_dir"], "left_semi")
+        attach(cand, judged, ["paper_id", "_dir"], "left_semi")
         .groupBy("paper_id", "rel_path")
         .agg(F.min_by("_dir", F.length("_dir")).alias("_build"))
     )
@@ -130,9 +130,9 @@ def assign_aggregate_folder(files: DataFrame, limit: int = FOLDER_LIMIT) -> Data
     folder if that is a flat aggregate, else null. ``by_participant`` tells which."""
     path = F.col("rel_path")
     people = participant_aggregates(files, limit).select("paper_id", F.col("folder").alias("_dir"))
+    above = files.select("paper_id", "rel_path", F.explode(ancestors(path)).alias("_dir"))
     under = (
-        files.select("paper_id", "rel_path", F.explode(ancestors(path)).alias("_dir"))
-        .join(people, ["paper_id", "_dir"], "left_semi")
+        attach(above, people, ["paper_id", "_dir"], "left_semi")
         .groupBy("paper_id", "rel_path")
         .agg(F.min_by("_dir", F.length("_dir")).alias("_people"))
     )

@@ -14,6 +14,7 @@ from tablewarden.functions.names import normalize_label, normalize_variable
 from tablewarden.operators.scale import attach, attach_grand
 
 RANGE = r"^([A-Za-z]*)\s*([0-9]+)\s*[-–]\s*([0-9]+)$"
+RANGE_STEP = 50_000
 COLUMN_KEY = ["paper_id", "source_file", "col_pos"]
 JOINER = " | "
 
@@ -43,8 +44,9 @@ def expand_ranges(codebook: DataFrame) -> DataFrame:
     the repository can be expanded: then its rows stay as they are.
     """
     text = F.trim(F.col("codebook_variable"))
-    first = F.regexp_extract(text, RANGE, 2).try_cast("bigint")
-    last = F.regexp_extract(text, RANGE, 3).try_cast("bigint")
+    # a bound that is no 32-bit integer makes the range invalid
+    first = F.regexp_extract(text, RANGE, 2).try_cast("int").cast("bigint")
+    last = F.regexp_extract(text, RANGE, 3).try_cast("int").cast("bigint")
     tagged = (
         codebook.withColumn("_is", F.coalesce(F.col("codebook_variable").rlike(RANGE), F.lit(False)))
         .withColumn("_a", F.when(F.col("_is"), first))
@@ -55,11 +57,13 @@ def expand_ranges(codebook: DataFrame) -> DataFrame:
     rows = attach(tagged, able, ["paper_id"]).where(
         ~F.col("_is") | F.col("_ok") | F.col("_any").isNull()
     )
-    numbers = F.when(F.col("_ok"), F.sequence(F.col("_a"), F.col("_b"))).otherwise(
-        F.array(F.lit(None).cast("bigint"))
-    )
+    # a range may be very long: it is unfolded in two steps of bounded arrays
+    a, b, nothing = F.col("_a"), F.col("_b"), F.array(F.lit(None).cast("bigint"))
+    starts = F.when(F.col("_ok"), F.sequence(a, b, F.lit(RANGE_STEP).cast("bigint"))).otherwise(nothing)
+    stop = F.least(b, F.col("_from") + (RANGE_STEP - 1))
+    numbers = F.when(F.col("_ok"), F.sequence(F.col("_from"), stop)).otherwise(nothing)
     prefix = F.regexp_extract(text, RANGE, 1)
-    out = rows.withColumn("_n", F.explode(numbers))
+    out = rows.withColumn("_from", F.explode(starts)).withColumn("_n", F.explode(numbers)).drop("_from")
     return out.withColumn(
         "codebook_variable",
         F.when(F.col("_ok"), F.concat(prefix, F.col("_n").cast("string"))).otherwise(
@@ -206,9 +210,9 @@ def second_pass(labels: DataFrame, codebook: DataFrame, pairs: DataFrame) -> Dat
         .select("paper_id", normalize_variable(F.col("_v")).alias("_var"))
         .distinct()
     )
+    named = codebook.withColumn("_var", normalize_variable(F.col("codebook_variable")))
     free = (
-        codebook.withColumn("_var", normalize_variable(F.col("codebook_variable")))
-        .join(used, ["paper_id", "_var"], "left_anti")
+        attach(named, used, ["paper_id", "_var"], "left_anti")
         .groupBy("paper_id", "_var")
         .agg(
             F.min_by(F.struct("label", "codebook_variable", "codebook_source"), "ord").alias("_hit")

@@ -444,7 +444,7 @@ def unknown_rate(columns: DataFrame, threshold: float = 0.30) -> DataFrame:
 
 def without_columns(runs: DataFrame, columns: DataFrame) -> DataFrame:
     """Successful repositories that have no column at all."""
-    return runs.where("success").join(columns.select("paper_id").distinct(), "paper_id", "left_anti")
+    return attach(runs.where("success"), columns.select("paper_id").distinct(), ["paper_id"], "left_anti")
 
 
 def weighted_type_distribution(columns: DataFrame) -> DataFrame:

@@ -129,7 +129,7 @@ def stage_status(
     the other frames count as present if they hold the repository at all.
     """
     key = ["paper_id"]
-    todo = papers if tracked is None else papers.join(tracked.select("paper_id"), "paper_id", "left_anti")
+    todo = papers if tracked is None else attach(papers, tracked.select("paper_id"), ["paper_id"], "left_anti")
 
     def flag(df: DataFrame | None, out: str, todo: DataFrame) -> DataFrame:
         if df is None:
@@ -187,12 +187,12 @@ def tracker_wide(events: DataFrame, stages: Sequence[str]) -> DataFrame:
 
 def unprocessed(todo: DataFrame, log: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Resume: what the log does not hold yet."""
-    return todo.join(log.select(*keys).distinct(), list(keys), "left_anti")
+    return attach(todo, log.select(*keys).distinct(), keys, "left_anti")
 
 
 def upsert(base: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of ``new`` replace those of ``base`` with the same key."""
-    kept = base.join(new.select(*keys).distinct(), list(keys), "left_anti")
+    kept = attach(base, new.select(*keys).distinct(), keys, "left_anti")
     return kept.unionByName(new, allowMissingColumns=True)
 
 

@@ -25,8 +25,10 @@ BROADCAST_BYTES = 32 << 20
 def attach(big: DataFrame, facts: DataFrame, on: Sequence[str], how: str = "left") -> DataFrame:
     """Join ``facts`` (one row per ``on``) to ``big``, nulls matching nulls.
 
-    Keys that cannot be null on both sides compare by plain equality, so that
-    a partitioning by them is used again.
+    The null-safe comparison is kept for keys without nulls too: it makes Spark
+    exchange the (small) facts once more instead of joining on top of their
+    aggregation, and only a join of two plain exchanges can be split when a key
+    is skewed.
     """
     keys = {c: f"_k_{c}" for c in on}
     right = facts.select(
@@ -35,8 +37,7 @@ def attach(big: DataFrame, facts: DataFrame, on: Sequence[str], how: str = "left
     )
     cond = None
     for c, k in keys.items():
-        nullable = big.schema[c].nullable and right.schema[k].nullable
-        part = F.col(c).eqNullSafe(F.col(k)) if nullable else F.col(c) == F.col(k)
+        part = F.col(c).eqNullSafe(F.col(k))
         cond = part if cond is None else cond & part
     return big.join(right, cond, how).drop(*keys.values())
 

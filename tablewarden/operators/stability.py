@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tablewarden.functions.paths import SENTINEL
 from tablewarden.operators.scale import attach
+from tablewarden.session import settle
 
 
 def pairwise_agreement(
@@ -43,21 +44,28 @@ def stability(runs: DataFrame, rows: DataFrame, by: Sequence[str] = ("paper_id",
     by = list(by)
     ok = runs.where(F.col("status") == "ok").select(*by, "repeat").distinct()
     first = (
-        rows.join(ok, [*by, "repeat"], "left_semi")
+        attach(rows, ok, [*by, "repeat"], "left_semi")
         .groupBy(*by, "repeat", "key")
         .agg(F.min_by("value", "ord").alias("value"))
     )
-    sizes = first.groupBy(*by, "repeat").agg(F.count("*").alias("size"))
     per_key = first.groupBy(*by, "key").agg(
         F.array_sort(F.collect_list(F.struct("repeat", "value"))).alias("_r")
     )
+    values = F.transform("_r", lambda r: r["value"])
+    pattern = F.transform(
+        "_r",
+        lambda r: F.struct(
+            r["repeat"].alias("repeat"),
+            F.array_position(values, r["value"]).alias("v"),
+            r["value"].isNull().alias("nil"),
+        ),
+    )
     # keys seen in the same repeats with the same pattern of equal values count together
-    shared = (
-        per_key.groupBy(*by, F.transform("_r", lambda x: F.struct(
-            x["repeat"].alias("repeat"), F.array_position(F.transform("_r", lambda y: y["value"]), x["value"]).alias("v"),
-            x["value"].isNull().alias("nil"),
-        )).alias("_p"))
-        .agg(F.count("*").alias("c"))
+    shared = settle(per_key.groupBy(*by, pattern.alias("_p")).agg(F.count("*").alias("c")))
+    sizes = (
+        shared.select(*by, "c", F.explode("_p.repeat").alias("repeat"))
+        .groupBy(*by, "repeat")
+        .agg(F.sum("c").alias("size"))
     )
     pairs = shared.select(
         *by,

@@ -68,6 +68,8 @@ def test_ranges(spark):
              ("q9-7", "bad", "a", None, "llm"), ("keep", "k", "a", None, "llm"))
     rows = X.expand_ranges(b).orderBy("ord").collect()
     assert [r["codebook_variable"] for r in rows] == ["V01–V03", "V2-V9x", "keep", "V8", "V9", "V10"]
+    long = X.expand_ranges(book(spark, ("x1-120001", "long", "a", None, "llm"), ("y1-9999999999", "too far", "a", None, "llm")))
+    assert long.count() == 120_001 and long.select("codebook_variable").distinct().count() == 120_001
     stuck = X.expand_ranges(book(spark, ("q9-7", "bad", "a", None, "llm"), ("x", "k", "a", None, "llm"))).collect()
     assert {r["codebook_variable"] for r in stuck} == {"q9-7", "x"}
 
