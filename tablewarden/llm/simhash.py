@@ -127,20 +127,21 @@ def byte_at(lanes: Sequence[Column], position: int) -> Column:
 
 
 def shared_bytes(a: Sequence[Column], b: Sequence[Column]) -> Column:
-    """How many positional bytes two fingerprints share."""
+    """How many positional bytes two fingerprints share: those whose bits all agree."""
     total = F.lit(0)
     for x, y in zip(a, b, strict=True):
-        differ = x.bitwiseXOR(y)
-        for p in range(8):
-            total = total + F.when(byte_at([differ], p) == 0, 1).otherwise(0)
+        folded = x.bitwiseXOR(y)
+        for step in (4, 2, 1):  # the lowest bit of a byte becomes the or of all its bits
+            folded = folded.bitwiseOR(F.shiftrightunsigned(folded, step))
+        total = total + (F.lit(8) - F.bit_count(folded.bitwiseAND(F.lit(0x0101010101010101))))
     return total
 
 
 def candidate_pairs(prints: DataFrame, lanes: list[str], keys: list[tuple[int, ...]], at_least: int) -> DataFrame:
     """Pairs ``a_*``, ``b_*`` of different fingerprints that share ``at_least`` positional bytes.
 
-    ``prints`` has distinct fingerprints in the columns ``lanes`` (longs). A pair is counted in the
-    first list it meets in only, so it comes out once. Lists join as two plain exchanges, which
+    ``prints`` has distinct fingerprints in the columns ``lanes`` (longs). Pairs are tallied where
+    they meet; few are left when they are made distinct. Lists join as two plain exchanges, which
     adaptive execution splits where a list is long.
     """
     cols = [F.col(c) for c in lanes]
@@ -157,19 +158,7 @@ def candidate_pairs(prints: DataFrame, lanes: list[str], keys: list[tuple[int, .
     before = F.lit(False)  # lexicographic a < b, so that each pair is taken in one order
     for x, y in zip(reversed(a), reversed(b), strict=True):
         before = (x < y) | ((x == y) & before)
-    met = F.lit(None).cast("bigint")
-    for k, positions in reversed(list(enumerate(keys))):
-        alike = F.lit(True)
-        for p in positions:
-            alike = alike & (byte_at(a, p) == byte_at(b, p))
-        met = F.when(alike, F.lit(k).cast("bigint")).otherwise(met)
-    width = 8 * len(keys[0])
-    return (
-        left.join(right, "key")
-        .where(before & (shared_bytes(a, b) >= at_least))
-        .where(met == F.shiftright(F.col("key"), width))
-        .drop("key")
-    )
+    return left.join(right, "key").where(before & (shared_bytes(a, b) >= at_least)).drop("key").distinct()
 
 
 def fingerprint_links(prints: DataFrame, bits: int = MAX_BITS) -> DataFrame:
