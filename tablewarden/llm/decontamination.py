@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablewarden.llm.common import fresh, pick, prepare, same, stored, table
-from tablewarden.operators.scale import small_side
+from tablewarden.operators.scale import BROADCAST_ROWS
 
 WINDOW = 8
 # A benchmark window with fewer literal words than this says too little.
@@ -77,6 +77,28 @@ def benchmark_windows(benchmark: DataFrame, item_col: str = "item_id", text_col:
     return windows, items
 
 
+def _hits(rows: DataFrame, windows: DataFrame) -> DataFrame:
+    """(id, own, pos, hash, words) of the windows of ``rows`` (id, own, text) that the benchmark has.
+
+    The benchmark's hashes are broadcast if they are counted to be few: then no text is shuffled, and
+    the words of a hit are cut from the text beside it. Otherwise both sides are shuffled by hash and
+    the texts with hits are joined back.
+    """
+    searched = rows.withColumn("template", template_text(plain_words(F.col("text"))))
+    cut = F.slice(F.split(plain_words(F.col("text")), " "), F.col("pos") + 1, WINDOW).alias("words")
+    hashes = windows.select("hash").distinct()
+    if hashes.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        found = searched.select("id", "own", "text", F.inline(_windows(F.col("template"), "hash")))
+        return found.join(F.broadcast(hashes), "hash", "left_semi").select("id", "own", "pos", "hash", cut).distinct()
+    found = searched.select("id", "own", F.inline(_windows(F.col("template"), "hash")))
+    found = stored(found.join(hashes, "hash", "left_semi").distinct(), "places").withColumnsRenamed({"id": "of", "own": "of_own"})
+    return (
+        rows.dropDuplicates(["id", "own"])
+        .join(found, same(F.col("id"), F.col("of")) & same(F.col("own"), F.col("of_own")))
+        .select("id", "own", "pos", "hash", cut)
+    )
+
+
 def find_leaks(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -96,44 +118,24 @@ def find_leaks(
     windows, items = benchmark_windows(benchmark, item_col)
     windows = stored(windows.distinct(), "benchmark-windows")
     items = stored(items.dropDuplicates(["item", "plain"]), "benchmark-items")
-    # 1. which windows of which documents occur in the benchmark
-    rows = pick(docs, id_col, text_col).withColumn("own", F.xxhash64("text"))
-    searched = rows.select("id", "own", template_text(plain_words(F.col("text"))).alias("template"))
-    searched = searched.select("id", "own", F.inline(_windows(F.col("template"), "hash")))
-    known = small_side(windows.select("hash").distinct())
-    hits = stored(searched.join(known, "hash", "left_semi").distinct(), "hits")
+    # 1. which windows of which documents occur in the benchmark, and the words they hold there
+    hits = stored(_hits(pick(docs, id_col, text_col).withColumn("own", F.xxhash64("text")), windows), "hits")
     # 2. alignments: all pairs of windows of one document and item at one distance
     pairs = hits.join(windows, "hash").select(
-        "id", "own", "item", "pos", "item_pos", (F.col("pos") - F.col("item_pos")).alias("shift")
+        "id", "own", "item", "item_pos", (F.col("pos") - F.col("item_pos")).alias("shift"), "words"
     )
     pairs = stored(pairs, "aligned")
     # 3. slots: the words of both sides where the template has a placeholder
-    wanted = hits.select(F.col("id").alias("of"), F.col("own").alias("hash")).distinct()
-    texts = rows.join(wanted, same(F.col("id"), F.col("of")) & (F.col("own") == F.col("hash")), "left_semi")
-    texts = stored(
-        texts.dropDuplicates(["id", "own"]).select("id", "own", F.split(plain_words(F.col("text")), " ").alias("words")), "leaky"
-    )
     item_words = items.select(
         "item", F.split("plain", " ").alias("item_words"), F.split("template", " ").alias("template")
     )
-    spread = (
-        pairs.select("id", "own", "item", "shift", F.explode(F.sequence("item_pos", F.col("item_pos") + (WINDOW - 1))).alias("at"))
-        .distinct()
-        .join(item_words, "item")
-        .where(F.col("template")[F.col("at")].isin(NAME, NUMBER, UNIT))
-    )
     strip = lambda c: F.lower(F.regexp_replace(c, "^[^\\p{L}\\p{N}]+|[^\\p{L}\\p{N}]+$", ""))
     slots = (
-        spread.withColumnsRenamed({"id": "of", "own": "of_own"})
-        .join(texts, same(F.col("id"), F.col("of")) & (F.col("own") == F.col("of_own")))
-        .select(
-            "id",
-            "own",
-            "item",
-            "shift",
-            strip(F.col("item_words")[F.col("at")]).alias("theirs"),
-            strip(F.get("words", (F.col("at") + F.col("shift")).cast("int"))).alias("ours"),
-        )
+        pairs.join(item_words, "item")
+        .select("id", "own", "item", "shift", "item_pos", "item_words", "template", F.posexplode("words").alias("k", "word"))
+        .withColumn("place", (F.col("item_pos") + F.col("k")).cast("int"))
+        .where(F.col("template")[F.col("place")].isin(NAME, NUMBER, UNIT))
+        .select("id", "own", "item", "shift", strip(F.col("item_words")[F.col("place")]).alias("theirs"), strip(F.col("word")).alias("ours"))
         .distinct()
     )
     # a value of the benchmark with two values in the document breaks the alignment

@@ -269,8 +269,8 @@ def near_links(docs: DataFrame, nodes: DataFrame, words: int = NEAR_WORDS, simil
     wanted = pairs.select(F.col("a").alias("digest")).union(pairs.select(F.col("b").alias("digest"))).distinct()
     held = nodes.join(wanted, "digest", "left_semi").select("digest", F.col("id").alias("head"), "own")
     texts = docs.withColumn("hash", F.xxhash64("text"))
-    sets = (
-        texts.join(held, same(texts["id"], held["head"]) & (texts["hash"] == held["own"]))
+    sets = (  # as many texts as pairs propose: a share of all, so no side to broadcast
+        texts.join(held.hint("merge"), same(texts["id"], held["head"]) & (texts["hash"] == held["own"]))
         .select("digest", "text")
         .mapInArrow(_shingle_sets(words), "digest bigint, shingles array<bigint>")
     )
