@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+from array import array
 from collections.abc import Iterator
 from itertools import chain
 
@@ -26,7 +27,7 @@ from tokenizers.models import BPE, Unigram
 from tablewarden.llm.common import pick, prepare, table
 from tablewarden.llm.token_counts import MODEL, SPACE_MARK, splits_at_spaces
 
-REMEMBERED = 300_000
+REMEMBERED = 600_000
 THREADS = 2
 # Kinds of pieces in the model protobuf.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
@@ -95,38 +96,45 @@ class Codec:
         self.tokenizer = build_tokenizer(model)
         self.reference = sentencepiece.SentencePieceProcessor(model_proto=model)
         self.by_word = splits_at_spaces(model)
-        self.known: dict[str, tuple[list[int], bool, bool]] = {}
+        # ids of each word as the bytes of 32-bit integers, which join without a list of numbers
+        self.known: dict[str, bytes] = {}
+        self.differ: set[str] = set()  # words on which the libraries disagree
+        self.lost: set[str] = set()  # words that decoding does not give back
 
-    def _new(self, texts: list[str]) -> list[tuple[list[int], bool, bool]]:
+    def _new(self, texts: list[str]) -> Iterator[bytes]:
         ids = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         wanted = self.reference.encode(texts, num_threads=1)
         back = self.tokenizer.decode_batch(ids, skip_special_tokens=False)
-        # the marker itself is written as a space by the model, so that is what comes back
-        same = [b == t.replace(SPACE_MARK, " ") for t, b in zip(texts, back, strict=True)]
-        return [(i, i == w, s) for i, w, s in zip(ids, wanted, same, strict=True)]
+        for t, i, w, b in zip(texts, ids, wanted, back, strict=True):
+            if i != w:
+                self.differ.add(t)
+            # the marker itself is written as a space by the model, so that is what comes back
+            if b != t and b != t.replace(SPACE_MARK, " "):
+                self.lost.add(t)
+            yield array("i", i).tobytes()
 
     def encode(self, texts: list[str | None]) -> Iterator[tuple[np.ndarray, bool, bool]]:
         """(ids, parity, round trip) of each text; a null is an empty text."""
         texts = ["" if t is None else t for t in texts]
         split = [t.replace(SPACE_MARK, " ").split(" ") if self.by_word else [""] for t in texts]
         # spaces side by side, first or last form pieces together: such a text is encoded whole
-        plain = ["" not in words for words in split]
-        missing = set(chain.from_iterable(w for w, p in zip(split, plain, strict=True) if p)).difference(self.known)
+        odd = [t for t, words in zip(texts, split, strict=True) if "" in words]
+        split = [[t] if "" in words else words for t, words in zip(texts, split, strict=True)]
+        missing = set(chain.from_iterable(split)).difference(self.known)
         if len(self.known) + len(missing) > REMEMBERED:
             self.known.clear()
-            missing = set(chain.from_iterable(w for w, p in zip(split, plain, strict=True) if p))
+            self.differ.clear()
+            self.lost.clear()
+            missing = set(chain.from_iterable(split))
         fresh = list(missing)
         self.known.update(zip(fresh, self._new(fresh), strict=True))
-        odd = [t for t, p in zip(texts, plain, strict=True) if not p]
-        others = iter(self._new(odd))
-        for words, p in zip(split, plain, strict=True):
-            if not p:
-                ids, parity, back = next(others)
-                yield np.array(ids, np.int32), parity, back
-                continue
-            found = [self.known[w] for w in words]
-            ids = np.fromiter(chain.from_iterable(f[0] for f in found), np.int32)
-            yield ids, all(f[1] for f in found), all(f[2] for f in found)
+        for words in split:
+            ids = np.frombuffer(b"".join(map(self.known.__getitem__, words)), np.int32)
+            yield ids, self.differ.isdisjoint(words), self.lost.isdisjoint(words)
+        for t in odd:  # whole texts are not remembered
+            self.known.pop(t, None)
+            self.differ.discard(t)
+            self.lost.discard(t)
 
 
 ENCODED = "n_tokens bigint, ids array<int>, ids_sha256 string, parity boolean, round_trip boolean"
