@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from sentencepiece import sentencepiece_model_pb2
 
 from tablewarden.llm.common import pick, prepare, table
+from tablewarden.operators.scale import attach
 from tablewarden.session import shared_folder
 
 MODEL = "piece_bpe_32k.model"
@@ -126,9 +127,8 @@ def count_tokens(docs: DataFrame, cache: str, model_path: str, id_col: str = "do
     counted = distinct.mapInArrow(_encode(model), "digest binary, n_tokens bigint")
     counted.write.parquet(f"{cache}/tokenizer={version}/append={uuid.uuid4().hex}")
     known = read_cache(spark, cache, version).groupBy("digest").agg(F.min("n_tokens").alias("n_tokens"))
-    return rows.drop("content").join(known.withColumnRenamed("digest", "of"), F.col("digest") == F.col("of"), "left").select(
-        F.col("id").alias(id_col), "n_bytes", "n_tokens"
-    )
+    counted = attach(rows.drop("content"), known, ["digest"])
+    return counted.select(F.col("id").alias(id_col), "n_bytes", "n_tokens")
 
 
 def op7_token_counts(spark, sf_dir):
