@@ -15,10 +15,10 @@ from pyspark.sql import functions as F
 from tablewarden.session import shared_folder, tune
 
 # A Python worker holds one Arrow batch at a time, so its memory is bounded by rows and by bytes.
-BATCH_ROWS = 4_000
-BATCH_BYTES = 16 << 20
+BATCH_ROWS = 2_000
+BATCH_BYTES = 8 << 20
 # Whole texts are put together to blocks of about this size for numpy.
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
 
 # The bytes of [\x20\x09-\x0D], which never occur inside a multi-byte character.
 SPACES = [9, 10, 11, 12, 13, 32]

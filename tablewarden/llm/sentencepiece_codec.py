@@ -27,7 +27,8 @@ from tokenizers.models import BPE, Unigram
 from tablewarden.llm.common import pick, prepare, table
 from tablewarden.llm.token_counts import MODEL, SPACE_MARK, splits_at_spaces
 
-REMEMBERED = 600_000
+# Words whose ids a worker remembers from task to task.
+REMEMBERED = 250_000
 THREADS = 2
 # Kinds of pieces in the model protobuf.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
@@ -120,30 +121,35 @@ class Codec:
         # spaces side by side, first or last form pieces together: such a text is encoded whole
         odd = [t for t, words in zip(texts, split, strict=True) if "" in words]
         split = [[t] if "" in words else words for t, words in zip(texts, split, strict=True)]
-        missing = set(chain.from_iterable(split)).difference(self.known)
-        if len(self.known) + len(missing) > REMEMBERED:
-            self.known.clear()
-            self.differ.clear()
-            self.lost.clear()
-            missing = set(chain.from_iterable(split))
-        fresh = list(missing)
-        self.known.update(zip(fresh, self._new(fresh), strict=True))
+        missing = list(set(chain.from_iterable(split)).difference(self.known))
+        room = max(0, REMEMBERED - len(self.known))
+        # words met early, which the frequent ones are, stay remembered; the others serve this call
+        self.known.update(zip(missing, self._new(missing), strict=True))
         for words in split:
             ids = np.frombuffer(b"".join(map(self.known.__getitem__, words)), np.int32)
-            yield ids, self.differ.isdisjoint(words), self.lost.isdisjoint(words)
-        for t in odd:  # whole texts are not remembered
+            yield ids, not self.differ or self.differ.isdisjoint(words), not self.lost or self.lost.isdisjoint(words)
+        # nor are whole texts and words that need a mark, which are looked at anew each time
+        for t in chain(odd, missing[room:], self.differ, self.lost):
             self.known.pop(t, None)
-            self.differ.discard(t)
-            self.lost.discard(t)
+        self.differ.clear()
+        self.lost.clear()
 
 
 ENCODED = "n_tokens bigint, ids array<int>, ids_sha256 string, parity boolean, round_trip boolean"
-AT_ONCE = 256
+AT_ONCE = 2048
+
+
+_codecs: dict[str, Codec] = {}  # one per worker process, which runs many tasks
 
 
 def _encoder(model: bytes, with_ids: bool):
+    version = hashlib.sha256(model).hexdigest()
+
     def encode(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        codec = Codec(model)
+        if version not in _codecs:
+            _codecs.clear()
+            _codecs[version] = Codec(model)
+        codec = _codecs[version]
         for texts in parts:
             rows = []
             for at in range(0, len(texts), AT_ONCE):
