@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import uuid
 from collections.abc import Iterator
@@ -74,6 +75,14 @@ def same(left: Column, right: Column) -> Column:
     return left.eqNullSafe(right)
 
 
+def trim() -> None:
+    """Give freed memory back to the system; a worker lives on from stage to stage and would keep it."""
+    pa.default_memory_pool().release_unused()
+    release = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it, others need not
+    if release:
+        release(0)
+
+
 # ---- numpy on Arrow strings -------------------------------------------------------------------
 
 

@@ -24,6 +24,7 @@ from tablewarden.llm.common import (
     rolling,
     span_hash,
     table,
+    trim,
     word_bounds,
 )
 
@@ -109,6 +110,8 @@ def _measure(ngrams: Sequence[int]):
     def measured(texts: pa.Array) -> pa.Array:
         parts = [measure_block(data, off, ngrams) for _, data, off in blocks(texts)]
         columns = [np.concatenate([p[c] for p in parts]) if parts else np.zeros(0, np.int64) for c in names]
+        del parts
+        trim()
         return pa.StructArray.from_arrays([pa.array(c, pa.int64()) for c in columns], names)
 
     return measured

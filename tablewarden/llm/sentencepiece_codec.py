@@ -24,11 +24,11 @@ from sentencepiece import sentencepiece_model_pb2
 from tokenizers import Regex, Tokenizer, decoders, normalizers, pre_tokenizers
 from tokenizers.models import BPE, Unigram
 
-from tablewarden.llm.common import pick, prepare, table
+from tablewarden.llm.common import pick, prepare, table, trim
 from tablewarden.llm.token_counts import MODEL, SPACE_MARK, splits_at_spaces
 
 # Words whose ids a worker remembers from task to task.
-REMEMBERED = 250_000
+REMEMBERED = 150_000
 THREADS = 2
 # Kinds of pieces in the model protobuf.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
@@ -136,7 +136,7 @@ class Codec:
 
 
 ENCODED = "n_tokens bigint, ids array<int>, ids_sha256 string, parity boolean, round_trip boolean"
-AT_ONCE = 2048
+AT_ONCE = 256
 
 
 _codecs: dict[str, Codec] = {}  # one per worker process, which runs many tasks
@@ -167,6 +167,8 @@ def _encoder(model: bytes, with_ids: bool):
                 ],
                 ["n_tokens", "ids", "ids_sha256", "parity", "round_trip"],
             )
+            del rows, ids
+            trim()
 
     encode.__annotations__ = {"parts": Iterator[pa.Array], "return": Iterator[pa.Array]}
     return F.arrow_udf(encode, ENCODED)

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablewarden.llm.common import fresh, mix, pick, prepare, same, stored, table
+from tablewarden.llm.common import fresh, mix, pick, prepare, same, stored, table, trim
 from tablewarden.session import settle
 
 SEED = 42
@@ -87,6 +87,7 @@ def wide_fingerprint(lanes: int = WIDE_LANES, words: int = FEATURE_WORDS):
             with np.errstate(over="ignore"):
                 rows.append([majority(mix(own + np.uint64(i * 0x632BE59BD9B4E019 & (1 << 64) - 1))) for i in range(lanes)])
         values = np.array(rows, np.uint64).view(np.int64).reshape(-1)
+        trim()
         return pa.ListArray.from_arrays(pa.array(np.arange(0, len(values) + 1, lanes), pa.int32()), pa.array(values, pa.int64()))
 
     return fingerprints
@@ -236,6 +237,8 @@ def _shingle_sets(words: int):
             own = [np.unique(shingle_hashes(t, words)).view(np.int64) for t in batch.column("text").to_pylist()]
             kind = pa.list_(pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column("digest"), pa.array(own, kind)], ["digest", "shingles"])
+            del own
+            trim()
 
     return sets
 
