@@ -29,9 +29,13 @@ MODEL_TYPES = {"categorical", "ordinal", "unknown", "llm_error"}
 
 # Tokens per call as base + rate * inputs (in, out) and price per million (in, out).
 CALL_COST = {
-    "120b": ((2415, 24), (161, 52), (0.15, 0.60)),
-    "20b": ((2415, 24), (255, 46), (0.075, 0.30)),
+    "8b": ((2377, 24), (-15, 45), ("0.050", "0.080")),
+    "20b": ((2415, 24), (255, 46), ("0.075", "0.300")),
+    "120b": ((2415, 24), (161, 52), ("0.150", "0.600")),
+    "235b": ((2383, 25), (760, 129), ("0.071", "0.100")),
 }
+# Tokens per call of any other model; its price is not known.
+CALL_TOKENS_DEFAULT = ((2400, 24), (300, 60))
 
 
 def kappa_band(kappa: Column) -> Column:
@@ -73,18 +77,23 @@ def codebook_origin(parse_method: Column, source: Column) -> Column:
 
 
 def call_cost(model: Column, inputs: Column) -> dict[str, Column]:
-    """Tokens in, tokens out (never negative) and price of one call with ``inputs`` items."""
-    tokens_in = tokens_out = price = F.lit(None)
-    for name, ((b_in, r_in), (b_out, r_out), (p_in, p_out)) in CALL_COST.items():
-        t_in = inputs * r_in + b_in
-        t_out = F.greatest(F.lit(0), inputs * r_out + b_out)
-        cost = (t_in * p_in + t_out * p_out) / 1e6
-        hit = model == name
-        tokens_in = F.when(hit, t_in).otherwise(tokens_in)
-        tokens_out = F.when(hit, t_out).otherwise(tokens_out)
-        price = F.when(hit, cost).otherwise(price)
-    return {
-        "tokens_in": tokens_in.cast("bigint"),
-        "tokens_out": tokens_out.cast("bigint"),
-        "price": price.cast("double"),
-    }
+    """Tokens in, tokens out (never negative) and price of one call with ``inputs`` items.
+
+    The price is in millionths, as an exact decimal. Other models have the default's tokens and a
+    null price.
+    """
+
+    def tokens(fit: tuple[int, int]) -> Column:
+        return F.greatest(F.lit(0), inputs * fit[1] + fit[0]).cast("bigint")
+
+    tokens_in, tokens_out = map(tokens, CALL_TOKENS_DEFAULT)
+    price = F.lit(None).cast("decimal(28,3)")
+    for name, (fit_in, fit_out, prices) in CALL_COST.items():
+        parts = [
+            tokens(fit).cast("decimal(18,0)") * F.lit(p).cast("decimal(6,3)")
+            for fit, p in zip((fit_in, fit_out), prices, strict=True)
+        ]
+        tokens_in = F.when(model == name, tokens(fit_in)).otherwise(tokens_in)
+        tokens_out = F.when(model == name, tokens(fit_out)).otherwise(tokens_out)
+        price = F.when(model == name, (parts[0] + parts[1]).cast("decimal(28,3)")).otherwise(price)
+    return {"tokens_in": tokens_in, "tokens_out": tokens_out, "price": price}

@@ -302,9 +302,15 @@ def token_totals(traces: DataFrame) -> DataFrame:
 
 
 def cost_by_step(calls: DataFrame, step: str, model: str, cost: dict[str, Column]) -> DataFrame:
-    """Calls, tokens and price per step and model; ``cost`` comes from ``call_cost``."""
-    return calls.groupBy(step, model).agg(
-        F.count("*").alias("n_calls"), *[F.sum(c).alias(name) for name, c in cost.items()]
+    """Calls, tokens and price per step and model; ``cost`` comes from ``call_cost``.
+
+    Millionths are summed exactly and rounded once. A model without a known price has none here.
+    """
+    millionth = F.lit("0.000001").cast("decimal(7,6)")
+    return (
+        calls.groupBy(step, model)
+        .agg(F.count("*").alias("n_calls"), *[F.sum(c).alias(name) for name, c in cost.items()])
+        .withColumn("price", F.round(F.col("price").cast("decimal(28,3)") * millionth, 6).cast("double"))
     )
 
 

@@ -425,7 +425,7 @@ def csv_codebooks(files: DataFrame) -> DataFrame:
     return files.where((F.col("type") == "codebook") & (F.col("ext") == "csv"))
 
 
-def codebook_files(files: DataFrame, k: int = 10) -> DataFrame:
-    """At most ``k`` codebook or readme files per repository, codebooks first."""
+def codebook_files(files: DataFrame, k: int | None = None) -> DataFrame:
+    """Codebook and readme files; with ``k`` the first so many per repository, codebooks first."""
     docs = files.where(F.col("type").isin("codebook", "readme"))
-    return first_rows(docs, ["paper_id"], [F.col("type"), F.col("ord")], k)
+    return docs if k is None else first_rows(docs, ["paper_id"], [F.col("type"), F.col("ord")], k)

@@ -345,13 +345,12 @@ def assemble_structure(t):
     SELECT 'profile' AS kind, ord FROM {v_scored} WHERE type = 'data' AND data_format = 'tabular'
       AND data_granularity = 'combined' AND type_source <> 'aggregate_sentinel'
     UNION ALL
-    SELECT 'codebook', ord FROM (SELECT ord, row_number() OVER (PARTITION BY paper_id ORDER BY type, ord) AS k FROM {v_scored}
-      WHERE type IN ('codebook', 'readme')) q WHERE k <= 3""",
+    SELECT 'codebook', ord FROM {v_scored} WHERE type IN ('codebook', 'readme')""",
 )
 def candidate_files(t):
     files = t.v_scored
     return D.profiling_candidates(files).select(F.lit("profile").alias("kind"), "ord").unionByName(
-        D.codebook_files(files, k=3).select(F.lit("codebook").alias("kind"), "ord")
+        D.codebook_files(files).select(F.lit("codebook").alias("kind"), "ord")
     )
 
 

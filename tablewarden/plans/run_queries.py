@@ -581,15 +581,18 @@ def token_totals(t):
 @query(
     "call_cost",
     """
-    WITH c AS (SELECT event_type AS step, CASE WHEN event_id % 2 = 0 THEN '120b' ELSE '20b' END AS model, user_id % 30 AS n FROM {events}),
-    k AS (SELECT step, model, 2415 + 24 * n AS ti, CASE WHEN model = '120b' THEN 161 + 52 * n ELSE 255 + 46 * n END AS o FROM c)
+    WITH fits(model, bi, ri, bo, ro, pi, po) AS (VALUES ('8b', 2377, 24, -15, 45, 0.050, 0.080), ('20b', 2415, 24, 255, 46, 0.075, 0.300),
+      ('120b', 2415, 24, 161, 52, 0.150, 0.600), ('235b', 2383, 25, 760, 129, 0.071, 0.100), ('other', 2400, 24, 300, 60, NULL, NULL)),
+    k AS (SELECT event_type AS step, model, greatest(0, bi + ri * (user_id % 30)) AS ti, greatest(0, bo + ro * (user_id % 30)) AS o, pi, po
+      FROM {events} JOIN fits ON model = CASE event_id % 5 WHEN 0 THEN '8b' WHEN 1 THEN '20b' WHEN 2 THEN '120b' WHEN 3 THEN '235b' ELSE 'other' END)
     SELECT step, model, count(*) AS n_calls, CAST(sum(ti) AS BIGINT) AS tokens_in, CAST(sum(o) AS BIGINT) AS tokens_out,
-      round(sum(CASE WHEN model = '120b' THEN ti * 0.15e0 + o * 0.6e0 ELSE ti * 0.075e0 + o * 0.3e0 END) / 1e6, 6) AS price FROM k GROUP BY 1, 2""",
+      CAST(round(CAST(sum(ti) * any_value(CAST(pi AS DECIMAL(6,3))) + sum(o) * any_value(CAST(po AS DECIMAL(6,3))) AS DECIMAL(28,3))
+        * CAST(0.000001 AS DECIMAL(7,6)), 6) AS DOUBLE) AS price
+    FROM k GROUP BY 1, 2""",
 )
 def call_cost(t):
-    calls = t.events.selectExpr(
-        "event_type AS step", "CASE WHEN event_id % 2 = 0 THEN '120b' ELSE '20b' END AS model", "user_id % 30 AS n"
-    )
+    names = "CASE event_id % 5 WHEN 0 THEN '8b' WHEN 1 THEN '20b' WHEN 2 THEN '120b' WHEN 3 THEN '235b' ELSE 'other' END"
+    calls = t.events.selectExpr("event_type AS step", f"{names} AS model", "user_id % 30 AS n")
     return rounded(C.cost_by_step(calls, "step", "model", G.call_cost(F.col("model"), F.col("n"))))
 
 

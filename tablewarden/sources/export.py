@@ -226,7 +226,7 @@ def dataset_lines(values: DataFrame, by: Sequence[str] = ("paper_id", "group"))
         *by, F.lit(0).alias("part"), F.lit("").alias("source_file"), F.lit(0).cast("bigint").alias("col_pos"),
         F.concat(
             F.lit('{"@context":"https://schema.org/","@type":"Dataset","name":'),
-            F.to_json(F.struct(F.concat_ws(" ", *by).alias("n"))).substr(F.lit(6), F.lit(10_000)),
+            F.to_json(F.struct(F.concat_ws(" ", *by).alias("n"))).substr(F.lit(6), F.lit(2_147_483_647)),
         ).alias("_h"),
     ).select(
         *by, "part", "source_file", "col_pos",
@@ -246,13 +246,15 @@ def dataset_lines(values: DataFrame, by: Sequence[str] = ("paper_id", "group"))
     return head.unionByName(body).unionByName(tail)
 
 
-def dataset_documents(values: DataFrame, by: Sequence[str] = ("paper_id", "group"), limit: int = 50_000) -> DataFrame:
-    """Whole documents for the studies with at most ``limit`` variables.
+def dataset_documents(values: DataFrame, by: Sequence[str] = ("paper_id", "group"), limit: int | None = None) -> DataFrame:
+    """Whole documents, one row per study; with ``limit`` only of studies with at most so many variables.
 
-    Larger studies are left to ``write_documents``, which never gathers one.
+    A study is gathered in one row; ``write_documents`` never does that, for studies of any size.
     """
     by = list(by)
-    sizes = values.groupBy(*by).agg(F.count("*").alias("n_variables")).where(F.col("n_variables") <= limit)
+    sizes = values.groupBy(*by).agg(F.count("*").alias("n_variables"))
+    if limit is not None:
+        sizes = sizes.where(F.col("n_variables") <= limit)
     lines = attach(dataset_lines(values, by), sizes, by, "inner")
     ordered = F.array_sort(F.collect_list(F.struct("part", "source_file", "col_pos", "line")))
     return lines.groupBy(*by, "n_variables").agg(
