@@ -167,3 +167,59 @@ def incremental_log(t):
     work = I.append_log(f"{folder}/log", ["event_id"])
     I.run_available(arriving.select("event_id", "event_type", "value"), work, f"{folder}/state").awaitTermination()
     return rounded(I.read_log(t.spark, f"{folder}/log", ["event_id"]))
+
+
+def _written(t) -> str:
+    """Customers as delimited files below ``osf/<nation>/``: tabs or semicolons, with and without a header."""
+    root = f"{shared_folder(t.spark)}/collection-{uuid4().hex}"
+    rows = t.customer.select("c_custkey", "c_name", "c_mktsegment", "c_nationkey")
+    rows = rows.toDF("c_custkey", "c_name", "c_text", "c_nationkey")
+    for part, sep in ((0, ";"), (1, "\t")):
+        rows.where(F.col("c_custkey") % 3 == part).write.csv(f"{root}/osf/n{part}", sep=sep, header=True, quoteAll=True)
+    rows.where("c_custkey % 3 = 2").select("c_custkey", "c_nationkey").write.csv(f"{root}/osf/n2", sep="|")
+    return root
+
+
+@query(
+    "file_inventory",
+    """
+    SELECT CASE WHEN o_orderstatus = 'F' THEN 'osf' ELSE 'dataverse' END AS source, '_p' || CAST(o_custkey % 5 AS VARCHAR) AS paper_id,
+      'txt' AS ext, sum(strlen(CAST(o_orderkey AS VARCHAR)) + 1) AS bytes FROM {orders} GROUP BY 1, 2""",
+)
+def file_inventory(t):
+    """Order keys written as text files of ten repositories, then listed again."""
+    root = f"{shared_folder(t.spark)}/inventory-{uuid4().hex}"
+    rows = t.orders.selectExpr(
+        "CASE WHEN o_orderstatus = 'F' THEN 'osf' ELSE 'dataverse' END AS source", "CAST(o_custkey % 5 AS STRING) AS p", "CAST(o_orderkey AS STRING) AS k"
+    )
+    rows.write.partitionBy("source", "p").text(root)
+    found = S.file_inventory(t.spark, root).where("ext = 'txt'").withColumn("source", F.expr("substring_index(source, '=', -1)"))
+    return found.groupBy("source", F.concat(F.lit("_p"), F.expr("substring_index(paper_id, '=', -1)")).alias("paper_id"), "ext").agg(
+        F.sum("size").alias("bytes")
+    )
+
+
+@query(
+    "read_collection",
+    f"""
+    WITH c AS (SELECT c_custkey % 3 AS p, c_custkey, c_name, c_mktsegment AS c_text, c_nationkey FROM {{customer}}),
+    cells AS (SELECT p, unnest(['c_custkey', 'c_name', 'c_text', 'c_nationkey']) AS column_name,
+        unnest([CAST(c_custkey AS VARCHAR), c_name, c_text, CAST(c_nationkey AS VARCHAR)]) AS value FROM c WHERE p < 2
+      UNION ALL SELECT p, unnest(['col_1', 'col_2']), unnest([CAST(c_custkey AS VARCHAR), CAST(c_nationkey AS VARCHAR)]) FROM c WHERE p = 2)
+    SELECT 'n' || CAST(p AS VARCHAR) AS folder, column_name, value, count(*) AS n FROM cells GROUP BY 1, 2, 3""",
+)
+def read_collection(t):
+    cells = S.read_cells(t.spark, f"{_written(t)}/osf")
+    folder = F.regexp_extract("file", "/osf/(n[0-9])/", 1)
+    return cells.groupBy(folder.alias("folder"), "column_name", "value").agg(F.count("*").alias("n"))
+
+
+@query(
+    "read_delimited_mixed",
+    f"""
+    SELECT CASE WHEN c_custkey % 3 < 2 THEN c_custkey END AS c_custkey, CASE WHEN c_custkey % 3 < 2 THEN c_name END AS c_name,
+      CASE WHEN c_custkey % 3 < 2 THEN c_mktsegment END AS c_text, CASE WHEN c_custkey % 3 < 2 THEN c_nationkey END AS c_nationkey,
+      CASE WHEN c_custkey % 3 = 2 THEN c_custkey END AS col_1, CASE WHEN c_custkey % 3 = 2 THEN c_nationkey END AS col_2 FROM {{customer}}""",
+)
+def read_delimited_mixed(t):
+    return S.read_delimited(t.spark, f"{_written(t)}/osf", multiline=True)

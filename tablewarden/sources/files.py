@@ -6,6 +6,7 @@ import bz2
 import gzip
 import io
 import lzma
+import os
 import re
 import sys
 import tarfile
@@ -14,12 +15,13 @@ from collections.abc import Iterator, Sequence
 from functools import reduce
 
 import pandas as pd
+from pyarrow.fs import FileSelector, FileSystem, FileType, LocalFileSystem
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tablewarden.functions.paths import basename, ext
-from tablewarden.operators.scale import attach, first_rows, small_side
+from tablewarden.operators.scale import attach, first_rows, positions, small_side
 from tablewarden.session import settle
 
 # the archive reader travels with the job: executors need not have this package installed
@@ -28,19 +30,89 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 SEPARATORS = [",", ";", "\t", "|"]
 NUMERIC_WORDS = ["NA", "NAN", "NULL", "INF", "-INF", "+INF"]
 ARCHIVES = r"(?i)\.(zip|tar|tgz|tar\.gz|tar\.bz2|tar\.xz|gz|bz2|xz)$"
+# Extensions of delimited text.
+TEXT_TABLES = ["csv", "txt", "tsv", "dat"]
 SNIFF_LINES = 10
+# A file is read in pieces of this many bytes, so that a long one is shared by many tasks.
+PIECE = 64 << 20
+BATCH_BYTES = 4 << 20
+# Marks of the splitter: the first is escaped wherever a line has it, so no text is mistaken for a separator.
+MARK, LITERAL, CUT = "\x01", "\x01\x02", "\x01\x03"
 
 
-def file_inventory(spark: SparkSession, root: str) -> DataFrame:
-    """Every file below ``root/<source>/<paper_id>/``; contents are never loaded."""
-    listing = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
-        .select("path", F.col("length").alias("size"))
-    )
-    tail = re.escape(root.rstrip("/")) + r"/([^/]+)/([^/]+)/(.+)$"
+def _spread_out(df: DataFrame) -> DataFrame:
+    """Short rows that stand for much work, dealt over all cores (not merged by size)."""
+    return df.repartition(4 * df.sparkSession.sparkContext.defaultParallelism)
+
+
+def _store(path: str) -> tuple[FileSystem, str, str]:
+    """Client of a path's file system, the path within it, and what precedes that."""
+    if path.startswith("file:"):
+        base = "/" + path.removeprefix("file:").lstrip("/")
+        return LocalFileSystem(), base, path[: len(path) - len(base)]
+    if "://" not in path:
+        return LocalFileSystem(), path, ""
+    client, base = FileSystem.from_uri(path)
+    return client, base, path[: len(path) - len(base)]
+
+
+def _subfolders(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for frame in frames:
+        for folder in frame["folder"]:
+            client, base, prefix = _store(folder)
+            found = client.get_file_info(FileSelector(base))
+            names = [prefix + x.path for x in found if x.type == FileType.Directory]
+            yield pd.DataFrame({"folder": names}, dtype="object")
+
+
+def _files_below(skip: tuple[str, ...]):
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for folder in frame["folder"]:
+                client, base, prefix = _store(folder)
+                local = isinstance(client, LocalFileSystem)
+                todo = [base]
+                while todo:
+                    found = client.get_file_info(FileSelector(todo.pop()))
+                    # a linked folder may lead back to one of its parents
+                    todo += [
+                        x.path for x in found
+                        if x.type == FileType.Directory and x.base_name not in skip
+                        and not (local and os.path.islink(x.path))
+                    ]
+                    kept = [(prefix + x.path, x.size) for x in found if x.type == FileType.File]
+                    for i in range(0, len(kept), 10_000):
+                        yield pd.DataFrame(kept[i : i + 10_000], columns=["path", "size"])
+
+    return run
+
+
+def list_files(spark: SparkSession, folders: DataFrame, skip: Sequence[str] = (".git",)) -> DataFrame:
+    """``path, size`` of every file below the folders in column ``folder``, also names that start with ``_`` or ``.``.
+
+    Spark's own file index leaves such names out, so folders are listed in tasks with a file-system
+    client. Folders named in ``skip`` are not entered.
+    """
+    return _spread_out(folders.select("folder")).mapInPandas(_files_below(tuple(skip)), "path string, size bigint")
+
+
+def file_inventory(
+    spark: SparkSession, root: str, manifest: DataFrame | None = None, skip: Sequence[str] = (".git",)
+) -> DataFrame:
+    """Every file below ``root/<source>/<paper_id>/``; contents are never loaded.
+
+    A ``manifest`` with ``path, size`` replaces the listing, for stores that can export one.
+    """
+    root = root.rstrip("/")
+    if manifest is None:
+        top = spark.createDataFrame([(root,)], "folder string")
+        sources = top.mapInPandas(_subfolders, "folder string")
+        papers = _spread_out(sources).mapInPandas(_subfolders, "folder string")
+        manifest = list_files(spark, papers, skip)
+    tail = re.escape(root) + r"/([^/]+)/([^/]+)/(.+)$"
     path = F.col("path")
     return (
-        listing.where(path.rlike(tail))
+        manifest.where(path.rlike(tail))
         .select(
             F.regexp_extract(path, tail, 1).alias("source"),
             F.regexp_extract(path, tail, 2).alias("paper_id"),
@@ -66,16 +138,87 @@ def decode_lines(lines: DataFrame) -> DataFrame:
     )
 
 
+def _lines_of(path: str, start: int, stop: int) -> Iterator[tuple[int, bytes]]:
+    """Lines that begin in ``[start, stop)`` with their byte offset; ends are LF, CRLF or CR."""
+    client, name, _ = _store(path)
+    with client.open_input_file(name) as raw, io.BufferedReader(raw, 1 << 20) as source:
+        at = start
+        if start:
+            source.seek(start - 1)
+            at = start - 1 + len(source.readline())
+        while at < stop:
+            whole = source.readline()
+            if not whole:
+                return
+            begin = at
+            for part in whole.removesuffix(b"\n").removesuffix(b"\r").split(b"\r"):
+                yield begin, part
+                begin += len(part) + 1
+            at += len(whole)
+
+
+def _read_pieces(heads: bool):
+    def pieces(path: str, start: int, stop: int) -> Iterator[tuple[int, bytes]]:
+        usable = 0
+        for i, (at, line) in enumerate(_lines_of(path, start, stop)):
+            yield at, line
+            usable += bool(line.strip()) and not line.strip().startswith(b"#")
+            if heads and i + 1 >= SNIFF_LINES and usable >= 2:
+                return
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for path, start, stop in zip(frame["path"], frame["_start"], frame["_stop"], strict=True):
+                rows, size = [], 0
+                for at, line in pieces(path, int(start), int(stop)):
+                    rows.append((path, at, line))
+                    size += len(line) + 64
+                    if size >= BATCH_BYTES:
+                        yield pd.DataFrame(rows, columns=["file", "ord", "line"])
+                        rows, size = [], 0
+                if rows:
+                    yield pd.DataFrame(rows, columns=["file", "ord", "line"])
+
+    return run
+
+
+def lines_of_files(files: DataFrame, heads: bool = False) -> DataFrame:
+    """``file, ord, line`` of the files in ``path, size``; ``ord`` is the byte at which a line begins.
+
+    ``heads`` reads no more of each file than its layout needs: ten lines and two usable ones.
+    """
+    size = F.col("size")
+    if heads:
+        cut = files.where(size > 0).select("path", F.lit(0).cast("bigint").alias("_start"), size.alias("_stop"))
+    else:
+        starts = F.sequence(F.lit(0).cast("bigint"), size - 1, F.lit(PIECE).cast("bigint"))
+        cut = files.where(size > 0).select("path", size, F.explode(starts).alias("_start"))
+        cut = cut.select("path", "_start", F.least(size, F.col("_start") + PIECE).alias("_stop"))
+    read = _spread_out(cut).mapInPandas(_read_pieces(heads), "file string, ord bigint, line binary")
+    return read.withColumn("line", F.col("line").cast("string"))
+
+
+def _listed(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """``path, size`` of single files and of all files below folders."""
+    named = [paths] if isinstance(paths, str) else list(paths)
+    given = spark.createDataFrame([(p.rstrip("/"),) for p in named], "folder string")
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for path in frame["folder"]:
+                client, base, _ = _store(path)
+                info = client.get_file_info(base)
+                if info.type == FileType.File:
+                    yield pd.DataFrame({"path": [path], "size": [info.size]})
+                elif info.type == FileType.Directory:
+                    yield from _files_below((".git",))(iter([pd.DataFrame({"folder": [path]})]))
+
+    return given.mapInPandas(run, "path string, size bigint")
+
+
 def text_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """Lines with their file and an order within it: ``file, ord, line``."""
-    raw = spark.read.option("recursiveFileLookup", "true").text(paths).select(
-        F.col("_metadata.file_path").alias("file"),
-        F.struct(
-            F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row")
-        ).alias("ord"),
-        F.col("value").alias("line"),
-    )
-    return decode_lines(raw)
+    """Lines of all files below ``paths`` with their file and place: ``file, ord, line``."""
+    return decode_lines(lines_of_files(_listed(spark, paths)))
 
 
 def _usable(line: Column) -> Column:
@@ -86,6 +229,7 @@ def sniff_delimiter(lines: DataFrame) -> DataFrame:
     """Separator per file from its first usable line among the first ten.
 
     The most frequent of ``, ; tab |`` wins, ties in that order; none means comma.
+    A ``.tsv`` file is always split at tabs.
     """
     head = first_rows(lines, ["file"], [F.col("ord")], SNIFF_LINES)
     line = F.col("line")
@@ -97,22 +241,26 @@ def sniff_delimiter(lines: DataFrame) -> DataFrame:
     text = F.when(_usable(line), line).when(F.col("_n") == SNIFF_LINES, F.col("_last")).otherwise(F.lit(""))
     count = {s: F.length(text) - F.length(F.replace(text, F.lit(s), F.lit(""))) for s in SEPARATORS}
     most = F.greatest(*count.values())
-    out = F.when(most == 0, F.lit(","))
+    out = F.when(F.lower(F.col("file")).endswith(".tsv"), F.lit("\t")).when(most == 0, F.lit(","))
     for s in SEPARATORS:
         out = out.when(count[s] == most, F.lit(s))
     return chosen.select("file", out.alias("sep"))
 
 
 def split_line(line: Column, sep: Column) -> Column:
-    """Fields of a line; a separator inside double quotes does not split."""
-    out = None
-    for s in SEPARATORS:
-        outside = re.escape(s) + r'(?=(?:[^"]*"[^"]*")*[^"]*$)'
-        parts = F.when(line.contains('"'), F.split(line, outside)).otherwise(F.split(line, re.escape(s)))
-        out = F.when(sep == s, parts) if out is None else out.when(sep == s, parts)
-    return F.transform(
-        out, lambda x: F.replace(F.regexp_replace(F.trim(x), '^"|"$', ""), F.lit('""'), F.lit('"'))
+    """Fields of a line or record; a separator inside double quotes does not split."""
+    escaped = F.replace(line, F.lit(MARK), F.lit(LITERAL))
+    # pieces between quotes alternate: outside, inside, outside, …
+    parts = F.transform(
+        F.split(escaped, '"'), lambda x, i: F.when(i % 2 == 0, F.replace(x, sep, F.lit(CUT))).otherwise(x)
     )
+    marked = F.when(line.contains('"'), F.array_join(parts, '"')).otherwise(F.replace(escaped, sep, F.lit(CUT)))
+
+    def plain(x: Column) -> Column:
+        bare = F.regexp_replace(F.trim(x), '^"|"$', "")
+        return F.replace(F.replace(bare, F.lit('""'), F.lit('"')), F.lit(LITERAL), F.lit(MARK))
+
+    return F.transform(F.split(marked, CUT), plain)
 
 
 def _numeric(x: Column) -> Column:
@@ -150,49 +298,131 @@ def layout(lines: DataFrame) -> DataFrame:
     )
 
 
-def cells_of_lines(lines: DataFrame) -> DataFrame:
+def join_quoted(lines: DataFrame) -> DataFrame:
+    """Lines of one quoted field become one record, placed at its first line.
+
+    A line with an odd number of quotes opens or closes a field; a running sum
+    of them within the file tells which lines belong together. A field that is
+    never closed leaves its lines as they are, so that a stray quote does not
+    gather the rest of a file in one row.
+    """
+    quotes = F.length("line") - F.length(F.replace("line", F.lit('"'), F.lit("")))
+    marked = settle(lines.withColumn("_odd", quotes % 2))
+    torn = marked.where("_odd = 1").select("file").distinct().withColumn("_torn", F.lit(True))
+    tagged = attach(marked, torn, ["file"])
+    plain = tagged.where("_torn IS NULL").select("file", "ord", "line")
+    k = F.col("_k")
+    counted = positions(tagged.where("_torn"), ["file"], "ord", "_k", weight="_odd")
+    # opening line and lines inside have an odd sum, the closing one has the next even sum
+    rows = settle(counted.withColumn("_record", F.when((k % 2 == 1) | (F.col("_odd") == 1), F.floor((k + 1) / 2))))
+    closed = rows.where("_record IS NOT NULL").groupBy("file", "_record").agg((F.max("_k") % 2 == 0).alias("_closed"))
+    known = attach(rows, closed, ["file", "_record"]).withColumn("_closed", F.coalesce("_closed", F.lit(False)))
+    parts = F.array_sort(F.collect_list(F.struct("ord", "line")))
+    joined = known.where("_closed").groupBy("file", "_record").agg(
+        F.min("ord").alias("ord"), F.array_join(F.transform(parts, lambda r: r["line"]), "\n").alias("line")
+    )
+    single = known.where("NOT _closed").select("file", "ord", "line")
+    return plain.unionByName(single).unionByName(joined.select("file", "ord", "line"))
+
+
+def _body(lines: DataFrame, info: DataFrame) -> DataFrame:
+    """Data rows with the layout of their file; lines that start with ``#`` are rows unless they precede the header."""
+    rows = attach(lines.where(F.trim("line") != ""), info, ["file"])
+    return rows.where(F.col("head").isNull() | (F.col("ord") > F.col("head")))
+
+
+def cells_of_lines(lines: DataFrame, info: DataFrame | None = None) -> DataFrame:
     """Delimited lines of any number of files in long form, whatever their layouts.
 
     Returns ``file, col_pos, column_name, ord, value``: the input of the type
-    and profile operators. Names stay verbatim; a file without a header gets
-    ``col_1 …``. Quoted fields must not span lines (see ``read_delimited``).
-    The layouts are broadcast if they are few, so lines are not shuffled; with
-    very many files both sides are joined by file.
+    and profile operators. Names stay verbatim, also blank or repeated ones; a
+    file without a header gets ``col_1 …``. ``info`` is the ``layout`` where it
+    was read from the heads of the files. The layouts are broadcast if they are
+    few, so lines are not shuffled; with very many files both sides are joined
+    by file.
     """
-    info = small_side(settle(layout(lines)))
-    rows = attach(lines.where(_usable(F.col("line"))), info, ["file"])
-    body = rows.where(F.col("head").isNull() | (F.col("ord") > F.col("head")))
-    fields = split_line(F.col("line"), F.col("sep"))
-    cells = body.select("file", "ord", "names", F.posexplode(fields).alias("_i", "value"))
-    name = F.coalesce(
-        F.get("names", F.col("_i")), F.concat(F.lit("col_"), (F.col("_i") + 1).cast("string"))
+    body = _body(lines, small_side(settle(layout(lines) if info is None else info)))
+    # each field takes its name along before the rows part, so that no row carries all names
+    fields = F.transform(
+        split_line(F.col("line"), F.col("sep")),
+        lambda x, i: F.struct(
+            F.coalesce(F.get("names", i), F.concat(F.lit("col_"), (i + 1).cast("string"))).alias("column_name"),
+            x.alias("value"),
+        ),
     )
-    return cells.select("file", (F.col("_i") + 1).alias("col_pos"), name.alias("column_name"), "ord", "value")
-
-
-def read_cells(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """``cells_of_lines`` over all files below ``paths``."""
-    return cells_of_lines(text_lines(spark, paths))
-
-
-def read_delimited(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
-    """One delimited table with sniffed separator, header and encoding, types inferred."""
-    lines = text_lines(spark, path)
-    found = layout(lines).orderBy("file").first()
-    raw = spark.read.option("recursiveFileLookup", "true").text(path)
-    latin = not raw.where(~F.is_valid_utf8("value")).isEmpty()
-    header = found is None or found["has_header"] is not False
-    table = spark.read.csv(
-        path,
-        sep=found["sep"] if found else ",",
-        header=header,
-        inferSchema=True,
-        comment="#",
-        multiLine=multiline,
-        nullValue="NA",
-        encoding="ISO-8859-1" if latin else "UTF-8",
+    cells = body.select("file", "ord", F.posexplode(fields).alias("_i", "_cell"))
+    return cells.select("file", (F.col("_i") + 1).alias("col_pos"), "_cell.column_name", "ord", "_cell.value")
+
+
+def _tables(spark: SparkSession, paths: str | Sequence[str], multiline: bool) -> tuple[DataFrame, DataFrame]:
+    """Lines (or records) of the delimited files below ``paths`` and the layout of each file from its head."""
+    files = settle(_listed(spark, paths).where(ext(F.col("path")).isin(TEXT_TABLES)))
+    lines = decode_lines(lines_of_files(files))
+    heads = decode_lines(lines_of_files(files, heads=True))
+    if multiline:
+        lines = settle(join_quoted(lines))
+        heads = lines
+    return lines, layout(heads)
+
+
+def read_cells(spark: SparkSession, paths: str | Sequence[str], multiline: bool = False) -> DataFrame:
+    """``cells_of_lines`` over all delimited files below ``paths``; ``multiline`` allows quoted fields over several lines."""
+    return cells_of_lines(*_tables(spark, paths, multiline))
+
+
+def _numbers_typed(table: DataFrame) -> DataFrame:
+    """Columns whose every value is a whole number or a number take that type; one pass decides."""
+    inner = [f"_{i}" for i in range(len(table.columns))]
+    plain = table.toDF(*inner)
+    checks = []
+    for c in inner:
+        v = F.trim(c)
+        filled = (v != "") & v.isNotNull()
+        checks += [
+            F.bool_and(F.when(filled, v.rlike(r"^[+-]?[0-9]+$") & v.try_cast("bigint").isNotNull())).alias(f"i{c}"),
+            F.bool_and(F.when(filled, v.try_cast("double").isNotNull() & ~v.rlike("(?i)[df]$"))).alias(f"d{c}"),
+        ]
+    found = plain.agg(*checks).first() if inner else {}
+    typed = [
+        F.trim(c).try_cast("bigint" if found[f"i{c}"] else "double").alias(c) if found[f"d{c}"] else F.col(c)
+        for c in inner
+    ]
+    return plain.select(*typed).toDF(*table.columns)
+
+
+def read_delimited(spark: SparkSession, path: str | Sequence[str], multiline: bool = False) -> DataFrame:
+    """One table from delimited files, each read by its own separator, header and encoding; number types inferred.
+
+    Columns are matched by name, a repeated or blank name by its turn; names stay
+    verbatim, so a name may occur twice. ``NA`` and absent columns are null.
+    """
+    lines, found = _tables(spark, path, multiline)
+    info = settle(found)
+    body = _body(lines, small_side(info)).withColumn("_f", split_line(F.col("line"), F.col("sep")))
+    cells = info.where("has_header").select("names", F.posexplode("names").alias("_i", "_n"))
+    # a file without a header is as wide as its widest row
+    width = body.where(~F.col("has_header")).agg(F.max(F.size("_f"))).first()[0] or 0
+    turn = F.size(F.filter(F.slice("names", 1, F.col("_i") + 1), lambda x: x == F.col("_n")))
+    columns = [
+        (r["_n"], r["_t"])
+        for r in cells.groupBy("_n", turn.alias("_t")).agg(F.min("_i").alias("_i")).orderBy("_i", "_n", "_t").collect()
+    ]
+    columns += [(f"col_{i + 1}", 1) for i in range(width) if (f"col_{i + 1}", 1) not in columns]
+    keys = F.transform("names", lambda n, i: F.struct(n.alias("n"), F.size(F.filter(F.slice("names", 1, i + 1), lambda x: x == n)).alias("t")))
+    rows = body.withColumn("_k", keys)
+
+    def value(n: str, t: int) -> Column:
+        wanted = F.struct(F.lit(n).alias("n"), F.lit(t).alias("t"))
+        at = F.array_position("_k", wanted)
+        named = F.when(at > 0, F.get("_f", at.cast("int") - 1))
+        bare = re.fullmatch(r"col_([0-9]+)", n)
+        out = F.when(F.col("has_header"), named)
+        return out.otherwise(F.get("_f", F.lit(int(bare[1]) - 1))) if bare and t == 1 else out
+
+    table = rows.select(
+        *[F.nullif(value(n, t), F.lit("NA")).alias(f"_{i}") for i, (n, t) in enumerate(columns)]
     )
-    return table if header else table.toDF(*[f"col_{i + 1}" for i in range(len(table.columns))])
+    return _numbers_typed(table.toDF(*[n for n, _ in columns]))
 
 
 def load_union(frames: Sequence[DataFrame]) -> DataFrame:

@@ -56,6 +56,61 @@ def test_single_table(spark, tmp_path):
     assert S.read_delimited(spark, other).columns == ["col_1", "col_2"]
 
 
+def test_rows_with_hashes_tabs_and_long_fields(spark, tmp_path):
+    wide = ",".join(f'"a,{i}"' for i in range(30_000))
+    root = write(
+        tmp_path, **{"_a_dot_csv": "# note\nid,v\n1,x\n# 2,y\n", "b_dot_tsv": "a,b\tc\n1,5\t2\n", "sub/_c_dot_csv": f"{wide}\n{wide}\n",
+        "d_dot_csv": "id,\x01,id,\n1,\"\x01,z\",3,4\r\n\r\n5,6,7,8", "e_dot_pdf": "no,table\n", "f_dot_csv": ""},
+    )
+    rows = S.read_cells(spark, root).where("col_pos < 9").collect()
+    got = sorted((r["file"].rsplit("/", 1)[-1], r["col_pos"], r["column_name"], r["value"]) for r in rows)
+    assert [r for r in got if r[0] == "_a.csv"] == [
+        ("_a.csv", 1, "id", "# 2"), ("_a.csv", 1, "id", "1"), ("_a.csv", 2, "v", "x"), ("_a.csv", 2, "v", "y")]
+    assert [r for r in got if r[0] == "b.tsv"] == [("b.tsv", 1, "a,b", "1,5"), ("b.tsv", 2, "c", "2")]
+    assert [r[1:] for r in got if r[0] == "d.csv"] == [
+        (1, "id", "1"), (1, "id", "5"), (2, "\x01", "\x01,z"), (2, "\x01", "6"), (3, "id", "3"), (3, "id", "7"), (4, "", "4"), (4, "", "8")]
+    assert len([r for r in got if r[0] == "_c.csv"]) == 8
+    assert {r[0] for r in got} == {"_a.csv", "b.tsv", "_c.csv", "d.csv"}
+
+
+def test_pieces_give_the_same_lines(spark, tmp_path, monkeypatch):
+    text = "\n".join("x" * (i % 7) for i in range(200)) + "\r\nlast"
+    root = write(tmp_path, a_dot_txt=text)
+    want = [(r["ord"], r["line"]) for r in S.text_lines(spark, root).orderBy("ord").collect()]
+    assert [x for _, x in want] == text.replace("\r\n", "\n").split("\n")
+    for size in (1, 3, 10, 64):
+        monkeypatch.setattr(S, "PIECE", size)
+        assert [(r["ord"], r["line"]) for r in S.text_lines(spark, root).orderBy("ord").collect()] == want
+
+
+def test_quoted_fields_over_lines(spark, tmp_path):
+    root = write(tmp_path, a_dot_csv='id,t\n1,"x\n# y\nz"\n2,w\n3,"q\n', b_dot_csv="id,t\n1,2\n")
+    got = sorted((r["file"].rsplit("/", 1)[-1], r["column_name"], r["value"]) for r in S.read_cells(spark, root, multiline=True).collect())
+    assert got == [("a.csv", "id", "1"), ("a.csv", "id", "2"), ("a.csv", "id", "3"), ("a.csv", "t", "q"), ("a.csv", "t", "w"),
+                   ("a.csv", "t", "x\n# y\nz"), ("b.csv", "id", "1"), ("b.csv", "t", "2")]
+
+
+def test_one_table_of_two_layouts(spark, tmp_path):
+    root = write(tmp_path, a_dot_csv="id,v,v\n1,2.5,a\n", b_dot_csv="v;id\n7;8\nNA;9\n", c_dot_dat="1,2\n3,4\n")
+    table = S.read_delimited(spark, root)
+    assert table.columns == ["id", "v", "v", "col_1", "col_2"]
+    got = sorted(map(tuple, table.collect()), key=str)
+    assert got == sorted([(1, 2.5, "a", None, None), (8, 7.0, None, None, None), (9, None, None, None, None),
+                          (None, None, None, 1, 2), (None, None, None, 3, 4)], key=str)
+
+
+def test_inventory_keeps_odd_names(spark, tmp_path):
+    for name in ("_raw.csv", "__pycache__/a.py", ".venv/x.py", "data/b.csv", ".git/c"):
+        path = tmp_path / "osf" / "p1" / name
+        path.parent.mkdir(parents=True, exist_ok=True)
+        path.write_text("x")
+    root = str(tmp_path)
+    rows = {r["rel_path"] for r in S.file_inventory(spark, root).collect()}
+    assert rows == {"_raw.csv", "__pycache__/a.py", ".venv/x.py", "data/b.csv"}
+    given = spark.createDataFrame([(f"{root}/osf/p1/a.csv", 3), (f"{root}/top.csv", 1)], "path string, size bigint")
+    assert [(r["rel_path"], r["size"]) for r in S.file_inventory(spark, root, given).collect()] == [("a.csv", 3)]
+
+
 def test_inventory(spark, tmp_path):
     root = write(tmp_path, osf__p1__data__a_dot_CSV="x", osf__p1__README="yy", dataverse__p2__b_dot_r="z")
     rows = {(r["source"], r["paper_id"], r["rel_path"]): (r["size"], r["ext"]) for r in S.file_inventory(spark, root).collect()}
