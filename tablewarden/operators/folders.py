@@ -40,6 +40,19 @@ def drop_git(files: DataFrame) -> DataFrame:
     return files.where(~is_git_internal(F.col("rel_path")))
 
 
+def settle_clashes(files: DataFrame, by: Sequence[str], name: str, full: str) -> DataFrame:
+    """Shortened names made unique: where different ``full`` names share one, a digest goes before its extension.
+
+    A name that only one full name has stays as it is.
+    """
+    keys = [*by, name]
+    shared = files.groupBy(*keys).agg((F.min(full) != F.max(full)).alias("_clash")).where("_clash")
+    marked = F.regexp_replace(name, r"(_data)?(\.[A-Za-z0-9]+)?$", "")
+    tail = F.expr(f"substr({name}, length(regexp_replace({name}, '(_data)?([.][A-Za-z0-9]+)?$', '')) + 1)")
+    unique = F.concat(marked, F.lit("-"), F.substring(F.md5(full), 1, 12), tail)
+    return attach(files, shared, keys).withColumn(name, F.when(F.col("_clash"), unique).otherwise(F.col(name))).drop("_clash")
+
+
 def drop_duplicates(files: DataFrame, fingerprint: str = "fingerprint") -> DataFrame:
     """Same name and size within a repository: only the first listed file stays.
 

@@ -21,8 +21,9 @@ QUANTILES = {"median": 0.5, "p25": 0.25, "p75": 0.75}
 STATS = "mean sd se median min max range p25 p75 iqr skewness kurtosis".split()
 
 # Thresholds of the type rules.
-DATE_SHARE, DATE_SAMPLE, LONG_TEXT = 0.70, 20, 40
+DATE_SHARE, LONG_TEXT = 0.70, 40
 COMMA_SHARE, OUTLIER_SHARE, MANY_VALUES = 0.95, 0.80, 20
+INFINITE = r"(?i)^\s*[+-]?inf(inity)?\s*$"
 NUMBER = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
 
 # Column types an outside answer may carry.
@@ -142,7 +143,9 @@ def profile_table(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ())
 
 
 def as_number(value: Column) -> Column:
-    return F.when(value.rlike(NUMBER), F.trim(value).try_cast("double"))
+    """Numbers and ``Inf``; ``NaN`` is a missing number, hence null."""
+    endless = F.when(F.trim(value).startswith("-"), F.lit(float("-inf"))).otherwise(F.lit(float("inf")))
+    return F.when(value.rlike(NUMBER), F.trim(value).try_cast("double")).when(value.rlike(INFINITE), endless)
 
 
 def as_comma_number(value: Column) -> Column:
@@ -157,13 +160,13 @@ def is_date_text(value: Column) -> Column:
     return F.try_to_date(F.when(year != "", text), "yyyy-M-d").isNotNull()
 
 
-def infer_types(cells: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+def infer_types(cells: DataFrame, by: Sequence[str] = (), date_sample: int | None = None) -> DataFrame:
     """Type of every column from its cells ``(by…, col_pos, column_name, ord, value)``.
 
     Cells are text. A column is numeric when every value that is neither null,
-    ``NA`` nor blank reads as a number; blanks are missing only there. All
-    tests are sums over the distinct values, except the date test, which looks
-    at the first twenty distinct values in file order.
+    ``NA`` nor blank reads as a number; blanks and ``NaN`` are missing only
+    there. All tests are sums over the distinct values. ``date_sample`` lets the
+    date test look at the first so many distinct values in file order only.
     """
     keys = [*by, "col_pos", "column_name"]
     distinct = (
@@ -173,6 +176,7 @@ def infer_types(cells: DataFrame, by: Sequence[str] = ()) -> DataFrame:
         .withColumn("num", as_number(F.col("value")))
         .withColumn("comma", as_comma_number(F.col("value")))
         .withColumn("filled", F.col("value").isNotNull() & (F.trim("value") != ""))
+        .withColumn("nan", F.coalesce(F.trim("value") == "NaN", F.lit(False)))
     )
     c, value, filled = F.col("c"), F.col("value"), F.col("filled")
     # lengths above 2 * LONG_TEXT cannot change the verdict; clipping bounds the buffer
@@ -182,21 +186,26 @@ def infer_types(cells: DataFrame, by: Sequence[str] = ()) -> DataFrame:
         F.coalesce(F.sum(F.when(value.isNotNull(), c)), F.lit(0)).alias("n_value"),
         F.coalesce(F.sum(F.when(filled, c)), F.lit(0)).alias("n_filled"),
         F.coalesce(F.sum(F.when(F.col("num").isNotNull(), c)), F.lit(0)).alias("n_num"),
+        F.coalesce(F.sum(F.when(F.col("nan"), c)), F.lit(0)).alias("n_nan"),
+        F.avg(F.when(value.isNotNull(), is_date_text(value).cast("double"))).alias("date_share"),
         F.coalesce(F.sum(F.when(F.col("comma").isNotNull(), c)), F.lit(0)).alias("n_comma"),
         F.count("value").alias("u_text"),
         F.count_distinct("num").alias("u_num"),
-        F.coalesce(F.bool_or(F.col("num") != F.floor("num")), F.lit(False)).alias("fraction"),
+        F.coalesce(F.bool_or((F.abs("num") < float("inf")) & (F.col("num") != F.floor("num"))), F.lit(False)).alias("fraction"),
         F.percentile(F.when(value.isNotNull(), clipped), F.lit(0.5), c).alias("mid_len"),
-        F.percentile(F.when(filled, clipped), F.lit(0.5), c).alias("mid_len_filled"),
+        F.percentile(F.when(filled & ~F.col("nan"), clipped), F.lit(0.5), c).alias("mid_len_filled"),
     )
-    dates = (
-        first_rows(distinct.where(value.isNotNull()), keys, [F.col("first_ord"), F.col("value")], DATE_SAMPLE)
-        .groupBy(*keys)
-        .agg(F.avg(is_date_text(value).cast("double")).alias("date_share"))
-    )
-    n_num, n_filled = F.col("n_num"), F.col("n_filled")
-    numeric = (n_filled > 0) & (n_num == n_filled)
-    n = F.when(numeric | (n_filled == 0), n_filled).otherwise(F.col("n_value"))
+    if date_sample:
+        order = [F.col("first_ord"), F.col("value")]
+        dates = (
+            first_rows(distinct.where(value.isNotNull()), keys, order, date_sample)
+            .groupBy(*keys)
+            .agg(F.avg(is_date_text(value).cast("double")).alias("date_share"))
+        )
+        facts = attach(facts.drop("date_share"), dates, keys)
+    n_num, n_nan, n_filled = F.col("n_num"), F.col("n_nan"), F.col("n_filled")
+    numeric = (n_filled > 0) & (n_num + n_nan == n_filled)
+    n = F.when(numeric, n_num).when(n_filled == 0, n_filled).otherwise(F.col("n_value"))
     u = F.when(numeric, F.col("u_num")).when(n_filled == 0, F.lit(0)).otherwise(F.col("u_text"))
     date_share = F.coalesce("date_share", F.lit(0.0))
     mid = F.when(numeric, F.col("mid_len_filled")).otherwise(F.col("mid_len"))
@@ -213,7 +222,7 @@ def infer_types(cells: DataFrame, by: Sequence[str] = ()) -> DataFrame:
         .when(ok >= COMMA_SHARE, F.lit("continuous_comma_decimal"))
         .when(ok >= OUTLIER_SHARE, F.lit("continuous_outliers_excluded"))
     )
-    return attach(facts, dates, keys).select(
+    return facts.select(
         *keys,
         col_type.alias("col_type"),
         numeric.alias("is_numeric"),

@@ -553,15 +553,18 @@ def consistency_checks(t):
 @query(
     "export_names",
     r"""
-    WITH k AS (SELECT ord, type_gt, substr(regexp_replace(regexp_replace(name, '\.[A-Za-z0-9]+$', ''), '[^a-zA-Z0-9]', '', 'g'), 1, 60) AS kw,
-      ext, j FROM {v_files})
-    SELECT ord, CASE WHEN j % 2 = 0 THEN 'granularity-individual_' ELSE '' END || 'source-' || kw
-      || CASE WHEN ext = 'csv' THEN '_sheet-' || type_gt ELSE '' END || '_data.csv' AS export_name FROM k""",
+    WITH k AS (SELECT ord, type_gt, paper_id, rel_path, substr(regexp_replace(regexp_replace(name, '\.[A-Za-z0-9]+$', ''), '[^a-zA-Z0-9]', '', 'g'), 1, 60) AS kw,
+      ext, j FROM {v_files}),
+    x AS (SELECT ord, paper_id, rel_path, CASE WHEN j % 2 = 0 THEN 'granularity-individual_' ELSE '' END || 'source-' || kw
+      || CASE WHEN ext = 'csv' THEN '_sheet-' || type_gt ELSE '' END AS name FROM k)
+    SELECT ord, name || CASE WHEN min(rel_path) OVER w <> max(rel_path) OVER w THEN '-' || substr(md5(rel_path), 1, 12) ELSE '' END
+      || '_data.csv' AS export_name FROM x WINDOW w AS (PARTITION BY paper_id, name)""",
 )
 def export_names(t):
     sheet = F.when(F.col("ext") == "csv", F.col("type_gt"))
     name = PF.export_filename(F.col("name"), F.col("j") % 2 == 0, sheet, F.col("ord"))
-    return t.v_files.select("ord", name.alias("export_name"))
+    named = t.v_files.select("ord", "paper_id", "rel_path", name.alias("export_name"))
+    return D.settle_clashes(named, ["paper_id"], "export_name", "rel_path").select("ord", "export_name")
 
 
 @query(

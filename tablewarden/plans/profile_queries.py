@@ -105,14 +105,11 @@ def _types_sql(cells: str) -> str:
         coalesce(bool_or(num <> floor(num)), false) AS frac
       FROM d GROUP BY column_name, col_pos),
     g AS (SELECT f.*, nf > 0 AND nn = nf AS numeric_, lens.mid_all, lens.mid_filled FROM f JOIN lens USING (column_name)),
-    r AS (
-      SELECT d.column_name, value,
-        row_number() OVER (PARTITION BY d.column_name ORDER BY o, value) AS k
-      FROM d JOIN g USING (column_name) WHERE value IS NOT NULL),
+    r AS (SELECT column_name, value FROM d WHERE value IS NOT NULL),
     dates AS (
       SELECT column_name, avg(CASE WHEN try_strptime(regexp_extract(value, '^\s*([0-9]{{{{4}}}}-[0-9]{{{{1,2}}}}-[0-9]{{{{1,2}}}})', 1), '%Y-%m-%d') IS NOT NULL
           OR try_strptime(regexp_extract(value, '^\s*([0-9]{{{{4}}}}/[0-9]{{{{1,2}}}}/[0-9]{{{{1,2}}}})', 1), '%Y/%m/%d') IS NOT NULL
-          THEN 1.0 ELSE 0.0 END) AS share FROM r WHERE k <= 20 GROUP BY column_name),
+          THEN 1.0 ELSE 0.0 END) AS share FROM r GROUP BY column_name),
     h AS (
       SELECT g.*, coalesce(dates.share, 0) AS share,
         CASE WHEN numeric_ OR nf = 0 THEN nf ELSE nv END AS n,

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import bz2
 import gzip
+import hashlib
 import io
 import lzma
 import os
@@ -431,8 +432,12 @@ def load_union(frames: Sequence[DataFrame]) -> DataFrame:
 
 
 def _folder(name: str) -> str:
+    """Folder of an archive's members: the first words of its name, with a digest where that loses a part of it."""
     words = [re.sub(r"[^A-Za-z0-9_\-]", "", w) for w in name.strip().split()]
-    return "_".join([w for w in words if w][:5])
+    short = "_".join([w for w in words if w][:5])
+    if short == "_".join(name.split(" ")):
+        return short
+    return f"{short}-{hashlib.md5(name.encode()).hexdigest()[:12]}"
 
 
 def _members(path: str, content: bytes) -> Iterator[tuple[str, bytes]]:

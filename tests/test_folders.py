@@ -122,3 +122,12 @@ def test_path_functions(spark):
     assert row["e"] == "(none)" and row["i"] == "doi_10_ab" and row["g"] == "shared" and row["t"] is False
     assert row["s"] == ".gitignore"
     assert row["x"] == "granularity-individual_source-Mydatav2_sheet-Sheet1_data.csv"
+
+
+def test_export_names_do_not_clash(spark):
+    df = spark.createDataFrame([("p", "a.csv", "x_data.csv"), ("p", "b.csv", "x_data.csv"), ("q", "a.csv", "x_data.csv"), ("p", "c", "y")],
+                               "paper_id string, rel_path string, name string")
+    got = {(r["paper_id"], r["rel_path"]): r["name"] for r in D.settle_clashes(df, ["paper_id"], "name", "rel_path").collect()}
+    assert got["q", "a.csv"] == "x_data.csv" and got["p", "c"] == "y"
+    a, b = got["p", "a.csv"], got["p", "b.csv"]
+    assert a != b and all(x.startswith("x-") and x.endswith("_data.csv") for x in (a, b))

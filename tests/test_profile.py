@@ -112,3 +112,18 @@ def test_weighted_distribution_counts_absent_as_zero(spark):
     got = {r["col_type"]: r["avg_pct"] for r in P.weighted_type_distribution(df).collect()}
     assert got == {"x": 75.0, "y": 25.0}
     assert P.unknown_rate(df.withColumn("col_type", F.lit("unknown"))).count() == 2
+
+
+def test_words_for_no_number(spark):
+    columns = {
+        "v": [str(i % 30) for i in range(34)] + ["NaN", "Inf"],
+        "w": ["NaN"] * 36,
+        "late_dates": ["x"] * 20 + ["unused"] * 2 + [f"2020-01-{i + 1:02d}" for i in range(14)],
+    }
+    rows = [(i, *r) for i, r in enumerate(zip(*columns.values()))]
+    cells = P.long_form(spark.createDataFrame(rows, ["ord", *columns]), list(columns), ["ord"])
+    got = {r["column_name"]: r for r in P.infer_types(cells).collect()}
+    assert (got["v"]["col_type"], got["v"]["n"], got["v"]["n_missing"], got["v"]["n_unique"]) == ("continuous", 35, 1, 31)
+    assert got["w"]["col_type"] == "empty" and got["w"]["n_missing"] == 36
+    assert got["late_dates"]["col_type"] == "date"
+    assert {r["column_name"]: r["col_type"] for r in P.infer_types(cells, date_sample=1).collect()}["late_dates"] != "date"

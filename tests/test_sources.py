@@ -128,10 +128,14 @@ def test_archives(spark, tmp_path):
         info.size = 3
         f.addfile(info, io.BytesIO(b"333"))
     root = write(tmp_path, **{"my data_dot_zip": z.getvalue(), "t_dot_tgz": t.getvalue(), "x_dot_csv_dot_gz": gzip.compress(b"4444"),
+                              "one two three four five six_dot_zip": z.getvalue(), "one two three four five seven_dot_zip": z.getvalue(),
                               "y_dot_csv_dot_bz2": bz2.compress(b"55555"), "broken_dot_zip": b"nope", "plain_dot_csv": b"1"})
     binary = spark.read.format("binaryFile").load(root)
     rows = S.expand_archives(binary).collect()
     good = {r["member"]: r["size"] for r in rows if r["error"] is None}
+    long = sorted(m for m in good if m.startswith("one_two_three_four_five-"))
+    assert len(long) == 4 and len({m.split("/")[0] for m in long}) == 2
+    good = {m: n for m, n in good.items() if m not in long}
     assert good == {"my_data/in/a.csv": 1, "my_data/b.csv": 2, "t/c.txt": 3, "x.csv": 4, "y.csv": 5}
     assert [r["archive"].rsplit("/", 1)[-1] for r in rows if r["error"]] == ["broken.zip"]
 
