@@ -10,8 +10,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablewarden.functions.names import normalize_label, normalize_variable
+from tablewarden.functions.names import normalize_label, normalize_variable, with_stemmed_label
 from tablewarden.operators.scale import attach, attach_grand
+from tablewarden.session import settle
 
 RANGE = r"^([A-Za-z]*)\s*([0-9]+)\s*[-–]\s*([0-9]+)$"
 RANGE_STEP = 50_000
@@ -86,13 +87,19 @@ def _longest(labels: Column) -> Column:
     return F.get(F.filter(labels, lambda x: F.length(x) == top), F.lit(0))
 
 
-def match_labels(columns: DataFrame, codebook: DataFrame) -> DataFrame:
+def match_labels(
+    columns: DataFrame, codebook: DataFrame, stems: bool = True, with_codebook: DataFrame | None = None
+) -> DataFrame:
     """Label outcome per column by equality of normalised names within the repository.
 
     What a name means depends only on (repository, name, group of the column).
     The outcome is worked out once per such key from the distinct dictionary
     entries of the name and then joined to the columns, so a column repeated in
     very many files drags no lists through the shuffle.
+
+    Labels that agree in their Porter stems are one; with ``stems=False`` only
+    plurals are stripped. ``with_codebook`` lists the ``paper_id`` that have any
+    codebook: columns of all others get the status ``no_codebook``.
     """
     names = ["paper_id", "_norm"]
     entries = (
@@ -100,10 +107,14 @@ def match_labels(columns: DataFrame, codebook: DataFrame) -> DataFrame:
         .groupBy(*names, "group", "label", "codebook_variable", "codebook_source", "parse_method")
         .agg(F.min("ord").alias("ord"))
     )
+    if stems:
+        entries = with_stemmed_label(settle(entries), "label", "_stem")
+    else:
+        entries = entries.withColumn("_stem", normalize_label("label"))
     listed = entries.groupBy(*names).agg(
         F.array_sort(
             F.collect_list(
-                F.struct("ord", "group", "label", "codebook_variable", "codebook_source", "parse_method")
+                F.struct("ord", "group", "label", "codebook_variable", "codebook_source", "parse_method", "_stem")
             )
         ).alias("_rows")
     )
@@ -118,7 +129,7 @@ def match_labels(columns: DataFrame, codebook: DataFrame) -> DataFrame:
         .withColumn("_other", F.filter("_rows", lambda r: F.coalesce(r["group"] != group, F.lit(True)) & r["group"].isNotNull()))
         .withColumn("_labels", _in_order(F.col("_app"), "label"))
         .withColumn("_own", F.filter("_app", lambda r: F.coalesce(r["parse_method"] == "haven", F.lit(False))))
-        .withColumn("_same", F.size(F.array_distinct(F.transform("_labels", normalize_label))) == 1)
+        .withColumn("_same", F.size(_in_order(F.filter("_app", lambda r: r["label"].isNotNull()), "_stem")) == 1)
     )
     hit = F.col("_rows").isNotNull()
     n_app, n_labels = F.size("_app"), F.size("_labels")
@@ -173,7 +184,12 @@ def match_labels(columns: DataFrame, codebook: DataFrame) -> DataFrame:
         status.alias("label_status"),
         method.alias("label_method"),
     )
-    return attach(keyed, outcome, outcome_key).drop("_norm")
+    out = attach(keyed, outcome, outcome_key).drop("_norm")
+    if with_codebook is None:
+        return out
+    known = with_codebook.select("paper_id").distinct().withColumn("_known", F.lit(True))
+    status = F.when(F.col("_known"), F.col("label_status")).otherwise(F.lit("no_codebook"))
+    return attach(out, known, ["paper_id"]).withColumn("label_status", status).drop("_known")
 
 
 def merge_verdicts(labels: DataFrame, verdicts: DataFrame) -> DataFrame:

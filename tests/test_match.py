@@ -124,3 +124,13 @@ def test_stemmed_labels_compare_equal(spark):
     df = spark.createDataFrame([("Relational responses",), ("relate responded",), (None,), ("!!",)], "label string")
     got = {r["label"]: r["s"] for r in N.with_stemmed_label(df, "label", "s").collect()}
     assert got == {"Relational responses": "relat respons", "relate responded": "relat respond", None: "", "!!": ""}
+
+
+def test_stems_and_missing_codebooks(spark):
+    b = book(spark, ("q", "Test scores", "a.csv", None, "structured"), ("q", "Test score", "b.csv", None, "structured"))
+    cols = spark.createDataFrame([("p", "f", 1, "q", None), ("r", "f", 1, "q", None), ("s", "f", 1, "q", None)], COLS)
+    has = spark.createDataFrame([("p",), ("r",), ("p",)], "paper_id string")
+    got = {r["paper_id"]: (r["label_status"], r["label_method"]) for r in X.match_labels(cols, b, with_codebook=has).collect()}
+    assert got == {"p": ("labelled", "merged_rules"), "r": ("unlabelled", None), "s": ("no_codebook", None)}
+    plural = X.match_labels(cols, b, stems=False).where("paper_id = 'p'").first()
+    assert plural["label_status"] == "conflicting_definition"
