@@ -35,6 +35,7 @@ WIDE_LANES = 4
 LANES = [f"f{i}" for i in range(WIDE_LANES)]
 NEAR_TRIPLES = 64
 MIN_SHARED = 5
+PARITY_LONGS = 16
 SHINGLES_AT_ONCE = 1 << 15
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -76,21 +77,33 @@ def fingerprint(words: int = CONTRACT_WORDS):
     return fingerprints
 
 
-def wide_fingerprint(lanes: int = WIDE_LANES, words: int = FEATURE_WORDS):
-    """UDF: ``lanes`` independent fingerprints of the set of word n-grams, as an array of longs."""
+def parity(hashes: np.ndarray) -> np.ndarray:
+    """Of each of 1024 buckets the parity of the number of hashes in it, as longs.
+
+    Two sets differ in at least as many members as their parities differ in bits: what both hold
+    cancels out, and every other member turns one bit.
+    """
+    odd = np.bincount((mix(hashes) >> np.uint64(54)).astype(np.int64), minlength=64 * PARITY_LONGS) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.uint64)
+
+
+def near_sketch(words: int = NEAR_WORDS, feature_words: int = FEATURE_WORDS):
+    """UDF: fingerprint lanes of the set of features, then parity and size of the set of shingles."""
 
     @F.arrow_udf("array<bigint>")
-    def fingerprints(texts: pa.Array) -> pa.Array:
+    def sketches(texts: pa.Array) -> pa.Array:
         rows = []
         for t in texts.to_pylist():
-            own = np.unique(shingle_hashes(t, words))
+            features, own = (np.unique(shingle_hashes(t, n)) for n in (feature_words, words))
             with np.errstate(over="ignore"):
-                rows.append([majority(mix(own + np.uint64(i * 0x632BE59BD9B4E019 & (1 << 64) - 1))) for i in range(lanes)])
+                lanes = [majority(mix(features + np.uint64(i * 0x632BE59BD9B4E019 & (1 << 64) - 1))) for i in range(WIDE_LANES)]
+                rows.append(np.concatenate([np.array(lanes, np.uint64), parity(own), np.array([len(own)], np.uint64)]))
+        wide = WIDE_LANES + PARITY_LONGS + 1
         values = np.array(rows, np.uint64).view(np.int64).reshape(-1)
         trim()
-        return pa.ListArray.from_arrays(pa.array(np.arange(0, len(values) + 1, lanes), pa.int32()), pa.array(values, pa.int64()))
+        return pa.ListArray.from_arrays(pa.array(np.arange(0, len(values) + 1, wide), pa.int32()), pa.array(values, pa.int64()))
 
-    return fingerprints
+    return sketches
 
 
 # ---- the index --------------------------------------------------------------------------------
@@ -138,13 +151,8 @@ def shared_bytes(a: Sequence[Column], b: Sequence[Column]) -> Column:
     return total
 
 
-def candidate_pairs(prints: DataFrame, lanes: list[str], keys: list[tuple[int, ...]], at_least: int) -> DataFrame:
-    """Pairs ``a_*``, ``b_*`` of different fingerprints that share ``at_least`` positional bytes.
-
-    ``prints`` has distinct fingerprints in the columns ``lanes`` (longs). Pairs are tallied where
-    they meet; few are left when they are made distinct. Lists join as two plain exchanges, which
-    adaptive execution splits where a list is long.
-    """
+def list_keys(lanes: Sequence[str], keys: Sequence[tuple[int, ...]]) -> Column:
+    """Array of the posting lists of a fingerprint: which positions, and the bytes there."""
     cols = [F.col(c) for c in lanes]
     lists = []
     for k, positions in enumerate(keys):
@@ -152,7 +160,17 @@ def candidate_pairs(prints: DataFrame, lanes: list[str], keys: list[tuple[int, .
         for p in positions:
             value = F.shiftleft(value, 8) + byte_at(cols, p)
         lists.append(value)
-    postings = prints.select(F.explode(F.array(*lists)).alias("key"), *lanes)
+    return F.array(*lists)
+
+
+def candidate_pairs(prints: DataFrame, lanes: list[str], keys: list[tuple[int, ...]], at_least: int) -> DataFrame:
+    """Pairs ``a_*``, ``b_*`` of different fingerprints that share ``at_least`` positional bytes.
+
+    ``prints`` has distinct fingerprints in the columns ``lanes`` (longs). Pairs are tallied where
+    they meet; few are left when they are made distinct. Lists join as two plain exchanges, which
+    adaptive execution splits where a list is long.
+    """
+    postings = prints.select(F.explode(list_keys(lanes, keys)).alias("key"), *lanes)
     left = postings.select("key", *[F.col(c).alias(f"a_{c}") for c in lanes])
     right = postings.select("key", *[F.col(c).alias(f"b_{c}") for c in lanes])
     a, b = [F.col(f"a_{c}") for c in lanes], [F.col(f"b_{c}") for c in lanes]
@@ -243,41 +261,61 @@ def _shingle_sets(words: int):
     return sets
 
 
-def near_links(docs: DataFrame, nodes: DataFrame, words: int = NEAR_WORDS, similarity: float = NEAR_SIMILARITY) -> DataFrame:
-    """Pairs (a, b) of digests of different texts whose sets of shingles are at least so similar.
+def posting_lists(wide: DataFrame) -> DataFrame:
+    """(key, node, weight, lanes) of the lists that hold several of the fingerprints ``wide`` (node, lanes).
 
-    ``nodes`` has one row per different text: digest, the fingerprint lanes, and the ``id`` and ``own``
-    hash of a row of ``docs`` (id, text) that holds it. Fingerprints of two-word features propose,
-    the Jaccard similarity of the whole sets of ``words``-word shingles decides. Only texts that a
-    pair proposes are read again.
+    A node's weight is the length of all its lists; in a group of near copies the most typical one
+    has most. Lists of one node, nearly all there are, propose nothing and go before anything wide moves.
     """
-    prints = nodes.select("digest", F.struct(*LANES).alias("print"), *LANES)
-    wide = prints.groupBy("print").agg(F.min("digest").alias("first")).select("print", "first", "print.*")
-    proposed = candidate_pairs(wide, LANES, triples(8 * WIDE_LANES, NEAR_TRIPLES), MIN_SHARED).select(
-        *[F.struct(*[F.col(f"{side}_{c}").alias(c) for c in LANES]).alias(side) for side in "ab"]
-    )
-    # different texts with one fingerprint meet through the first of them
-    heads = wide.select("print", "first")
-    pairs = (
-        proposed.join(heads.select(F.col("print").alias("a"), F.col("first").alias("d")), "a")
-        .join(heads.select(F.col("print").alias("b"), F.col("first").alias("e")), "b")
-        .select(F.col("d").alias("a"), F.col("e").alias("b"))
-    )
-    alike = (
-        prints.join(heads, "print")
-        .where(F.col("digest") != F.col("first"))
-        .select(F.col("first").alias("a"), F.col("digest").alias("b"))
+    places = wide.select("node", F.explode(list_keys(LANES, triples(8 * WIDE_LANES, NEAR_TRIPLES))).alias("key"))
+    long = places.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    live = stored(places.join(long, "key"), "lists")
+    weights = live.groupBy("node").agg(F.sum("n").alias("weight"))
+    return stored(live.join(weights, "node").join(wide.select("node", *LANES), "node").select("key", "node", "weight", *LANES), "postings")
+
+
+def to_leaders(postings: DataFrame) -> DataFrame:
+    """One pair (a, b) per node at most: with the heaviest first of its lists that shares enough bytes."""
+    first = postings.groupBy("key").agg(F.max(F.struct("weight", "node", *LANES)).alias("top"))
+    shared = shared_bytes([F.col(c) for c in LANES], [F.col(f"top.{c}") for c in LANES])
+    met = postings.join(first, "key").where((F.col("node") != F.col("top.node")) & (shared >= MIN_SHARED))
+    best = met.groupBy("node").agg(F.max(F.struct("top.weight", "top.node")).alias("best"))
+    return best.select(F.col("node").alias("a"), F.col("best.node").alias("b"))
+
+
+def between_groups(postings: DataFrame, sketches: DataFrame, groups: DataFrame, similarity: float) -> DataFrame:
+    """Pairs (a, b) of nodes of different groups that share enough bytes and whose parity allows the similarity.
+
+    Sets of sizes p and q that are so similar differ in (p + q)(1 - s)/(1 + s) members at most.
+    ``sketches`` is (digest, parity, size), ``groups`` (node, component) of nodes with a link.
+    """
+    named = groups.select(F.col("node").alias("g"), "component")
+    tagged = postings.join(named, postings["node"] == named["g"], "left").select(
+        "key", "node", *LANES, F.coalesce("component", "node").alias("of")
     )
-    pairs = stored(pairs.union(alike), "pairs")
-    wanted = pairs.select(F.col("a").alias("digest")).union(pairs.select(F.col("b").alias("digest"))).distinct()
+    mixed = tagged.groupBy("key").agg(F.min("of").alias("low"), F.max("of").alias("high")).where("low < high").select("key")
+    rows = tagged.join(mixed, "key").join(sketches.withColumnRenamed("digest", "node"), "node")
+    rows = stored(rows.select("key", "node", *LANES, "of", "size", "parity"), "between")
+    a, b = [rows.select("key", *[F.col(c).alias(f"{side}_{c}") for c in rows.columns if c != "key"]) for side in "ab"]
+    differ = sum((F.bit_count(F.col("a_parity")[i].bitwiseXOR(F.col("b_parity")[i])) for i in range(PARITY_LONGS)), F.lit(0))
+    most = (F.col("a_size") + F.col("b_size")) * ((1 - similarity) / (1 + similarity)) + 1e-6
+    shared = shared_bytes([F.col(f"a_{c}") for c in LANES], [F.col(f"b_{c}") for c in LANES])
+    meet = (F.col("a_node") < F.col("b_node")) & (F.col("a_of") != F.col("b_of")) & (shared >= MIN_SHARED) & (differ <= most)
+    return a.join(b, "key").where(meet).select(F.col("a_node").alias("a"), F.col("b_node").alias("b")).distinct()
+
+
+def shingle_sets(texts: DataFrame, nodes: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
+    """(digest, shingles) of the digests in ``wanted``; of each a single row of ``texts`` is read."""
     held = nodes.join(wanted, "digest", "left_semi").select("digest", F.col("id").alias("head"), "own")
-    texts = docs.withColumn("hash", F.xxhash64("text"))
-    sets = (  # as many texts as pairs propose: a share of all, so no side to broadcast
+    return (  # as many texts as pairs propose: a share of all, so no side to broadcast
         texts.join(held.hint("merge"), same(texts["id"], held["head"]) & (texts["hash"] == held["own"]))
         .select("digest", "text")
         .mapInArrow(_shingle_sets(words), "digest bigint, shingles array<bigint>")
     )
-    sets = stored(sets, "shingles").dropDuplicates(["digest"])
+
+
+def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """Those of ``pairs`` whose sets of shingles are so similar (Jaccard)."""
     x, y = F.col("x"), F.col("y")
     both = F.size(F.array_intersect(x, y))
     return (
@@ -288,6 +326,37 @@ def near_links(docs: DataFrame, nodes: DataFrame, words: int = NEAR_WORDS, simil
     )
 
 
+def ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("digest")).union(pairs.select(F.col("b").alias("digest"))).distinct()
+
+
+def near_links(docs: DataFrame, nodes: DataFrame, words: int = NEAR_WORDS, similarity: float = NEAR_SIMILARITY) -> DataFrame:
+    """Links (a, b) of digests of different texts that join up the same groups as all similar pairs do.
+
+    ``nodes`` has one row per different text: digest, fingerprint lanes, parity and size of its
+    shingles, and the ``id`` and ``own`` hash of a row of ``docs`` (id, text) that holds it. The index
+    of fingerprints of two-word features proposes, the Jaccard similarity of the whole sets of
+    ``words``-word shingles decides. Thousands of near copies of one text would make millions of pairs;
+    so each text is first compared with the leader of its lists, and then only with texts of other
+    groups, where their parities do not rule the similarity out. A pair left out either is in one
+    group already or cannot be similar.
+    """
+    heads = nodes.groupBy(*LANES).agg(F.min("digest").alias("node"))
+    heads = stored(heads, "heads")
+    postings = posting_lists(heads)
+    # different texts with one fingerprint meet through the first of them
+    alike = nodes.join(heads, LANES).where("digest <> node").select(F.col("node").alias("a"), F.col("digest").alias("b"))
+    pairs = stored(to_leaders(postings).union(alike), "pairs")
+    texts = docs.withColumn("hash", F.xxhash64("text"))
+    sets = stored(shingle_sets(texts, nodes, ends(pairs), words), "shingles").dropDuplicates(["digest"])
+    near = stored(verified(pairs, sets, similarity), "near")
+    sketches = nodes.select("digest", "parity", "size")
+    rest = stored(between_groups(postings, sketches, components(near), similarity), "rest")
+    more = ends(rest).join(sets, "digest", "left_anti")
+    both = sets.unionByName(stored(shingle_sets(texts, nodes, more, words), "shingles").dropDuplicates(["digest"]))
+    return near.union(verified(rest, both, similarity))
+
+
 def drop_near_duplicates(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -305,13 +374,14 @@ def drop_near_duplicates(
     rows = pick(docs, id_col, text_col).withColumn("text", F.coalesce("text", F.lit("")))
     plain = F.trim(F.regexp_replace(F.translate("text", UPPER, UPPER.lower()), "[\\x20\\x09-\\x0D]+", " "))
     prints = rows.select(
-        "id", F.xxhash64("text").alias("own"), F.xxhash64(plain).alias("digest"), wide_fingerprint()(F.col("text")).alias("f")
+        "id", F.xxhash64("text").alias("own"), F.xxhash64(plain).alias("digest"), near_sketch(words)(F.col("text")).alias("f")
     )
     lanes = [F.col("f")[i].alias(c) for i, c in enumerate(LANES)]
-    prints = stored(prints.select("id", "own", "digest", *lanes), "wide")
+    rest = [F.slice("f", WIDE_LANES + 1, PARITY_LONGS).alias("parity"), F.element_at("f", -1).alias("size")]
+    prints = stored(prints.select("id", "own", "digest", *lanes, *rest), "wide")
     place = F.struct(F.col("id").isNull().alias("none"), "id", "own")
-    nodes = prints.groupBy("digest", *LANES).agg(F.min(place).alias("at"))
-    nodes = stored(nodes.select("digest", *LANES, "at.none", "at.id", "at.own"), "nodes")
+    nodes = prints.groupBy("digest").agg(F.min(place).alias("at"), F.min(F.struct(*LANES, "size", "parity")).alias("of"))
+    nodes = stored(nodes.select("digest", "of.*", "at.none", "at.id", "at.own"), "nodes")
     found = components(near_links(rows, nodes, words, similarity))
     groups = nodes.join(found, nodes["digest"] == found["node"], "left")
     keep = groups.groupBy(F.coalesce("component", "digest").alias("group")).agg(F.min(place).alias("at"))
