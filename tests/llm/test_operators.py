@@ -202,6 +202,45 @@ def test_near_duplicates(spark, texts, edge, empty):
     assert simhash.drop_near_duplicates(empty).count() == 0
 
 
+def test_parity_is_a_lower_bound():
+    rng = np.random.default_rng(3)
+    for n in (0, 5, 200, 5000):
+        own = rng.integers(0, 1 << 63, n).astype(np.uint64)
+        for k in (0, 1, 40, 3000):
+            more = np.concatenate([own[k:], rng.integers(0, 1 << 63, k).astype(np.uint64)])
+            bits = int(np.bitwise_count(simhash.parity(own) ^ simhash.parity(more)).sum())
+            assert bits <= len(np.setxor1d(own, more))
+            assert bits or k == 0
+
+
+def test_large_group_of_near_copies(spark):
+    rng = np.random.default_rng(4)
+    base = [f"w{i}" for i in rng.integers(0, 3000, 150)]
+    texts = {}
+    for i in range(120):
+        words = list(base)
+        for at in rng.choice(150, i % 8, replace=False):
+            words[at] = f"x{rng.integers(0, 40)}"
+        texts[i] = " ".join(words)
+    docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    kept = {r.doc_id for r in simhash.drop_near_duplicates(docs).select("doc_id").collect()}
+    # the index may miss a pair, never make one: the groups are those of all pairs it proposes
+    sketches = [np.unique(simhash.shingle_hashes(x, simhash.FEATURE_WORDS)) for x in texts.values()]
+    with np.errstate(over="ignore"):
+        steps = [np.uint64(i * 0x632BE59BD9B4E019 & (1 << 64) - 1) for i in range(simhash.WIDE_LANES)]
+        prints = np.array([[simhash.majority(simhash.mix(s + x)) for x in steps] for s in sketches], np.uint64)
+    equal = prints.view(np.uint8).reshape(len(texts), 1, -1) == prints.view(np.uint8).reshape(1, len(texts), -1)
+    meet = np.any([equal[:, :, list(k)].all(2) for k in simhash.triples(32, simhash.NEAR_TRIPLES)], axis=0)
+    sets = [set(simhash.shingle_hashes(x, simhash.NEAR_WORDS).tolist()) for x in texts.values()]
+    group = list(range(len(texts)))
+    for _ in texts:
+        for a, b in zip(*np.nonzero(meet & (equal.sum(2) >= simhash.MIN_SHARED)), strict=True):
+            if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]):
+                group[a] = group[b] = min(group[a], group[b])
+    assert kept == {i for i in texts if group[i] == i}
+    assert kept >= brute.near_groups(texts) and len(kept - brute.near_groups(texts)) <= 1
+
+
 def test_components(spark):
     links = [(i, i + 1) for i in range(1, 60)] + [(200 + i, 200) for i in range(1, 50)] + [(500, 501)]
     rows = {r.node: r.component for r in simhash.components(spark.createDataFrame(links, "a bigint, b bigint")).collect()}
