@@ -7,12 +7,16 @@ Lists of a single byte would hold 1/256 of all texts each, so a list takes sever
 * Hamming distance 3 on 8 bytes leaves at least five bytes equal, and every five of eight positions
   hold one of fourteen quadruples. No pair is missed.
 * Similarity of word shingles has no such guarantee; there a wide fingerprint and many triples of
-  positions make a miss unlikely, and the shingle sets themselves decide.
+  positions propose pairs, and the shingle sets themselves decide. Pairs that differ by scattered
+  words are rarely missed, but about a third of those at 0.8 with one block appended or replaced are.
+* ``complete=True`` takes posting lists on the shingles instead: sets of similarity s share a member
+  among the first (1 - s) of each, in any one order of all shingles. No pair is missed.
 """
 
 from __future__ import annotations
 
 import itertools
+import math
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -37,6 +41,9 @@ NEAR_TRIPLES = 64
 MIN_SHARED = 5
 PARITY_LONGS = 16
 SHINGLES_AT_ONCE = 1 << 15
+# Order of shingles: counts of buckets over a share of the texts. Any order is right, a rare-first one is fast.
+RANK_BITS = 20
+RANK_SHARE = 8
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -106,6 +113,57 @@ def near_sketch(words: int = NEAR_WORDS, feature_words: int = FEATURE_WORDS):
     return sketches
 
 
+def bucket(hashes: np.ndarray) -> np.ndarray:
+    return (mix(hashes) >> np.uint64(64 - RANK_BITS)).astype(np.int64)
+
+
+def _tallied(words: int):
+    def tallies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(1 << RANK_BITS, np.int64)
+        for batch in batches:
+            for t in batch.column("text").to_pylist():
+                np.add.at(counts, bucket(np.unique(shingle_hashes(t, words))), 1)
+        seen = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(counts[seen])], ["bucket", "n"])
+
+    return tallies
+
+
+def shingle_ranks(rows: DataFrame, words: int) -> np.ndarray:
+    """Of each bucket of shingles how often it occurs in a share of the texts of ``rows`` (text)."""
+    share = rows.where(F.pmod(F.xxhash64("text"), F.lit(RANK_SHARE)) == 0).select("text")
+    got = share.mapInArrow(_tallied(words), "bucket bigint, n bigint").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
+    ranks = np.zeros(1 << RANK_BITS, np.uint32)
+    ranks[got.column("bucket").to_numpy()] = np.minimum(got.column("n").to_numpy(), (1 << 32) - 1)
+    return ranks
+
+
+def prefix(own: np.ndarray, similarity: float, ranks: np.ndarray) -> np.ndarray:
+    """The rarest of a set of shingles, so many that each set so similar has one of its own rarest among them.
+
+    A similar set shares at least ``similarity`` of this one. What is left out here is less than
+    that, so the rarest shared member is in here, and by the same count in the other's.
+    """
+    most = len(own) - math.ceil(similarity * len(own) - 1e-6) + 1
+    return own[np.lexsort((own, ranks[bucket(own)]))[:most]]
+
+
+def prefix_sketch(words: int, similarity: float, ranks: np.ndarray):
+    """UDF: parity and size of the set of shingles, then its rarest members."""
+
+    @F.arrow_udf("array<bigint>")
+    def sketches(texts: pa.Array) -> pa.Array:
+        rows = [np.zeros(0, np.uint64)]
+        for t in texts.to_pylist():
+            own = np.unique(shingle_hashes(t, words))
+            rows.append(np.concatenate([parity(own), np.array([len(own)], np.uint64), prefix(own, similarity, ranks)]))
+        values = np.concatenate(rows).view(np.int64)
+        trim()
+        return pa.ListArray.from_arrays(pa.array(np.cumsum([len(r) for r in rows]), pa.int32()), pa.array(values, pa.int64()))
+
+    return sketches
+
+
 # ---- the index --------------------------------------------------------------------------------
 
 
@@ -283,24 +341,56 @@ def to_leaders(postings: DataFrame) -> DataFrame:
     return best.select(F.col("node").alias("a"), F.col("best.node").alias("b"))
 
 
-def between_groups(postings: DataFrame, sketches: DataFrame, groups: DataFrame, similarity: float) -> DataFrame:
-    """Pairs (a, b) of nodes of different groups that share enough bytes and whose parity allows the similarity.
+def prefix_lists(nodes: DataFrame) -> DataFrame:
+    """(key, node, weight) of the lists of rarest shingles ``nodes`` (digest, keys) that hold several; see ``posting_lists``."""
+    places = nodes.select(F.col("digest").alias("node"), F.explode("keys").alias("key"))
+    long = places.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    live = stored(places.join(long, "key"), "lists")
+    weights = live.groupBy("node").agg(F.sum("n").alias("weight"))
+    return stored(live.join(weights, "node").select("key", "node", "weight"), "postings")
+
+
+def allowed(similarity: float) -> Column:
+    """Whether sizes and parities of a_* and b_* leave the similarity possible.
 
     Sets of sizes p and q that are so similar differ in (p + q)(1 - s)/(1 + s) members at most.
-    ``sketches`` is (digest, parity, size), ``groups`` (node, component) of nodes with a link.
+    """
+    differ = sum((F.bit_count(F.col("a_parity")[i].bitwiseXOR(F.col("b_parity")[i])) for i in range(PARITY_LONGS)), F.lit(0))
+    most = (F.col("a_size") + F.col("b_size")) * ((1 - similarity) / (1 + similarity)) + 1e-6
+    return (F.abs(F.col("a_size") - F.col("b_size")) <= most) & (differ <= most)
+
+
+def prefix_leaders(postings: DataFrame, sketches: DataFrame, similarity: float) -> DataFrame:
+    """One pair (a, b) per node at most: with the heaviest first of its lists that its sketch allows."""
+    first = postings.groupBy("key").agg(F.max(F.struct("weight", "node")).alias("top"))
+    met = postings.join(first, "key").where(F.col("node") != F.col("top.node"))
+    met = stored(met.select(F.col("node").alias("a"), F.col("top.node").alias("b"), F.col("top.weight").alias("w")).distinct(), "met")
+    for side in "ab":
+        met = met.join(sketches.select(*[F.col(c).alias(x) for c, x in (("digest", side), ("parity", f"{side}_parity"), ("size", f"{side}_size"))]), side)
+    best = met.where(allowed(similarity)).groupBy("a").agg(F.max(F.struct("w", "b")).alias("best"))
+    return best.select("a", F.col("best.b").alias("b"))
+
+
+def between_groups(
+    postings: DataFrame, sketches: DataFrame, groups: DataFrame, similarity: float, lanes: Sequence[str] = LANES
+) -> DataFrame:
+    """Pairs (a, b) of nodes of different groups that share enough bytes and whose parity allows the similarity.
+
+    ``sketches`` is (digest, parity, size), ``groups`` (node, component) of nodes with a link. Without
+    ``lanes`` there are no bytes to compare.
     """
     named = groups.select(F.col("node").alias("g"), "component")
     tagged = postings.join(named, postings["node"] == named["g"], "left").select(
-        "key", "node", *LANES, F.coalesce("component", "node").alias("of")
+        "key", "node", *lanes, F.coalesce("component", "node").alias("of")
     )
     mixed = tagged.groupBy("key").agg(F.min("of").alias("low"), F.max("of").alias("high")).where("low < high").select("key")
     rows = tagged.join(mixed, "key").join(sketches.withColumnRenamed("digest", "node"), "node")
-    rows = stored(rows.select("key", "node", *LANES, "of", "size", "parity"), "between")
+    rows = stored(rows.select("key", "node", *lanes, "of", "size", "parity"), "between")
     a, b = [rows.select("key", *[F.col(c).alias(f"{side}_{c}") for c in rows.columns if c != "key"]) for side in "ab"]
-    differ = sum((F.bit_count(F.col("a_parity")[i].bitwiseXOR(F.col("b_parity")[i])) for i in range(PARITY_LONGS)), F.lit(0))
-    most = (F.col("a_size") + F.col("b_size")) * ((1 - similarity) / (1 + similarity)) + 1e-6
-    shared = shared_bytes([F.col(f"a_{c}") for c in LANES], [F.col(f"b_{c}") for c in LANES])
-    meet = (F.col("a_node") < F.col("b_node")) & (F.col("a_of") != F.col("b_of")) & (shared >= MIN_SHARED) & (differ <= most)
+    meet = (F.col("a_node") < F.col("b_node")) & (F.col("a_of") != F.col("b_of"))
+    if lanes:
+        meet = meet & (shared_bytes([F.col(f"a_{c}") for c in lanes], [F.col(f"b_{c}") for c in lanes]) >= MIN_SHARED)
+    meet = meet & allowed(similarity)
     return a.join(b, "key").where(meet).select(F.col("a_node").alias("a"), F.col("b_node").alias("b")).distinct()
 
 
@@ -330,28 +420,42 @@ def ends(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.col("a").alias("digest")).union(pairs.select(F.col("b").alias("digest"))).distinct()
 
 
-def near_links(docs: DataFrame, nodes: DataFrame, words: int = NEAR_WORDS, similarity: float = NEAR_SIMILARITY) -> DataFrame:
-    """Links (a, b) of digests of different texts that join up the same groups as all similar pairs do.
+def near_links(
+    docs: DataFrame, nodes: DataFrame, words: int = NEAR_WORDS, similarity: float = NEAR_SIMILARITY, complete: bool = False
+) -> DataFrame:
+    """Links (a, b) of digests of different texts that join up the same groups as all proposed similar pairs do.
 
-    ``nodes`` has one row per different text: digest, fingerprint lanes, parity and size of its
-    shingles, and the ``id`` and ``own`` hash of a row of ``docs`` (id, text) that holds it. The index
-    of fingerprints of two-word features proposes, the Jaccard similarity of the whole sets of
+    ``nodes`` has one row per different text: digest, fingerprint lanes (``complete``: keys, its rarest
+    shingles), parity and size of its shingles, and the ``id`` and ``own`` hash of a row of ``docs``
+    (id, text) that holds it. The index of fingerprints of two-word features proposes most similar
+    pairs, that of the rarest shingles every one; the Jaccard similarity of the whole sets of
     ``words``-word shingles decides. Thousands of near copies of one text would make millions of pairs;
     so each text is first compared with the leader of its lists, and then only with texts of other
-    groups, where their parities do not rule the similarity out. A pair left out either is in one
-    group already or cannot be similar.
+    groups, where their parities do not rule the similarity out. A proposed pair left out either is
+    in one group already or cannot be similar.
     """
+    if complete:
+        postings = prefix_lists(nodes)
+        pairs = stored(prefix_leaders(postings, nodes.select("digest", "parity", "size"), similarity), "pairs")
+        return _joined_up(docs, nodes, postings, pairs, words, similarity, [])
     heads = nodes.groupBy(*LANES).agg(F.min("digest").alias("node"))
     heads = stored(heads, "heads")
     postings = posting_lists(heads)
     # different texts with one fingerprint meet through the first of them
     alike = nodes.join(heads, LANES).where("digest <> node").select(F.col("node").alias("a"), F.col("digest").alias("b"))
     pairs = stored(to_leaders(postings).union(alike), "pairs")
+    return _joined_up(docs, nodes, postings, pairs, words, similarity, LANES)
+
+
+def _joined_up(
+    docs: DataFrame, nodes: DataFrame, postings: DataFrame, pairs: DataFrame, words: int, similarity: float, lanes: Sequence[str]
+) -> DataFrame:
+    """The similar ones of ``pairs``, then those of the lists that lie between the groups these make."""
     texts = docs.withColumn("hash", F.xxhash64("text"))
     sets = stored(shingle_sets(texts, nodes, ends(pairs), words), "shingles").dropDuplicates(["digest"])
     near = stored(verified(pairs, sets, similarity), "near")
     sketches = nodes.select("digest", "parity", "size")
-    rest = stored(between_groups(postings, sketches, components(near), similarity), "rest")
+    rest = stored(between_groups(postings, sketches, components(near), similarity, lanes), "rest")
     more = ends(rest).join(sets, "digest", "left_anti")
     both = sets.unionByName(stored(shingle_sets(texts, nodes, more, words), "shingles").dropDuplicates(["digest"]))
     return near.union(verified(rest, both, similarity))
@@ -363,9 +467,12 @@ def drop_near_duplicates(
     text_col: str = "text",
     words: int = NEAR_WORDS,
     similarity: float = NEAR_SIMILARITY,
+    complete: bool = False,
 ) -> DataFrame:
     """``docs`` with one row of each group of exact and near copies, the one with the smallest id.
 
+    ``complete`` finds every pair of that similarity; without it the fingerprints may miss some.
+
     Texts equal up to the case of A-Z and white space are copies. Rows without words are one group.
     A null id comes after all others. Of rows that repeat an id, the one whose text hashes lowest
     stays, and of wholly equal rows any one.
@@ -373,16 +480,21 @@ def drop_near_duplicates(
     prepare(docs.sparkSession)
     rows = pick(docs, id_col, text_col).withColumn("text", F.coalesce("text", F.lit("")))
     plain = F.trim(F.regexp_replace(F.translate("text", UPPER, UPPER.lower()), "[\\x20\\x09-\\x0D]+", " "))
-    prints = rows.select(
-        "id", F.xxhash64("text").alias("own"), F.xxhash64(plain).alias("digest"), near_sketch(words)(F.col("text")).alias("f")
-    )
-    lanes = [F.col("f")[i].alias(c) for i, c in enumerate(LANES)]
-    rest = [F.slice("f", WIDE_LANES + 1, PARITY_LONGS).alias("parity"), F.element_at("f", -1).alias("size")]
-    prints = stored(prints.select("id", "own", "digest", *lanes, *rest), "wide")
+    sketch = prefix_sketch(words, similarity, shingle_ranks(rows, words)) if complete else near_sketch(words)
+    prints = rows.select("id", F.xxhash64("text").alias("own"), F.xxhash64(plain).alias("digest"), sketch(F.col("text")).alias("f"))
+    if complete:
+        held = [F.col("f")[PARITY_LONGS].alias("size"), F.slice("f", 1, PARITY_LONGS).alias("parity")]
+        held.append(F.slice("f", F.lit(PARITY_LONGS + 2), F.size("f")).alias("keys"))
+        names = ["size", "parity", "keys"]
+    else:
+        held = [F.col("f")[i].alias(c) for i, c in enumerate(LANES)]
+        held += [F.element_at("f", -1).alias("size"), F.slice("f", WIDE_LANES + 1, PARITY_LONGS).alias("parity")]
+        names = [*LANES, "size", "parity"]
+    prints = stored(prints.select("id", "own", "digest", *held), "wide")
     place = F.struct(F.col("id").isNull().alias("none"), "id", "own")
-    nodes = prints.groupBy("digest").agg(F.min(place).alias("at"), F.min(F.struct(*LANES, "size", "parity")).alias("of"))
+    nodes = prints.groupBy("digest").agg(F.min(place).alias("at"), F.min(F.struct(*names)).alias("of"))
     nodes = stored(nodes.select("digest", "of.*", "at.none", "at.id", "at.own"), "nodes")
-    found = components(near_links(rows, nodes, words, similarity))
+    found = components(near_links(rows, nodes, words, similarity, complete))
     groups = nodes.join(found, nodes["digest"] == found["node"], "left")
     keep = groups.groupBy(F.coalesce("component", "digest").alias("group")).agg(F.min(place).alias("at"))
     keep = stored(keep.select(F.col("at.id").alias("keep_id"), F.col("at.own").alias("keep_own")), "keep")

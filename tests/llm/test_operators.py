@@ -241,6 +241,25 @@ def test_large_group_of_near_copies(spark):
     assert kept >= brute.near_groups(texts) and len(kept - brute.near_groups(texts)) <= 1
 
 
+def test_near_copies_with_one_block_changed(spark):
+    rng = np.random.default_rng(11)
+    new = lambda n: [f"w{i}" for i in rng.integers(0, 10**6, n)]
+    texts = {}
+    for i in range(0, 240, 2):  # 0.8 similar or just below, by a block at the end or in the middle
+        base = new(int(rng.integers(60, 400)))
+        n = len(base) - 4
+        if i % 4:
+            other = base + new(n // 4 + (i % 12 == 2))
+        else:
+            block = n // 9 - 4 + (i % 12 == 0)
+            other = base[:20] + new(block) + base[20 + block :]
+        texts[i], texts[i + 1] = " ".join(base), " ".join(other)
+    want = brute.near_groups(texts)
+    docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    kept = {r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, FOLDER).collect()}
+    assert kept == want and 120 < len(want) < 200
+
+
 def test_components(spark):
     links = [(i, i + 1) for i in range(1, 60)] + [(200 + i, 200) for i in range(1, 50)] + [(500, 501)]
     rows = {r.node: r.component for r in simhash.components(spark.createDataFrame(links, "a bigint, b bigint")).collect()}
