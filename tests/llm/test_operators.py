@@ -94,6 +94,27 @@ def test_pii_adds_what_was_learned(spark, empty):
     assert nothing.trees == [None] * 4 and pii.detect(empty, nothing).count() == 0
 
 
+def card_texts(n):
+    for i in range(n):
+        digits = f"4539{i * 7919:011d}"
+        good = next(digits + str(c) for c in range(10) if pii.luhn(digits + str(c)))
+        bad = digits + str((int(good[-1]) + 5) % 10)
+        yield i, f"pay by card {good} now, order {bad} too, write to u{i}@host{i}.org or +49 30 {digits[-8:]}"
+
+
+def test_pii_numbers_beside_others(spark):
+    for text, want in (
+        ("card 4539148803436467 12/27", "4539148803436467"), ("card 3782.822463.10005 12/27", "3782.822463.10005"),
+        ("call 0049/30/1234567 12 34", "0049/30/1234567"), ("7 8 4539.1488.0343.6467 1 2", "4539.1488.0343.6467"),
+    ):
+        assert want in {text[a:b] for a, b in pii.candidates(text)}
+    assert len(pii.candidates("1 " * 3000)) <= 3000 * pii.MOST_DIGITS
+    model = pii.train(spark.createDataFrame(list(card_texts(600)), "doc_id bigint, text string"))
+    odd = "pay by card 4539148803436467 12/27 or by card 4539148803436462 12/27"
+    found = {odd[a:b] for a, _, b, _ in pii.spans_of(odd, model)}
+    assert "4539148803436467" in found and not any("6462" in x for x in found)
+
+
 def test_boosting_and_threshold():
     rng = np.random.default_rng(3)
     x = rng.normal(size=(4000, 5))
