@@ -115,6 +115,16 @@ def test_pii_numbers_beside_others(spark):
     assert "4539148803436467" in found and not any("6462" in x for x in found)
 
 
+def test_pii_long_addresses():
+    for text in (
+        "firstname.lastname (at) department (dot) university (dot) ac (dot) uk",
+        "maximilian.mustermann (at) informatik (dot) uni-musterstadt (dot) de",
+        "a" * 64 + "@" + ".".join(["b" * 60] * 4),
+    ):
+        assert (6, 6 + len(text)) in pii.candidates("write " + text + ", please")
+    assert len(pii.candidates("a(at)" * 2000)) < 2001
+
+
 def test_boosting_and_threshold():
     rng = np.random.default_rng(3)
     x = rng.normal(size=(4000, 5))
