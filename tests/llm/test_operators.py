@@ -125,6 +125,14 @@ def test_pii_long_addresses():
     assert len(pii.candidates("a(at)" * 2000)) < 2001
 
 
+def test_pii_few_examples(spark):
+    numbers = [(100 + i, f"order 12{i:03d} of item 45{i:04d}, ref 99{i * 37:06d}") for i in range(40)]
+    model = pii.train(spark.createDataFrame([*card_texts(8), *numbers], "doc_id bigint, text string"))
+    odd = "write to jane.doe (at) example (dot) org, order 4711 of item 123456"
+    assert [odd[a:b] for a, _, b, _ in pii.spans_of(odd, model)] == ["jane.doe (at) example (dot) org"]
+    assert model.least[1] == float("inf") and all(p >= pii.LEAST_SURE for p in model.least)
+
+
 def test_boosting_and_threshold():
     rng = np.random.default_rng(3)
     x = rng.normal(size=(4000, 5))
