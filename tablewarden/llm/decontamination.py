@@ -7,6 +7,9 @@ value of the document throughout. All of it is DataFrame expressions.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -35,18 +38,33 @@ def plain_words(text: Column) -> Column:
     return F.trim(F.regexp_replace(F.translate(F.coalesce(text, F.lit("")), NAME + NUMBER + UNIT, ""), BLANK, " "))
 
 
-def template_text(plain: Column) -> Column:
+def folded_words(text: Column) -> Column:
+    return F.lower(plain_words(text))
+
+
+def any_name_text(plain: Column) -> Column:
+    """Like ``template_text``, with capitalised words at the start of a sentence as names too."""
+    return template_text(plain, "(?<![^ ])")
+
+
+def template_text(plain: Column, before_name: str = "(?<=[^.!?: ] )") -> Column:
     """One template word per word of ``plain``; every rule looks at whole words in linear time.
 
     A name is a capitalised word that does not begin a sentence, a number any word with a digit, a
     unit one of ``UNITS``. Other words lose case and punctuation.
     """
-    named = F.regexp_replace(plain, "(?<=[^.!?: ] )\\p{Lu}\\p{Ll}[^ ]*+", NAME)
+    named = F.regexp_replace(plain, before_name + "\\p{Lu}\\p{Ll}[^ ]*+", NAME)
     numbered = F.regexp_replace(named, "(?<![^ ])[^ 0-9]*+[0-9][^ ]*+", NUMBER)
     words = F.lower(F.regexp_replace(numbered, f"[^\\p{{L}}\\p{{N}}{NAME}{NUMBER} ]++", ""))
     return F.regexp_replace(words, f"(?<![^ ])(?:{'|'.join(UNITS)})(?![^ ])", UNIT)
 
 
+# Ways to read a text: its words, and their template. The query takes the first, as its SQL says.
+AS_WRITTEN = (plain_words, template_text)
+Form = tuple[Callable[[Column], Column], Callable[[Column], Column]]
+FORMS = [AS_WRITTEN, (plain_words, any_name_text), (folded_words, template_text)]
+
+
 def _windows(template: Column, of: str) -> Column:
     """Array of (pos, value) of all windows; the words are split once, not once a window."""
 
@@ -64,11 +82,13 @@ def _windows(template: Column, of: str) -> Column:
     return F.transform(F.array(F.split(template, " ")), inner)[0]
 
 
-def benchmark_windows(benchmark: DataFrame, item_col: str = "item_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
+def benchmark_windows(
+    benchmark: DataFrame, item_col: str = "item_id", text_col: str = "text", form: Form = AS_WRITTEN
+) -> tuple[DataFrame, DataFrame]:
     """(item, item_pos, hash) of the windows that say enough, and (item, n_windows, words, template)."""
     items = benchmark.select(
-        benchmark[item_col].alias("item"), plain_words(benchmark[text_col].cast("string")).alias("plain")
-    ).withColumn("template", template_text(F.col("plain")))
+        benchmark[item_col].alias("item"), form[0](benchmark[text_col].cast("string")).alias("plain")
+    ).withColumn("template", form[1](F.col("plain")))
     windows = (
         items.select("item", F.inline(_windows(F.col("template"), "literals")))
         .where(F.col("literals") >= MIN_LITERALS)
@@ -77,15 +97,15 @@ def benchmark_windows(benchmark: DataFrame, item_col: str = "item_id", text_col:
     return windows, items
 
 
-def _hits(rows: DataFrame, windows: DataFrame) -> DataFrame:
+def _hits(rows: DataFrame, windows: DataFrame, form: Form) -> DataFrame:
     """(id, own, pos, hash, words) of the windows of ``rows`` (id, own, text) that the benchmark has.
 
     The benchmark's hashes are broadcast if they are counted to be few: then no text is shuffled, and
     the words of a hit are cut from the text beside it. Otherwise both sides are shuffled by hash and
     the texts with hits are joined back.
     """
-    searched = rows.withColumn("template", template_text(plain_words(F.col("text"))))
-    cut = F.slice(F.split(plain_words(F.col("text")), " "), F.col("pos") + 1, WINDOW).alias("words")
+    searched = rows.withColumn("template", form[1](form[0](F.col("text"))))
+    cut = F.slice(F.split(form[0](F.col("text")), " "), F.col("pos") + 1, WINDOW).alias("words")
     hashes = windows.select("hash").distinct()
     if hashes.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
         found = searched.select("id", "own", "text", F.inline(_windows(F.col("template"), "hash")))
@@ -106,6 +126,7 @@ def find_leaks(
     text_col: str = "text",
     item_col: str = "item_id",
     min_coverage: float = MIN_COVERAGE,
+    form: Form = AS_WRITTEN,
 ) -> DataFrame:
     """One row per document and item it leaks: id, item_id, n_windows, coverage, n_slots, kind, own.
 
@@ -115,11 +136,11 @@ def find_leaks(
     """
     spark = docs.sparkSession
     prepare(spark)
-    windows, items = benchmark_windows(benchmark, item_col)
+    windows, items = benchmark_windows(benchmark, item_col, form=form)
     windows = stored(windows.distinct(), "benchmark-windows")
     items = stored(items.dropDuplicates(["item", "plain"]), "benchmark-items")
     # 1. which windows of which documents occur in the benchmark, and the words they hold there
-    hits = stored(_hits(pick(docs, id_col, text_col).withColumn("own", F.xxhash64("text")), windows), "hits")
+    hits = stored(_hits(pick(docs, id_col, text_col).withColumn("own", F.xxhash64("text")), windows, form), "hits")
     # 2. alignments: all pairs of windows of one document and item at one distance
     pairs = hits.join(windows, "hash").select(
         "id", "own", "item", "item_pos", (F.col("pos") - F.col("item_pos")).alias("shift"), "words"
@@ -171,8 +192,13 @@ def find_leaks(
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that leak no benchmark item, with all their columns."""
-    leaks = find_leaks(docs, benchmark, id_col, text_col).select(F.col(id_col).alias("leaks_id"), F.col("own").alias("leaks_own"))
+    """The rows of ``docs`` that leak no benchmark item, with all their columns.
+
+    Beside the form that ``op2`` reports, an item is looked for with every capitalised word as a name
+    and without regard to case.
+    """
+    found = [find_leaks(docs, benchmark, id_col, text_col, form=form).select(id_col, "own") for form in FORMS]
+    leaks = reduce(DataFrame.union, found).toDF("leaks_id", "leaks_own")
     leaks = stored(leaks.distinct(), "leaks")
     own = fresh(docs, "own")
     tagged = docs.withColumn(own, F.xxhash64(docs[text_col].cast("string")))

@@ -395,6 +395,19 @@ def test_decontamination(spark, empty, monkeypatch):
     assert decontamination.drop_leaks(empty, bench).count() == 0
 
 
+def test_drops_renamed_and_folded_copies(spark):
+    item = (
+        "Anna has 12 apples and buys 5 more apples at the market. Anna gives 3 apples to her brother Ben. "
+        "Anna then bakes 2 pies. Ben eats 4 of them. How many apples does Anna have left?"
+    )
+    other = item.replace("Anna", "Clara").replace("Ben", "Tom").replace("12", "30").replace("3 ", "7 ")
+    mixed = other.replace("Clara then", "Dora then").replace("Clara gives", "Eva gives")
+    docs = [(1, other), (2, "so " + item.lower()), (3, None), (4, "nothing of that kind is in here at all, it is another text")]
+    docs = spark.createDataFrame([*docs, (5, mixed)], "doc_id int, text string")
+    bench = spark.createDataFrame([(1, item)], "item_id int, text string")
+    assert sorted(r.doc_id for r in decontamination.drop_leaks(docs, bench).collect()) == [3, 4, 5]
+
+
 def test_pipeline(spark, texts):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet").withColumn("measured", F.lit("x"))
     want = {i for i, t in texts.items() if not brute.quality(t)[5]}
