@@ -191,13 +191,57 @@ def find_leaks(
     )
 
 
+def exact_words(text: Column) -> Column:
+    """Lower-case words without the quotes, brackets and stops around them."""
+    bare = F.regexp_replace(folded_words(text), "(?<![^ ])[\"'(\\[«“¿¡]++(?=[^ ])", "")
+    return F.split(F.regexp_replace(bare, "(?<=[\\p{L}\\p{N}])[\"')\\].,;:!?»”]++(?![^ ])", ""), " ")
+
+
+def _starts(words: Column, k: int) -> Column:
+    """Array of (at, key) of all runs of ``k`` words, counted from 1."""
+
+    def keys(w: Column) -> Column:
+        places = F.sequence(F.lit(1), F.size(w) - (k - 1))
+        return F.when(F.size(w) >= k, F.transform(places, lambda i: F.struct(i.alias("at"), F.xxhash64(F.slice(w, i, k)).alias("key"))))
+
+    return F.transform(F.array(words), keys)[0]
+
+
+def whole_item_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, own) of the rows of ``docs`` that hold an item without any window, word by word with its own values.
+
+    Such items are shorter than ``WINDOW`` words or made of numbers and names. Each is one window of
+    its whole length, found by its first words (``WINDOW`` at most) and compared to its end.
+    """
+    plain = plain_words(benchmark["text"].cast("string"))
+    enough = F.filter(_windows(template_text(F.col("plain")), "literals"), lambda w: w["literals"] >= MIN_LITERALS)
+    items = benchmark.select(plain.alias("plain")).where("plain <> ''").where(F.coalesce(F.size(enough), F.lit(0)) < 1)
+    items = items.select(exact_words(F.col("plain")).alias("item_words")).distinct()
+    items = items.withColumn("k", F.least(F.size("item_words"), F.lit(WINDOW)))
+    items = stored(items.withColumn("key", F.xxhash64(F.slice("item_words", F.lit(1), F.col("k")))), "whole-items")
+    rows = pick(docs, id_col, text_col).withColumn("own", F.xxhash64("text"))
+    places = []
+    for (k,) in items.select("k").distinct().collect():  # at most WINDOW lengths, none for most benchmarks
+        found = rows.select("id", "own", F.inline(_starts(exact_words(F.col("text")), k)))
+        keys = items.where(F.col("k") == k).select("key").distinct()
+        places.append(found.join(keys, "key", "left_semi").select("id", "own", "at", "key", F.lit(k).alias("k")))
+    if not places:
+        return rows.select("id", "own").where("false")
+    places = stored(reduce(DataFrame.union, places).distinct(), "whole-places").withColumnsRenamed({"id": "of", "own": "of_own"})
+    held = places.join(items, ["k", "key"])
+    texts = rows.dropDuplicates(["id", "own"]).join(held, same(F.col("id"), F.col("of")) & same(F.col("own"), F.col("of_own")))
+    equal = F.slice(exact_words(F.col("text")), F.col("at"), F.size("item_words")) == F.col("item_words")
+    return texts.where(equal).select("id", "own").distinct()
+
+
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that leak no benchmark item, with all their columns.
 
     Beside the form that ``op2`` reports, an item is looked for with every capitalised word as a name
-    and without regard to case.
+    and without regard to case; an item that has no window at all is looked for as a whole.
     """
     found = [find_leaks(docs, benchmark, id_col, text_col, form=form).select(id_col, "own") for form in FORMS]
+    found.append(whole_item_leaks(docs, benchmark, id_col, text_col))
     leaks = reduce(DataFrame.union, found).toDF("leaks_id", "leaks_own")
     leaks = stored(leaks.distinct(), "leaks")
     own = fresh(docs, "own")

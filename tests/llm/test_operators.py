@@ -408,6 +408,20 @@ def test_drops_renamed_and_folded_copies(spark):
     assert sorted(r.doc_id for r in decontamination.drop_leaks(docs, bench).collect()) == [3, 4, 5]
 
 
+def test_drops_whole_short_items(spark, empty):
+    items = ["What is the capital of France?", "12 + 7 = ?", "3 5 8 13 21 34 55 89 144", None, ""]
+    docs = [
+        (1, 'He asked "What is the capital of France?" and left.'), (2, "so 12 + 7 = ? he wrote"), (3, "so 12 + 8 = ? he wrote"),
+        (4, "as in 3 5 8 13 21 34 55 89 144 and on"), (5, "as in 3 5 8 13 21 34 55 89 145 and on"), (6, None),
+        (7, "What is the capital of Spain?"), (8, "-12 + 7 = ?"),
+    ]
+    docs = spark.createDataFrame(docs, "doc_id int, text string")
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id int, text string")
+    found = {r.id for r in decontamination.whole_item_leaks(docs, bench).collect()}
+    assert found == {1, 2, 4} and decontamination.whole_item_leaks(empty, bench).count() == 0
+    assert sorted(r.doc_id for r in decontamination.drop_leaks(docs, bench).collect()) == [3, 5, 6, 7, 8]
+
+
 def test_pipeline(spark, texts):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet").withColumn("measured", F.lit("x"))
     want = {i for i, t in texts.items() if not brute.quality(t)[5]}
