@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from tablewarden.llm.chat_formatting import OP8_SQL, op8_perspective_rotation
 from tablewarden.llm.decontamination import OP2_SQL, op2_template_decontamination
+from tablewarden.llm.exact_dedup import OP12_SQL, op12_exact_dedup
+from tablewarden.llm.hard_negatives import OP11_SQL, op11_hard_negatives
 from tablewarden.llm.language_id import op3_language_codes
+from tablewarden.llm.lexical_search import OP13_SQL, op13_ranked_search
 from tablewarden.llm.pii import op1_pii_boosting
 from tablewarden.llm.quality_rules import op4_repetition_coverage
 from tablewarden.llm.sentencepiece_codec import op5_sentencepiece
@@ -26,10 +29,16 @@ QUERIES = {
         op8_perspective_rotation,
         op9_jump_hash,
         op10_substring_dedup,
+        op11_hard_negatives,
+        op12_exact_dedup,
+        op13_ranked_search,
     )
 }
 ORACLES = {
     "op2_template_decontamination": OP2_SQL,
     "op8_perspective_rotation": OP8_SQL,
     "op9_jump_hash": OP9_SQL,
+    "op11_hard_negatives": OP11_SQL,
+    "op12_exact_dedup": OP12_SQL,
+    "op13_ranked_search": OP13_SQL,
 }
