@@ -202,3 +202,15 @@ def _porter(word: str) -> str:
 @F.pandas_udf(StringType())
 def porter_stem(words: pd.Series) -> pd.Series:
     return words.map(_porter, na_action="ignore")
+
+
+@F.pandas_udf(StringType())
+def _stem_words(texts: pd.Series) -> pd.Series:
+    words = {w for t in texts.dropna() for w in t.split(" ")}
+    stems = {w: _porter(w) for w in words}
+    return texts.map(lambda t: " ".join(stems[w] for w in t.split(" ")), na_action="ignore")
+
+
+def stemmed_label(label: Column) -> Column:
+    """As ``normalize_label`` with Porter stems; a batch of labels stems each word once."""
+    return _stem_words(F.array_join(F.coalesce(_label_words(label), F.array().cast("array<string>")), " "))

@@ -10,12 +10,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablewarden.functions.names import normalize_label, normalize_variable, with_stemmed_label
+from tablewarden.functions.names import normalize_label, normalize_variable, stemmed_label
 from tablewarden.operators.scale import attach, attach_grand
 from tablewarden.session import settle
 
 RANGE = r"^([A-Za-z]*)\s*([0-9]+)\s*[-–]\s*([0-9]+)$"
+RANGE_DIGITS = 18
 RANGE_STEP = 50_000
+# Widths of ranges are counted in hexadecimal digits; 18 decimal ones need no more than this.
+LEVELS = 15
+# Whose entries a name may mean: those of no group, of the column's group, of any group.
+OPEN, OWN, ANY = "open", "own:", "any"
 COLUMN_KEY = ["paper_id", "source_file", "col_pos"]
 JOINER = " | "
 
@@ -38,51 +43,125 @@ def merge_dictionaries(embedded: DataFrame, parsed: DataFrame) -> DataFrame:
     )
 
 
-def expand_ranges(codebook: DataFrame) -> DataFrame:
-    """``V1–V3`` style rows become one row per number, placed after all other rows.
+def _bounds(codebook: DataFrame) -> DataFrame:
+    """Adds ``_is`` (reads as a range), ``_ok`` (runs forwards), ``_pre``, ``_a`` and ``_b``.
 
-    Padding is lost. Ranges that run backwards are dropped, unless no range of
-    the repository can be expanded: then its rows stay as they are.
+    A number of more than ``RANGE_DIGITS`` digits makes a row an ordinary name.
     """
     text = F.trim(F.col("codebook_variable"))
-    # a bound that is no 32-bit integer makes the range invalid
-    first = F.regexp_extract(text, RANGE, 2).try_cast("int").cast("bigint")
-    last = F.regexp_extract(text, RANGE, 3).try_cast("int").cast("bigint")
-    tagged = (
-        codebook.withColumn("_is", F.coalesce(F.col("codebook_variable").rlike(RANGE), F.lit(False)))
-        .withColumn("_a", F.when(F.col("_is"), first))
-        .withColumn("_b", F.when(F.col("_is"), last))
+
+    def number(group: int) -> Column:
+        digits = F.regexp_replace(F.regexp_extract(text, RANGE, group), "^0+(?=[0-9])", "")
+        return F.when(F.length(digits) <= RANGE_DIGITS, digits.try_cast("bigint"))
+
+    shaped = F.coalesce(F.col("codebook_variable").rlike(RANGE), F.lit(False))
+    return (
+        codebook.withColumn("_a", F.when(shaped, number(2)))
+        .withColumn("_b", F.when(shaped, number(3)))
+        .withColumn("_pre", F.when(shaped, F.regexp_extract(text, RANGE, 1)))
+        .withColumn("_is", F.col("_a").isNotNull() & F.col("_b").isNotNull())
         .withColumn("_ok", F.coalesce(F.col("_a") <= F.col("_b"), F.lit(False)))
     )
-    able = tagged.where("_ok").select("paper_id").distinct().withColumn("_any", F.lit(True))
-    rows = attach(tagged, able, ["paper_id"]).where(
-        ~F.col("_is") | F.col("_ok") | F.col("_any").isNull()
-    )
-    # a range may be very long: it is unfolded in two steps of bounded arrays
-    a, b, nothing = F.col("_a"), F.col("_b"), F.array(F.lit(None).cast("bigint"))
-    starts = F.when(F.col("_ok"), F.sequence(a, b, F.lit(RANGE_STEP).cast("bigint"))).otherwise(nothing)
-    stop = F.least(b, F.col("_from") + (RANGE_STEP - 1))
-    numbers = F.when(F.col("_ok"), F.sequence(F.col("_from"), stop)).otherwise(nothing)
-    prefix = F.regexp_extract(text, RANGE, 1)
-    out = rows.withColumn("_from", F.explode(starts)).withColumn("_n", F.explode(numbers)).drop("_from")
-    return out.withColumn(
-        "codebook_variable",
-        F.when(F.col("_ok"), F.concat(prefix, F.col("_n").cast("string"))).otherwise(
-            F.col("codebook_variable")
-        ),
-    ).withColumn(
-        # expanded rows last, in range order
-        "ord",
-        F.struct(F.col("_ok").cast("int").alias("late"), F.col("ord").alias("ord"), F.coalesce("_n", F.lit(0)).alias("n")),
-    ).drop("_is", "_a", "_b", "_ok", "_any", "_n")
 
 
-def _in_order(rows: Column, field: str) -> Column:
-    return F.array_distinct(F.filter(F.transform(rows, lambda r: r[field]), lambda x: x.isNotNull()))
+def _without_backward(tagged: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(names, ranges): a range that runs backwards is a name only where its repository has no other range."""
+    ranges = tagged.where("_ok")
+    backward = attach(tagged.where("_is AND NOT _ok"), ranges.select("paper_id").distinct(), ["paper_id"], "left_anti")
+    return tagged.where("NOT _is").unionByName(backward), ranges
+
+
+def expand_ranges(codebook: DataFrame) -> DataFrame:
+    """``V1-V3`` style rows (``V1-3``, hyphen or en dash) become one row per number, after all other rows.
+
+    Padding is lost. Ranges that run backwards are dropped, unless no range of the repository can be
+    expanded: then its rows stay as they are. A range gives as many rows as it has numbers, however
+    many those are; matching does not need them, see ``match_labels``.
+    """
+    names, ranges = _without_backward(_bounds(codebook))
+    # a long range is unfolded in steps, so that no array has more than RANGE_STEP numbers
+    low, high, out = F.col("_a"), F.col("_b"), ranges
+    for power in range(3, -1, -1):
+        step = RANGE_STEP**power
+        out = out.withColumn("_from", F.explode(F.sequence(low, high, F.lit(step).cast("bigint"))))
+        low, high = F.col("_from"), F.least(F.col("_b"), F.col("_from") + (step - 1))
+    named = out.withColumn("codebook_variable", F.concat("_pre", F.col("_from").cast("string")))
+    # expanded rows last, in range order
+    order = lambda late, n: F.struct(F.lit(late).alias("late"), F.col("ord").alias("ord"), n.alias("n"))
+    rest = ["_a", "_b", "_pre", "_is", "_ok"]
+    return (
+        names.withColumn("ord", order(0, F.lit(0).cast("bigint")))
+        .drop(*rest)
+        .unionByName(named.withColumn("ord", order(1, F.col("_from"))).drop(*rest, "_from"))
+    )
+
+
+def _entries(codebook: DataFrame) -> DataFrame:
+    """Dictionary rows under the ``_key`` by which a name finds them, with ``_late``, ``_a``, ``_b``.
+
+    An ordinary row has its normalised name as key. A range stands under its prefix, the least number
+    of hexadecimal digits that its length needs, and its bounds without so many digits: at most two
+    keys, one of which every number of the range has too.
+    """
+    names, ranges = _without_backward(_bounds(codebook))
+    plain = names.withColumn("_key", normalize_variable(F.col("codebook_variable"))).withColumn("_late", F.lit(0))
+    plain = plain.withColumns({c: F.lit(None).cast("bigint") for c in ("_a", "_b")})
+    digits = F.length(F.hex(F.col("_b") - F.col("_a")))
+    spots = F.array_distinct(F.array(*[F.call_function("shiftright", F.col(c), 4 * digits) for c in ("_a", "_b")]))
+    spread = (
+        ranges.withColumn("_spot", F.explode(spots))
+        .withColumn("_key", _spot_key(F.lower("_pre"), digits, F.col("_spot")))
+        .withColumn("codebook_variable", F.col("_pre"))  # the number follows from the name that asks
+        .withColumn("_late", F.lit(1))
+        .drop("_spot")
+    )
+    return plain.unionByName(spread).drop("_pre", "_is", "_ok")
+
+
+def _spot_key(prefix: Column, digits: Column, spot: Column) -> Column:
+    # no normalised name has a line end, so these keys meet no other
+    return F.concat_ws("\n", prefix, digits.cast("string"), spot.cast("string"))
+
+
+NUMBERED = "^([a-z]*)(0|[1-9][0-9]{0,17})$"
+
+
+def _asked_keys(names: DataFrame) -> DataFrame:
+    """One row per key under which the dictionary may hold ``_norm``: the name, and its places in ranges."""
+    digits, number = F.regexp_extract("_norm", NUMBERED, 2), F.col("_number")
+    levels = F.when(number.isNotNull(), F.sequence(F.lit(0), F.lit(LEVELS))).otherwise(F.array(F.lit(0)))
+    key = F.when(F.col("_level") == 0, F.col("_norm")).otherwise(
+        _spot_key(F.regexp_extract("_norm", NUMBERED, 1), F.col("_level"), F.call_function("shiftright", number, 4 * F.col("_level")))
+    )
+    return (
+        names.withColumn("_number", F.when(digits != "", digits.cast("bigint")))
+        .withColumn("_level", F.explode(levels))
+        .withColumn("_key", key)
+        .drop("_level")
+    )
+
+
+def entries_of_names(names: DataFrame, codebook: DataFrame) -> DataFrame:
+    """The rows of ``codebook`` that stand for each ``(paper_id, _norm)``, ranges as the one name asked for.
+
+    An interval join by equality: a number meets a range under the width of the range, then the bounds
+    decide. No range is unfolded, so its length does not matter. ``ord`` sorts as after ``expand_ranges``.
+    """
+    asked = _asked_keys(names.select("paper_id", "_norm").distinct())
+    book = _entries(codebook).withColumnRenamed("paper_id", "_of")
+    inside = F.col("_a").isNull() | F.col("_number").between(F.col("_a"), F.col("_b"))
+    found = asked.join(book.withColumnRenamed("_key", "_found"), F.expr("paper_id <=> _of AND _key = _found") & inside)
+    variable = F.when(F.col("_a").isNotNull(), F.concat("codebook_variable", F.col("_number").cast("string")))
+    return (
+        found.withColumn("codebook_variable", F.coalesce(variable, "codebook_variable"))
+        .withColumn("ord", F.struct(F.col("_late").alias("late"), F.col("ord").alias("ord")))
+        .drop("_of", "_found", "_key", "_number", "_late", "_a", "_b")
+    )
 
 
-def _longest(labels: Column) -> Column:
-    """The longest label, the first of equals."""
+def _longest(rows: Column) -> Column:
+    """The longest label of (ord, value) in order, the first of equals."""
+    labels = F.transform(rows, lambda r: r["value"])
     top = F.array_max(F.transform(labels, F.length))
     return F.get(F.filter(labels, lambda x: F.length(x) == top), F.lit(0))
 
@@ -92,89 +171,98 @@ def match_labels(
 ) -> DataFrame:
     """Label outcome per column by equality of normalised names within the repository.
 
-    What a name means depends only on (repository, name, group of the column).
-    The outcome is worked out once per such key from the distinct dictionary
-    entries of the name and then joined to the columns, so a column repeated in
-    very many files drags no lists through the shuffle.
-
-    Labels that agree in their Porter stems are one; with ``stems=False`` only
-    plurals are stripped. ``with_codebook`` lists the ``paper_id`` that have any
-    codebook: columns of all others get the status ``no_codebook``.
+    What a name means depends only on (repository, name, group of the column). The outcome is worked
+    out once per such key and then joined to the columns. Dictionary rows are taken apart into their
+    distinct values (label, variable, source) before they meet the keys, so a name that the dictionary
+    repeats very often counts as often as it has different values; only values that belong into the
+    outcome come together in a row. Rows like ``V1-99`` stand for all their numbers, see
+    ``entries_of_names``.
+
+    Labels that agree in their Porter stems are one; with ``stems=False`` only plurals are stripped. A
+    codebook that has a column ``label_stem`` (``with_label_stems``) is not stemmed again.
+    ``with_codebook`` lists the ``paper_id`` that have any codebook: columns of all others get the
+    status ``no_codebook``.
     """
-    names = ["paper_id", "_norm"]
-    entries = (
-        codebook.withColumn("_norm", normalize_variable(F.col("codebook_variable")))
-        .groupBy(*names, "group", "label", "codebook_variable", "codebook_source", "parse_method")
-        .agg(F.min("ord").alias("ord"))
+    outcome_key = ["paper_id", "_norm", "group"]
+    key = ["paper_id", "_key", "_late", "_a", "_b", "_scope", "field", "value"]
+    stemmed = "label_stem" in codebook.columns
+    entries = _entries(codebook)
+    fields = {"label": F.col("label"), "variable": F.col("codebook_variable"), "source": F.col("codebook_source")}
+    own = F.col("parse_method") == "haven"
+    cells = [F.struct(F.lit(f).alias("field"), v.alias("value")) for f, v in fields.items()]
+    cells += [F.struct(F.lit(f"own_{f}").alias("field"), F.when(own, v).alias("value")) for f, v in fields.items()]
+    # an entry of a group counts for the columns of that group and, as another's, for all
+    scopes = F.when(F.col("group").isNull(), F.array(F.lit(OPEN))).otherwise(
+        F.array(F.concat(F.lit(OWN), "group"), F.lit(ANY))
     )
-    if stems:
-        entries = with_stemmed_label(settle(entries), "label", "_stem")
-    else:
-        entries = entries.withColumn("_stem", normalize_label("label"))
-    listed = entries.groupBy(*names).agg(
-        F.array_sort(
-            F.collect_list(
-                F.struct("ord", "group", "label", "codebook_variable", "codebook_source", "parse_method", "_stem")
-            )
-        ).alias("_rows")
+    values = (
+        entries.withColumn("_cell", F.explode(F.array(*cells)))
+        .select(*[c for c in key[:5] if c != "_scope"], "group", "ord", *(["label_stem"] if stemmed else []), "_cell.*")
+        .where("value IS NOT NULL")
+        .withColumn("_scope", F.explode(scopes))
+        .groupBy(*key, *(["label_stem"] if stemmed else []))
+        .agg(F.min("ord").alias("ord"))
     )
+    if not stemmed:
+        words = stemmed_label(F.col("value")) if stems else normalize_label(F.col("value"))
+        labels = values.where("field = 'label'").withColumn("label_stem", words)
+        values = values.where("field <> 'label'").withColumn("label_stem", F.lit(None).cast("string")).unionByName(labels)
     keyed = columns.withColumn("_norm", normalize_variable(F.col("column_name")))
-    outcome_key = [*names, "group"]
-    joined = attach(keyed.select(*outcome_key).distinct(), listed, names)
-    group = F.col("group")
-    unscoped = F.filter("_rows", lambda r: r["group"].isNull())
-    same = F.filter("_rows", lambda r: F.coalesce(r["group"] == group, F.lit(False)))
-    staged = (
-        joined.withColumn("_app", F.concat(unscoped, same))
-        .withColumn("_other", F.filter("_rows", lambda r: F.coalesce(r["group"] != group, F.lit(True)) & r["group"].isNotNull()))
-        .withColumn("_labels", _in_order(F.col("_app"), "label"))
-        .withColumn("_own", F.filter("_app", lambda r: F.coalesce(r["parse_method"] == "haven", F.lit(False))))
-        .withColumn("_same", F.size(_in_order(F.filter("_app", lambda r: r["label"].isNotNull()), "_stem")) == 1)
-    )
-    hit = F.col("_rows").isNotNull()
-    n_app, n_labels = F.size("_app"), F.size("_labels")
-    other_only = hit & (n_app == 0) & (F.size("_other") > 0)
-    one = hit & (n_app > 0) & (n_labels <= 1)
-    many = hit & (n_app > 0) & (n_labels > 1)
-    embedded = many & (F.size("_own") > 0)
-    merged = many & ~embedded & F.col("_same")
+    mine = F.when(F.col("group").isNull(), F.array(F.lit(OPEN), F.lit(ANY))).otherwise(
+        F.array(F.lit(OPEN), F.lit(ANY), F.concat(F.lit(OWN), "group"))
+    )
+    asked = _asked_keys(keyed.select(*outcome_key).distinct()).withColumn("_scope", F.explode(mine))
+    right = values.withColumnsRenamed({c: f"b{c}" for c in ("paper_id", "_key", "_scope")})
+    inside = F.col("_a").isNull() | F.col("_number").between(F.col("_a"), F.col("_b"))
+    same = F.expr("paper_id <=> bpaper_id AND _key = b_key AND _scope = b_scope")
+    found = asked.join(right, same & inside)
+    number = F.col("_a").isNotNull() & F.col("field").isin("variable", "own_variable")
+    value = F.when(number, F.concat("value", F.col("_number").cast("string"))).otherwise(F.col("value"))
+    # open entries come before those of the group, expanded ranges last
+    order = F.struct(F.startswith("_scope", F.lit(OWN)).alias("own"), F.col("_late").alias("late"), F.col("ord").alias("ord"))
+    rows = found.select(*outcome_key, "_scope", "field", F.struct(order.alias("ord"), value.alias("value"), F.col("label_stem").alias("stem")).alias("r"))
+    here = F.col("_scope") != ANY
+
+    def listed(field: str, applies: Column) -> Column:
+        return F.array_sort(F.collect_list(F.when(applies & (F.col("field") == field), F.col("r"))))
+
+    lists = {f"_{f}": listed(f, here) for f in (*fields, "own_label", "own_variable", "own_source")}
+    lists |= {f"_other_{f}": listed(f, ~here) for f in fields}
+    staged = rows.groupBy(*outcome_key).agg(*[c.alias(n) for n, c in lists.items()])
+    staged = staged.withColumn("_stems", F.array_distinct(F.transform("_label", lambda r: r["stem"])))
+
+    def distinct(field: str) -> Column:
+        return F.array_distinct(F.transform(field, lambda r: r["value"]))
+
+    def first(field: str) -> Column:
+        return F.array(F.get(field, F.lit(0))["value"])
+
+    some, n_labels = F.size("_variable") > 0, F.size(distinct("_label"))
+    other_only = ~some & (F.size("_other_variable") > 0)
+    one = some & (n_labels <= 1)
+    many = some & (n_labels > 1)
+    embedded = many & (F.size("_own_variable") > 0)
+    merged = many & ~embedded & (F.size("_stems") == 1)
     status = (
         F.when(other_only, F.lit("ambiguous_experiment"))
         .when(one | embedded | merged, F.lit("labelled"))
         .when(many, F.lit("conflicting_definition"))
-        .otherwise(F.lit("unlabelled"))
     )
-    method = (
-        F.when(one, F.lit("rules"))
-        .when(embedded, F.lit("haven_priority"))
-        .when(merged, F.lit("merged_rules"))
-    )
-    empty = F.array().cast("array<string>")
-    own_labels = F.transform("_own", lambda r: r["label"])
+    method = F.when(one, F.lit("rules")).when(embedded, F.lit("haven_priority")).when(merged, F.lit("merged_rules"))
     labels = (
-        F.when(other_only, _in_order(F.col("_other"), "label"))
-        .when(one, F.col("_labels"))
-        .when(embedded, F.array(_longest(F.filter(own_labels, lambda x: x.isNotNull()))))
-        .when(merged, F.array(_longest(F.col("_labels"))))
-        .when(many, F.col("_labels"))
-        .otherwise(empty)
+        F.when(other_only, distinct("_other_label"))
+        .when(embedded, F.array(_longest(F.col("_own_label"))))
+        .when(merged, F.array(_longest(F.col("_label"))))
+        .otherwise(distinct("_label"))
     )
-
-    def first(rows: str) -> Column:
-        return F.array(F.get(rows, F.lit(0))["codebook_variable"])
-
     variables = (
-        F.when(other_only, _in_order(F.col("_other"), "codebook_variable"))
-        .when(one | merged, first("_app"))
-        .when(embedded, first("_own"))
-        .when(many, _in_order(F.col("_app"), "codebook_variable"))
-        .otherwise(empty)
+        F.when(other_only, distinct("_other_variable"))
+        .when(one | merged, first("_variable"))
+        .when(embedded, first("_own_variable"))
+        .otherwise(distinct("_variable"))
     )
     sources = (
-        F.when(other_only, _in_order(F.col("_other"), "codebook_source"))
-        .when(embedded, _in_order(F.col("_own"), "codebook_source"))
-        .when(one | many, _in_order(F.col("_app"), "codebook_source"))
-        .otherwise(empty)
+        F.when(other_only, distinct("_other_source")).when(embedded, distinct("_own_source")).otherwise(distinct("_source"))
     )
     outcome = staged.select(
         *outcome_key,
@@ -184,14 +272,22 @@ def match_labels(
         status.alias("label_status"),
         method.alias("label_method"),
     )
+    empty = F.array().cast("array<string>")
     out = attach(keyed, outcome, outcome_key).drop("_norm")
+    out = out.withColumns({c: F.coalesce(c, empty) for c in ("label", "codebook_variable", "label_source")})
+    status = F.coalesce("label_status", F.lit("unlabelled"))
     if with_codebook is None:
-        return out
+        return out.withColumn("label_status", status)
     known = with_codebook.select("paper_id").distinct().withColumn("_known", F.lit(True))
-    status = F.when(F.col("_known"), F.col("label_status")).otherwise(F.lit("no_codebook"))
+    status = F.when(F.col("_known"), status).otherwise(F.lit("no_codebook"))
     return attach(out, known, ["paper_id"]).withColumn("label_status", status).drop("_known")
 
 
+def with_label_stems(codebook: DataFrame) -> DataFrame:
+    """The dictionary with its labels' Porter stems, written once for all matching that follows."""
+    return settle(codebook.withColumn("label_stem", stemmed_label(F.col("label"))))
+
+
 def merge_verdicts(labels: DataFrame, verdicts: DataFrame) -> DataFrame:
     """Conflicting rows that an outside verdict calls equivalent take its canonical label.
 
@@ -226,7 +322,13 @@ def second_pass(labels: DataFrame, codebook: DataFrame, pairs: DataFrame) -> Dat
         .select("paper_id", normalize_variable(F.col("_v")).alias("_var"))
         .distinct()
     )
-    named = codebook.withColumn("_var", normalize_variable(F.col("codebook_variable")))
+    asked = pairs.select(
+        "paper_id",
+        normalize_variable(F.col("column_name")).alias("_norm"),
+        normalize_variable(F.col("codebook_variable")).alias("_var"),
+        "ord",
+    )
+    named = entries_of_names(asked.select("paper_id", F.col("_var").alias("_norm")), codebook).withColumnRenamed("_norm", "_var")
     free = (
         attach(named, used, ["paper_id", "_var"], "left_anti")
         .groupBy("paper_id", "_var")
@@ -234,12 +336,6 @@ def second_pass(labels: DataFrame, codebook: DataFrame, pairs: DataFrame) -> Dat
             F.min_by(F.struct("label", "codebook_variable", "codebook_source"), "ord").alias("_hit")
         )
     )
-    asked = pairs.select(
-        "paper_id",
-        normalize_variable(F.col("column_name")).alias("_norm"),
-        normalize_variable(F.col("codebook_variable")).alias("_var"),
-        "ord",
-    )
     chosen = asked.join(free, ["paper_id", "_var"]).groupBy(*names).agg(F.min_by("_hit", "ord").alias("_hit"))
     out = attach(keyed, chosen, names)
     hit = (F.col("label_status") == "unlabelled") & F.col("_hit").isNotNull()

@@ -104,12 +104,8 @@ MATCH = (
 )
 
 
-def _book(t):
-    return X.expand_ranges(t.v_book)
-
-
 def _labels(t):
-    return X.match_labels(t.v_cols.drop("col_type"), _book(t))
+    return X.match_labels(t.v_cols.drop("col_type"), t.v_book)
 
 
 _OUT = "col_pos, label, codebook_variable, label_source, label_status, label_method"
@@ -170,7 +166,7 @@ def second_pass(t):
         .agg(F.min("col_pos").alias("ord"))
         .withColumn("codebook_variable", F.expr("'Q_' || CAST(CAST(right(column_name, 1) AS INT) - 3 AS STRING)"))
     )
-    return X.joined_output(X.second_pass(settle(_labels(t)), _book(t), pairs)).select(*_OUT.split(", "))
+    return X.joined_output(X.second_pass(settle(_labels(t)), t.v_book, pairs)).select(*_OUT.split(", "))
 
 
 COVERAGE = (

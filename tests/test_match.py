@@ -1,3 +1,5 @@
+import random
+
 from pyspark.sql import functions as F
 
 from tablewarden.functions import names as N
@@ -68,12 +70,66 @@ def test_ranges(spark):
              ("q9-7", "bad", "a", None, "llm"), ("keep", "k", "a", None, "llm"))
     rows = X.expand_ranges(b).orderBy("ord").collect()
     assert [r["codebook_variable"] for r in rows] == ["V01–V03", "V2-V9x", "keep", "V8", "V9", "V10"]
-    long = X.expand_ranges(book(spark, ("x1-120001", "long", "a", None, "llm"), ("y1-9999999999", "too far", "a", None, "llm")))
-    assert long.count() == 120_001 and long.select("codebook_variable").distinct().count() == 120_001
+    long = X.expand_ranges(book(spark, ("x1-120001", "long", "a", None, "llm"), ("y1-" + "9" * 19, "a name", "a", None, "llm")))
+    assert long.count() == 120_002 and long.select("codebook_variable").distinct().count() == 120_002
+    far = X.expand_ranges(book(spark, ("z99999999998-100000000001", "far", "a", None, "llm")))
+    assert sorted(r["codebook_variable"] for r in far.collect()) == ["z100000000000", "z100000000001", "z99999999998", "z99999999999"]
     stuck = X.expand_ranges(book(spark, ("q9-7", "bad", "a", None, "llm"), ("x", "k", "a", None, "llm"))).collect()
     assert {r["codebook_variable"] for r in stuck} == {"q9-7", "x"}
 
 
+def test_ranges_of_any_length_match(spark):
+    b = book(
+        spark,
+        ("V1-10000000000", "wide", "a.csv", None, "llm"),
+        ("v5–7", "narrow", "b.csv", "ex1", "llm"),
+        ("V6", "named", "c.csv", None, "llm"),
+        ("w3-1", "backwards", "a.csv", None, "llm"),
+        ("12-19", "bare numbers", "a.csv", None, "llm"),
+    )
+    got = outcome(spark, b, ("v_10000000000", None), ("V10000000000", None), ("V10000000001", None), ("v6", "ex1"), ("v0", None),
+                  ("v7", "ex2"), ("V07", None), ("w3-1", None), ("12", None), ("20", None))
+    assert [g[0] for g in got] == ["unlabelled", "labelled", "unlabelled", "conflicting_definition", "unlabelled", "labelled",
+                                   "unlabelled", "unlabelled", "labelled", "unlabelled"]
+    assert got[1] == ("labelled", "rules", "wide", "V10000000000", "a.csv")
+    assert got[3] == ("conflicting_definition", None, "named | wide | narrow", "V6 | v6", "c.csv | a.csv | b.csv")
+    assert X.expand_ranges(book(spark, ("w3-1", "b", "a", None, "llm"))).count() == 1
+
+
+def test_interval_join_against_plain_expansion(spark):
+    rng = random.Random(3)
+    rows = []
+    for _ in range(60):
+        a = rng.choice([rng.randrange(40), rng.randrange(5000)])
+        rows.append((f"{rng.choice('qv')}{a}-{a + rng.choice([0, 1, 15, 16, 17, 255, 256, 300])}", f"l{rng.randrange(9)}", "a", None, "llm"))
+    b = book(spark, *rows)
+    names = spark.createDataFrame([("p", f"{x}{n}") for x in "qv" for n in range(0, 5400, 7)], "paper_id string, _norm string")
+    got = X.entries_of_names(names, b).select("_norm", "codebook_variable", "label", F.col("ord.ord"))
+    flat = X.expand_ranges(b).select(F.lower("codebook_variable").alias("_norm"), "codebook_variable", "label", F.col("ord.ord"))
+    want = flat.join(names.select("_norm"), "_norm")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) and want.count() > 500
+
+
+def test_a_name_the_dictionary_repeats_very_often(spark):
+    n = 200_000
+    many = spark.range(n).select(
+        F.lit("p").alias("paper_id"), F.lit("q_1").alias("codebook_variable"),
+        F.when(F.col("id") % 2 == 0, "Test scores").otherwise("test score").alias("label"),
+        F.concat(F.lit("f"), (F.col("id") % 3).cast("string")).alias("codebook_source"),
+        F.when(F.col("id") % 5 == 0, "ex1").alias("group"), F.lit("llm").alias("parse_method"), F.col("id").alias("ord"),
+    )
+    got = outcome(spark, many, ("Q 1", None), ("Q 1", "ex1"), ("q1", None))
+    assert got[0] == got[1] == ("labelled", "merged_rules", "Test scores", "q_1", "f1 | f2 | f0")
+    assert got[2][0] == "unlabelled"
+
+
+def test_stems_handed_in(spark):
+    b = book(spark, ("q", "Relational responses", "a.csv", None, "llm"), ("q", "relate response", "b.csv", None, "llm"))
+    stemmed = X.with_label_stems(b)
+    assert outcome(spark, stemmed, ("q", None)) == outcome(spark, b, ("q", None))
+    assert outcome(spark, b, ("q", None))[0][:2] == ("labelled", "merged_rules")
+
+
 def test_embedded_rows_win_in_the_merged_dictionary(spark):
     a = book(spark, ("q_1", "L", "s.sav", None, "haven"))
     b = book(spark, ("Q 1", "L", "a.csv", None, "structured"), ("Q 1", "L", "a.csv", "ex1", "structured"))
