@@ -7,7 +7,7 @@ value of the document throughout. All of it is DataFrame expressions.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -21,6 +21,8 @@ WINDOW = 8
 MIN_LITERALS = 4
 # A document leaks an item if consistent alignments cover this share of the item's windows.
 MIN_COVERAGE = 0.5
+# An item too short or bare for windows must have this many words to drop a document.
+LEAST_WHOLE = 4
 BLANK = "[\\x20\\x09-\\x0D]+"
 NAME, NUMBER, UNIT = "\x01", "\x02", "\x03"
 # Words taken as units of measure or money.
@@ -59,194 +61,197 @@ def template_text(plain: Column, before_name: str = "(?<=[^.!?: ] )") -> Column:
     return F.regexp_replace(words, f"(?<![^ ])(?:{'|'.join(UNITS)})(?![^ ])", UNIT)
 
 
-# Ways to read a text: its words, and their template. The query takes the first, as its SQL says.
-AS_WRITTEN = (plain_words, template_text)
-Form = tuple[Callable[[Column], Column], Callable[[Column], Column]]
-FORMS = [AS_WRITTEN, (plain_words, any_name_text), (folded_words, template_text)]
+# Ways to read the words of a text as templates. The query takes the first, as its SQL says.
+AS_WRITTEN = template_text
+Form = Callable[[Column], Column]
+FORMS: list[Form] = [AS_WRITTEN, any_name_text, lambda plain: template_text(F.lower(plain))]
+# The number of the form in which an item without a window stands as a whole.
+WHOLE = -1
 
 
-def _windows(template: Column, of: str) -> Column:
-    """Array of (pos, value) of all windows; the words are split once, not once a window."""
+def _windows(template: Column, form: int, literals: bool = False, width: int = WINDOW) -> Column:
+    """Array of (pos, hash) of all windows of ``width`` words; words are split and hashed once, not once a window."""
 
-    def value(words: Column, i: Column) -> Column:
-        part = F.slice(words, i, WINDOW)
-        if of == "hash":
-            return F.struct((i - 1).alias("pos"), F.xxhash64(part).alias("hash"))
-        literals = F.size(F.filter(part, lambda w: (w > UNIT) & (w != "")))
-        return F.struct((i - 1).alias("pos"), F.xxhash64(part).alias("hash"), literals.alias("literals"))
+    def value(words: Column, codes: Column, i: Column) -> Column:
+        parts = [(i - 1).alias("pos"), F.xxhash64(F.slice(codes, i, width), F.lit(form)).alias("hash")]
+        if literals:
+            said = F.filter(F.slice(words, i, width), lambda w: (w > UNIT) & (w != ""))
+            parts.append(F.size(said).alias("literals"))
+        return F.struct(*parts)
 
-    inner = lambda words: F.when(
-        F.size(words) >= WINDOW,
-        F.transform(F.sequence(F.lit(1), F.size(words) - (WINDOW - 1)), lambda i: value(words, i)),
-    )
-    return F.transform(F.array(F.split(template, " ")), inner)[0]
+    def inner(both: Column) -> Column:
+        words, codes = both["words"], both["codes"]
+        places = F.sequence(F.lit(1), F.size(codes) - (width - 1))
+        return F.when(F.size(codes) >= width, F.transform(places, lambda i: value(words, codes, i)))
+
+    def coded(words: Column) -> Column:
+        codes = F.transform(words, lambda w: F.xxhash64(w))
+        return F.struct(words.alias("words") if literals else F.lit(None).alias("words"), codes.alias("codes"))
+
+    return F.transform(F.transform(F.array(F.split(template, " ")), coded), inner)[0]
+
+
+def exact_words(text: Column) -> Column:
+    """Lower-case words without the quotes, brackets and stops around them, one space between them."""
+    bare = F.regexp_replace(folded_words(text), "(?<![^ ])[\"'(\\[«“¿¡]++(?=[^ ])", "")
+    return F.regexp_replace(bare, "(?<=[\\p{L}\\p{N}])[\"')\\].,;:!?»”]++(?![^ ])", "")
+
+
+def _whole(text: Column) -> Column:
+    return _windows(exact_words(text), WHOLE, width=LEAST_WHOLE)
 
 
 def benchmark_windows(
-    benchmark: DataFrame, item_col: str = "item_id", text_col: str = "text", form: Form = AS_WRITTEN
+    benchmark: DataFrame,
+    item_col: str = "item_id",
+    text_col: str = "text",
+    forms: Sequence[Form] = (AS_WRITTEN,),
+    whole: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
-    """(item, item_pos, hash) of the windows that say enough, and (item, n_windows, words, template)."""
-    items = benchmark.select(
-        benchmark[item_col].alias("item"), form[0](benchmark[text_col].cast("string")).alias("plain")
-    ).withColumn("template", form[1](F.col("plain")))
-    windows = (
-        items.select("item", F.inline(_windows(F.col("template"), "literals")))
+    """(item, key, form, item_pos, hash) of what is looked for, and (item, key, plain, templates), both stored.
+
+    ``key`` is the hash of an item's words, which tells texts apart that share an id. With ``whole`` an
+    item of ``LEAST_WHOLE`` words or more none of whose windows says enough is looked for word by word,
+    in the form ``WHOLE``: by all its runs of ``LEAST_WHOLE`` words.
+    """
+    text = benchmark[text_col].cast("string")
+    items = benchmark.select(benchmark[item_col].alias("item"), plain_words(text).alias("plain"), text.alias("text"))
+    items = items.withColumn("key", F.xxhash64("plain")).withColumn("templates", F.array(*[f(F.col("plain")) for f in forms]))
+    items = stored(items.dropDuplicates(["item", "plain"]), "benchmark-items")
+    parts = [
+        items.select("item", "key", F.lit(n).alias("form"), F.inline(_windows(F.col("templates")[n], n, True)))
         .where(F.col("literals") >= MIN_LITERALS)
-        .select("item", F.col("pos").alias("item_pos"), "hash")
-    )
-    return windows, items
+        .drop("literals")
+        for n in range(len(forms))
+    ]
+    if whole:
+        told = parts[0].select("item", "key").distinct().withColumnsRenamed({"item": "t_item", "key": "t_key"})
+        rest = items
+        rest = rest.join(told, same(F.col("item"), F.col("t_item")) & (F.col("key") == F.col("t_key")), "left_anti")
+        parts.append(rest.select("item", "key", F.lit(WHOLE).alias("form"), F.inline(_whole(F.col("text")))))
+    windows = reduce(DataFrame.unionByName, parts).withColumnRenamed("pos", "item_pos").distinct()
+    return stored(windows, "benchmark-windows"), items.drop("text")
 
 
-def _hits(rows: DataFrame, windows: DataFrame, form: Form) -> DataFrame:
-    """(id, own, pos, hash, words) of the windows of ``rows`` (id, own, text) that the benchmark has.
+def _hits(rows: DataFrame, windows: DataFrame, forms: Sequence[Form]) -> DataFrame:
+    """(id, own, pos, hash, words) of what the benchmark and ``rows`` (id, own, text) have in common, in one scan.
 
     The benchmark's hashes are broadcast if they are counted to be few: then no text is shuffled, and
     the words of a hit are cut from the text beside it. Otherwise both sides are shuffled by hash and
     the texts with hits are joined back.
     """
-    searched = rows.withColumn("template", form[1](form[0](F.col("text"))))
-    cut = F.slice(F.split(form[0](F.col("text")), " "), F.col("pos") + 1, WINDOW).alias("words")
+    looked = [_windows(f(F.col("plain")), n) for n, f in enumerate(forms)]
+    if not windows.where(F.col("form") == WHOLE).isEmpty():  # else that form is left out of the scan
+        looked.append(_whole(F.col("text")))
+    empty = F.array().cast("array<struct<pos:int,hash:bigint>>")
+    places = F.concat(*[F.coalesce(x, empty) for x in looked]) if len(looked) > 1 else looked[0]
+    searched = rows.withColumn("plain", plain_words(F.col("text")))
+    cut = F.slice(F.split("plain", " "), F.col("pos") + 1, WINDOW).alias("words")
     hashes = windows.select("hash").distinct()
     if hashes.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
-        found = searched.select("id", "own", "text", F.inline(_windows(F.col("template"), "hash")))
+        found = searched.select("id", "own", "plain", F.inline(places))
         return found.join(F.broadcast(hashes), "hash", "left_semi").select("id", "own", "pos", "hash", cut).distinct()
-    found = searched.select("id", "own", F.inline(_windows(F.col("template"), "hash")))
+    found = searched.select("id", "own", F.inline(places))
     found = stored(found.join(hashes, "hash", "left_semi").distinct(), "places").withColumnsRenamed({"id": "of", "own": "of_own"})
     return (
-        rows.dropDuplicates(["id", "own"])
+        searched.dropDuplicates(["id", "own"])
         .join(found, same(F.col("id"), F.col("of")) & same(F.col("own"), F.col("of_own")))
         .select("id", "own", "pos", "hash", cut)
     )
 
 
-def find_leaks(
-    docs: DataFrame,
-    benchmark: DataFrame,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    item_col: str = "item_id",
-    min_coverage: float = MIN_COVERAGE,
-    form: Form = AS_WRITTEN,
-) -> DataFrame:
-    """One row per document and item it leaks: id, item_id, n_windows, coverage, n_slots, kind, own.
-
-    ``kind`` is ``exact`` where all slots hold the benchmark's own values, else ``reparameterised``;
-    ``own`` is the hash of the text, which tells rows apart that repeat an id. Items with fewer than
-    ``WINDOW`` words, and null or empty texts on either side, match nothing. Whole texts are searched.
-    """
-    spark = docs.sparkSession
-    prepare(spark)
-    windows, items = benchmark_windows(benchmark, item_col, form=form)
-    windows = stored(windows.distinct(), "benchmark-windows")
-    items = stored(items.dropDuplicates(["item", "plain"]), "benchmark-items")
+def judge(docs: DataFrame, benchmark: DataFrame, id_col: str, text_col: str, item_col: str, min_coverage: float, forms: Sequence[Form], whole: bool) -> DataFrame:
+    """(id, own, item, key, form, n_windows, total, n_slots, changed) of every leak, once for each form that shows it."""
+    prepare(docs.sparkSession)
+    windows, items = benchmark_windows(benchmark, item_col, "text", forms, whole)
     # 1. which windows of which documents occur in the benchmark, and the words they hold there
-    hits = stored(_hits(pick(docs, id_col, text_col).withColumn("own", F.xxhash64("text")), windows, form), "hits")
+    hits = stored(_hits(pick(docs, id_col, text_col).withColumn("own", F.xxhash64("text")), windows, forms), "hits")
     # 2. alignments: all pairs of windows of one document and item at one distance
     pairs = hits.join(windows, "hash").select(
-        "id", "own", "item", "item_pos", (F.col("pos") - F.col("item_pos")).alias("shift"), "words"
+        "id", "own", "item", "key", "form", "item_pos", (F.col("pos") - F.col("item_pos")).alias("shift"), "words"
     )
     pairs = stored(pairs, "aligned")
     # 3. slots: the words of both sides where the template has a placeholder
     item_words = items.select(
-        "item", F.split("plain", " ").alias("item_words"), F.split("template", " ").alias("template")
+        F.col("item").alias("i_item"), F.col("key").alias("i_key"), F.split("plain", " ").alias("item_words"), "templates"
     )
     strip = lambda c: F.lower(F.regexp_replace(c, "^[^\\p{L}\\p{N}]+|[^\\p{L}\\p{N}]+$", ""))
+    keys = ["id", "own", "item", "key", "form", "shift"]
     slots = (
-        pairs.join(item_words, "item")
-        .select("id", "own", "item", "shift", "item_pos", "item_words", "template", F.posexplode("words").alias("k", "word"))
+        pairs.where(F.col("form") != WHOLE)
+        .join(item_words, same(F.col("item"), F.col("i_item")) & (F.col("key") == F.col("i_key")))
+        .withColumn("template", F.split(F.col("templates")[F.col("form")], " "))
+        .select(*keys, "item_pos", "item_words", "template", F.posexplode("words").alias("k", "word"))
         .withColumn("place", (F.col("item_pos") + F.col("k")).cast("int"))
         .where(F.col("template")[F.col("place")].isin(NAME, NUMBER, UNIT))
-        .select("id", "own", "item", "shift", strip(F.col("item_words")[F.col("place")]).alias("theirs"), strip(F.col("word")).alias("ours"))
+        .select(*keys, strip(F.col("item_words")[F.col("place")]).alias("theirs"), strip(F.col("word")).alias("ours"))
         .distinct()
     )
     # a value of the benchmark with two values in the document breaks the alignment
-    values = slots.groupBy("id", "own", "item", "shift", "theirs").agg(
+    values = slots.groupBy(*keys, "theirs").agg(
         F.count(F.lit(1)).alias("n"), F.max((F.col("theirs") != F.col("ours")).cast("int")).alias("changed")
     )
-    judged = values.groupBy("id", "own", "item", "shift").agg(
+    judged = values.groupBy(*keys).agg(
         F.max("n").alias("most"), F.sum("changed").alias("changed"), F.count(F.lit(1)).alias("n_slots")
     )
-    keys = ["id", "own", "item", "shift"]
     judged = judged.withColumnsRenamed({k: f"j_{k}" for k in keys})
-    on = same(F.col("id"), F.col("j_id")) & (F.col("own") == F.col("j_own")) & same(F.col("item"), F.col("j_item")) & (F.col("shift") == F.col("j_shift"))
+    on = reduce(Column.__and__, [same(F.col(k), F.col(f"j_{k}")) for k in keys])
     sound = pairs.join(judged, on, "left").where(F.coalesce("most", F.lit(1)) == 1)
-    totals = windows.groupBy("item").agg(F.count_distinct("item_pos").alias("total")).withColumnRenamed("item", "t_item")
-    found = sound.groupBy("id", "own", "item").agg(
+    # a whole item counts along one alignment, windows along all that are sound
+    along = F.when(F.col("form") == WHOLE, F.col("shift")).alias("along")
+    found = sound.groupBy(*keys[:-1], along).agg(
         F.count_distinct("item_pos").alias("n_windows"),
         F.max(F.coalesce("n_slots", F.lit(0))).alias("n_slots"),
         F.min(F.coalesce("changed", F.lit(0))).alias("changed"),
     )
-    return (
-        found.join(totals, same(F.col("item"), F.col("t_item")))
-        .where(F.col("n_windows") >= F.lit(min_coverage) * F.col("total"))
-        .select(
-            F.col("id").alias(id_col),
-            F.col("item").alias(item_col),
-            "n_windows",
-            F.round(F.col("n_windows") / F.col("total"), 4).alias("coverage"),
-            "n_slots",
-            F.when(F.col("changed") > 0, "reparameterised").otherwise("exact").alias("kind"),
-            "own",
-        )
-    )
-
-
-def exact_words(text: Column) -> Column:
-    """Lower-case words without the quotes, brackets and stops around them."""
-    bare = F.regexp_replace(folded_words(text), "(?<![^ ])[\"'(\\[«“¿¡]++(?=[^ ])", "")
-    return F.split(F.regexp_replace(bare, "(?<=[\\p{L}\\p{N}])[\"')\\].,;:!?»”]++(?![^ ])", ""), " ")
-
-
-def _starts(words: Column, k: int) -> Column:
-    """Array of (at, key) of all runs of ``k`` words, counted from 1."""
-
-    def keys(w: Column) -> Column:
-        places = F.sequence(F.lit(1), F.size(w) - (k - 1))
-        return F.when(F.size(w) >= k, F.transform(places, lambda i: F.struct(i.alias("at"), F.xxhash64(F.slice(w, i, k)).alias("key"))))
+    totals = windows.groupBy("item", "key", "form").agg(F.count_distinct("item_pos").alias("total"))
+    totals = totals.withColumnsRenamed({k: f"t_{k}" for k in ("item", "key", "form")})
+    on = reduce(Column.__and__, [same(F.col(k), F.col(f"t_{k}")) for k in ("item", "key", "form")])
+    share = F.when(F.col("form") == WHOLE, F.lit(1.0)).otherwise(F.lit(min_coverage))
+    return found.join(totals, on).where(F.col("n_windows") >= share * F.col("total"))
 
-    return F.transform(F.array(words), keys)[0]
 
+def find_leaks(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    item_col: str = "item_id",
+    min_coverage: float = MIN_COVERAGE,
+) -> DataFrame:
+    """One row per document and item it leaks: id, item_id, n_windows, coverage, n_slots, kind, own.
 
-def whole_item_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, own) of the rows of ``docs`` that hold an item without any window, word by word with its own values.
-
-    Such items are shorter than ``WINDOW`` words or made of numbers and names. Each is one window of
-    its whole length, found by its first words (``WINDOW`` at most) and compared to its end.
+    ``kind`` is ``exact`` where all slots hold the benchmark's own values, else ``reparameterised``;
+    ``own`` is the hash of the text, which tells rows apart that repeat an id. Items that share an id
+    but not a text are judged each for itself; a null id is an id like any other. Items with fewer than
+    ``WINDOW`` words, and null or empty texts on either side, match nothing. Whole texts are searched,
+    however long; other columns of either table play no part.
     """
-    plain = plain_words(benchmark["text"].cast("string"))
-    enough = F.filter(_windows(template_text(F.col("plain")), "literals"), lambda w: w["literals"] >= MIN_LITERALS)
-    items = benchmark.select(plain.alias("plain")).where("plain <> ''").where(F.coalesce(F.size(enough), F.lit(0)) < 1)
-    items = items.select(exact_words(F.col("plain")).alias("item_words")).distinct()
-    items = items.withColumn("k", F.least(F.size("item_words"), F.lit(WINDOW)))
-    items = stored(items.withColumn("key", F.xxhash64(F.slice("item_words", F.lit(1), F.col("k")))), "whole-items")
-    rows = pick(docs, id_col, text_col).withColumn("own", F.xxhash64("text"))
-    places = []
-    for (k,) in items.select("k").distinct().collect():  # at most WINDOW lengths, none for most benchmarks
-        found = rows.select("id", "own", F.inline(_starts(exact_words(F.col("text")), k)))
-        keys = items.where(F.col("k") == k).select("key").distinct()
-        places.append(found.join(keys, "key", "left_semi").select("id", "own", "at", "key", F.lit(k).alias("k")))
-    if not places:
-        return rows.select("id", "own").where("false")
-    places = stored(reduce(DataFrame.union, places).distinct(), "whole-places").withColumnsRenamed({"id": "of", "own": "of_own"})
-    held = places.join(items, ["k", "key"])
-    texts = rows.dropDuplicates(["id", "own"]).join(held, same(F.col("id"), F.col("of")) & same(F.col("own"), F.col("of_own")))
-    equal = F.slice(exact_words(F.col("text")), F.col("at"), F.size("item_words")) == F.col("item_words")
-    return texts.where(equal).select("id", "own").distinct()
+    found = judge(docs, benchmark, id_col, text_col, item_col, min_coverage, [AS_WRITTEN], False)
+    return found.select(
+        F.col("id").alias(id_col),
+        F.col("item").alias(item_col),
+        "n_windows",
+        F.round(F.col("n_windows") / F.col("total"), 4).alias("coverage"),
+        "n_slots",
+        F.when(F.col("changed") > 0, "reparameterised").otherwise("exact").alias("kind"),
+        "own",
+    )
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that leak no benchmark item, with all their columns.
 
     Beside the form that ``op2`` reports, an item is looked for with every capitalised word as a name
-    and without regard to case; an item that has no window at all is looked for as a whole.
+    and without regard to case, all in one scan. An item none of whose windows says enough leaks where
+    all its words stand one after another with their own values; an item of fewer than ``LEAST_WHOLE``
+    words (``Yes``) says too little and drops no document.
     """
-    found = [find_leaks(docs, benchmark, id_col, text_col, form=form).select(id_col, "own") for form in FORMS]
-    found.append(whole_item_leaks(docs, benchmark, id_col, text_col))
-    leaks = reduce(DataFrame.union, found).toDF("leaks_id", "leaks_own")
-    leaks = stored(leaks.distinct(), "leaks")
+    found = judge(docs, benchmark, id_col, text_col, "item_id", MIN_COVERAGE, FORMS, True)
+    leaks = stored(found.select(F.col("id").alias("leaks_id"), F.col("own").alias("leaks_own")).distinct(), "leaks")
     own = fresh(docs, "own")
     tagged = docs.withColumn(own, F.xxhash64(docs[text_col].cast("string")))
-    on = same(tagged[id_col], leaks["leaks_id"]) & (tagged[own] == leaks["leaks_own"])
+    on = same(tagged[id_col], leaks["leaks_id"]) & same(tagged[own], leaks["leaks_own"])
     return tagged.join(leaks, on, "left_anti").select(*docs.columns)
 
 

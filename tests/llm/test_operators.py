@@ -409,17 +409,28 @@ def test_drops_renamed_and_folded_copies(spark):
 
 
 def test_drops_whole_short_items(spark, empty):
-    items = ["What is the capital of France?", "12 + 7 = ?", "3 5 8 13 21 34 55 89 144", None, ""]
+    items = ["What is the capital of France?", "12 + 7 = ?", "3 5 8 13 21 34 55 89 144", None, "", "Yes", "so 12"]
     docs = [
         (1, 'He asked "What is the capital of France?" and left.'), (2, "so 12 + 7 = ? he wrote"), (3, "so 12 + 8 = ? he wrote"),
         (4, "as in 3 5 8 13 21 34 55 89 144 and on"), (5, "as in 3 5 8 13 21 34 55 89 145 and on"), (6, None),
-        (7, "What is the capital of Spain?"), (8, "-12 + 7 = ?"),
+        (7, "What is the capital of Spain?"), (8, "-12 + 7 = ?"), (9, "Yes"), (10, "oh yes, what is the capital of it"),
     ]
     docs = spark.createDataFrame(docs, "doc_id int, text string")
     bench = spark.createDataFrame(list(enumerate(items)), "item_id int, text string")
-    found = {r.id for r in decontamination.whole_item_leaks(docs, bench).collect()}
-    assert found == {1, 2, 4} and decontamination.whole_item_leaks(empty, bench).count() == 0
-    assert sorted(r.doc_id for r in decontamination.drop_leaks(docs, bench).collect()) == [3, 5, 6, 7, 8]
+    assert sorted(r.doc_id for r in decontamination.drop_leaks(docs, bench).collect()) == [3, 5, 6, 7, 8, 9, 10]
+    assert decontamination.drop_leaks(empty, bench).count() == 0
+
+
+def test_decontamination_without_ids_and_with_repeated_ones(spark):
+    item = "If Anna buys 12 apples for 5 dollars each and later Anna gives 3 apples to her friend how many remain"
+    second = "The red fox of the 4 hills near Rome runs over 9 fields until the night falls on 2 old farms there"
+    broken = item.replace("later Anna", "later Carl")
+    docs = [(1, broken), (None, item), (3, second), (4, item + " " + "word " * 30_000)]
+    docs = spark.createDataFrame(docs, "doc_id int, text string").withColumns({"own": F.lit("x"), "item": F.lit("y")})
+    bench = spark.createDataFrame([(None, item), (7, item), (7, second), (7, second)], "item_id int, text string").withColumn("id", F.lit(1))
+    rows = {(r.doc_id, r.item_id): (r.kind, r.coverage) for r in decontamination.find_leaks(docs, bench).collect()}
+    assert rows == {(i, j): ("exact", 1.0) for i, j in [(None, None), (None, 7), (3, 7), (4, None), (4, 7)]}
+    assert [r.doc_id for r in decontamination.drop_leaks(docs, bench).collect()] == [1]
 
 
 def test_pipeline(spark, texts):
