@@ -12,7 +12,7 @@ import hashlib
 import os
 from array import array
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 import public_tokenizers
@@ -28,7 +28,9 @@ from tablewarden.llm.common import pick, prepare, table, trim
 from tablewarden.llm.token_counts import MODEL, SPACE_MARK, splits_at_spaces
 
 # Words whose ids a worker remembers from task to task.
-REMEMBERED = 150_000
+REMEMBERED = 250_000
+# New words that are encoded as one line.
+LINE = 50
 THREADS = 2
 # Kinds of pieces in the model protobuf.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
@@ -97,12 +99,15 @@ class Codec:
         self.tokenizer = build_tokenizer(model)
         self.reference = sentencepiece.SentencePieceProcessor(model_proto=model)
         self.by_word = splits_at_spaces(model)
+        pieces = sentencepiece_model_pb2.ModelProto.FromString(model).pieces
+        self.opens = np.array([p.piece.startswith(SPACE_MARK) for p in pieces])
         # ids of each word as the bytes of 32-bit integers, which join without a list of numbers
         self.known: dict[str, bytes] = {}
         self.differ: set[str] = set()  # words on which the libraries disagree
         self.lost: set[str] = set()  # words that decoding does not give back
 
-    def _new(self, texts: list[str]) -> Iterator[bytes]:
+    def _each(self, texts: list[str]) -> Iterator[bytes]:
+        """Ids of each text by itself; texts on which something is amiss are marked."""
         ids = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         wanted = self.reference.encode(texts, num_threads=1)
         back = self.tokenizer.decode_batch(ids, skip_special_tokens=False)
@@ -114,29 +119,53 @@ class Codec:
                 self.lost.add(t)
             yield array("i", i).tobytes()
 
+    def _new(self, words: list[str]) -> Iterator[bytes]:
+        """Ids of words, many of them in one line, which is compared and decoded as a whole.
+
+        A word's ids begin at the one piece that has the space marker. Where a line shows any
+        difference its words are looked at one by one.
+        """
+        groups = [words[i : i + LINE] for i in range(0, len(words), LINE)]
+        lines = [" ".join(g) for g in groups]
+        found = self.tokenizer.encode_batch_fast(lines, add_special_tokens=False)
+        wanted = self.reference.encode(lines, num_threads=1)
+        ids = [e.ids for e in found]
+        back = self.tokenizer.decode_batch(ids, skip_special_tokens=False)
+        for group, line, i, w, b in zip(groups, lines, ids, wanted, back, strict=True):
+            packed = np.array(i, np.int32)
+            starts = (4 * np.flatnonzero(self.opens[packed])).tolist()
+            if i != w or b != line or len(starts) != len(group):
+                yield from self._each(group)
+                continue
+            raw = packed.tobytes()
+            yield from map(raw.__getitem__, map(slice, starts, [*starts[1:], len(raw)]))
+
     def encode(self, texts: list[str | None]) -> Iterator[tuple[np.ndarray, bool, bool]]:
         """(ids, parity, round trip) of each text; a null is an empty text."""
         texts = ["" if t is None else t for t in texts]
         split = [t.replace(SPACE_MARK, " ").split(" ") if self.by_word else [""] for t in texts]
         # spaces side by side, first or last form pieces together: such a text is encoded whole
-        odd = [t for t, words in zip(texts, split, strict=True) if "" in words]
-        split = [[t] if "" in words else words for t, words in zip(texts, split, strict=True)]
-        missing = list(set(chain.from_iterable(split)).difference(self.known))
-        room = max(0, REMEMBERED - len(self.known))
-        # words met early, which the frequent ones are, stay remembered; the others serve this call
+        odd = list({t for t, words in zip(texts, split, strict=True) if "" in words})
+        whole = set(odd)
+        split = [words if "" not in words else [t] for t, words in zip(texts, split, strict=True)]
+        missing = list(set(chain.from_iterable(split)).difference(self.known, whole))
         self.known.update(zip(missing, self._new(missing), strict=True))
+        self.known.update(zip(odd, self._each(odd), strict=True))
         for words in split:
             ids = np.frombuffer(b"".join(map(self.known.__getitem__, words)), np.int32)
             yield ids, not self.differ or self.differ.isdisjoint(words), not self.lost or self.lost.isdisjoint(words)
-        # nor are whole texts and words that need a mark, which are looked at anew each time
-        for t in chain(odd, missing[room:], self.differ, self.lost):
+        # whole texts and words that need a mark are looked at anew each time
+        for t in chain(odd, self.differ, self.lost):
             self.known.pop(t, None)
+        if len(self.known) > REMEMBERED:  # the older half goes; a frequent word is soon back
+            for t in list(islice(self.known, len(self.known) - REMEMBERED // 2)):
+                del self.known[t]
         self.differ.clear()
         self.lost.clear()
 
 
 ENCODED = "n_tokens bigint, ids array<int>, ids_sha256 string, parity boolean, round_trip boolean"
-AT_ONCE = 256
+AT_ONCE = 512
 
 
 _codecs: dict[str, Codec] = {}  # one per worker process, which runs many tasks

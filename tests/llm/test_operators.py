@@ -454,3 +454,53 @@ def test_pipeline_edges(spark, edge, empty):
         for _, stage in corpus_pipeline.STAGES:
             docs = stage(spark, docs, FOLDER)
             docs.count()
+
+
+@pytest.mark.parametrize("fallback", [True, False])
+def test_unigram_model(fallback):
+    """A unigram model put together by hand: the rebuilt tokenizer agrees with the library."""
+    proto = sentencepiece_codec.sentencepiece_model_pb2.ModelProto()
+    kinds = sentencepiece_codec
+    proto.trainer_spec.model_type = proto.trainer_spec.UNIGRAM
+    proto.trainer_spec.byte_fallback = fallback
+    proto.trainer_spec.unk_id, proto.trainer_spec.bos_id, proto.trainer_spec.eos_id = 0, 1, 2
+    proto.normalizer_spec.name = "identity"
+    proto.normalizer_spec.add_dummy_prefix = proto.normalizer_spec.escape_whitespaces = True
+    proto.normalizer_spec.remove_extra_whitespaces = False
+
+    def put(piece, score, kind):
+        proto.pieces.add(piece=piece, score=score, type=kind)
+
+    for piece, kind in (("<unk>", kinds.UNKNOWN), ("<s>", kinds.CONTROL), ("</s>", kinds.CONTROL)):
+        put(piece, 0.0, kind)
+    if fallback:
+        for b in range(256):
+            put(f"<0x{b:02X}>", 0.0, kinds.BYTE)
+    rng = np.random.default_rng(3)
+    letters = "▁abcdeé"
+    words = {"".join(rng.choice(list(letters[1:]), rng.integers(2, 5))) for _ in range(120)}
+    pieces = [*letters, *words, *("▁" + w for w in list(words)[:60]), "▁▁"]
+    for piece in dict.fromkeys(pieces):
+        put(piece, float(-2 - 8 * rng.random()), kinds.NORMAL)
+    model = proto.SerializeToString()
+    texts = [" ".join("".join(rng.choice(list("abcdeéxß"), rng.integers(1, 9))) for _ in range(rng.integers(1, 30))) for _ in range(200)]
+    texts += ["", "a", " a  b ", "▁a", "漢字 ab", "\n", "a\tb", "ab" * 500]
+    codec = sentencepiece_codec.Codec(model)
+    want = codec.reference.encode(texts)
+    assert not codec.by_word
+    for t, w, (ids, parity, back) in zip(texts, want, codec.encode(texts), strict=True):
+        assert ids.tolist() == w and parity, t
+        assert back or not fallback, t
+
+
+def test_codec_forgets_the_oldest_words(monkeypatch):
+    monkeypatch.setattr(sentencepiece_codec, "REMEMBERED", 300)
+    with open(MODEL, "rb") as f:
+        codec = sentencepiece_codec.Codec(f.read())
+    rng = np.random.default_rng(4)
+    texts = [" ".join(f"w{rng.integers(2000)} é{rng.integers(50)}" for _ in range(80)) for _ in range(40)] + ["▁ x", "a\u0000b", "漢字 \t y"]
+    want = codec.reference.encode(texts)
+    for i in range(0, len(texts), 7):
+        for t, w, (ids, parity, _) in zip(texts[i : i + 7], want[i : i + 7], codec.encode(texts[i : i + 7]), strict=True):
+            assert ids.tolist() == w and parity, t
+        assert len(codec.known) <= 300
