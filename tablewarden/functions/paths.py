@@ -187,3 +187,10 @@ def folder_words(name: Column, max_words: int = 5) -> Column:
         F.split(F.trim(name), r"\s+"), lambda w: F.regexp_replace(w, r"[^A-Za-z0-9_\-]", "")
     )
     return F.array_join(F.slice(F.filter(words, lambda w: w != ""), 1, max_words), "_")
+
+
+def folder_name(name: Column, max_words: int = 5) -> Column:
+    """``folder_words``, with a digest of the name where that loses a part of it: no two names share a folder."""
+    short = folder_words(name, max_words)
+    whole = short == F.replace(name, F.lit(" "), F.lit("_"))
+    return F.when(whole, short).otherwise(F.concat(short, F.lit("-"), F.substring(F.md5(name), 1, 12)))

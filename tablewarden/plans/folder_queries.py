@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 from tablewarden.functions import paths as PF
 from tablewarden.operators import answers as A
 from tablewarden.operators import folders as D
+from tablewarden.operators.scale import attach
 from tablewarden.plans.profile_queries import rounded
 from tablewarden.plans.views import Family
+from tablewarden.sources import files as S
 
 FAMILY = Family()
 query = FAMILY.add
@@ -56,22 +58,20 @@ def path_parts(t):
 @query(
     "dedup_files",
     """
-    WITH f AS (SELECT 'p' || CAST(user_id % 10 AS VARCHAR) AS paper_id, event_id AS ord,
-      event_type || CASE WHEN event_id % 2 = 0 THEN '.csv' ELSE '.bin' END AS name,
-      CAST(floor(value / 10) AS BIGINT) AS size, props AS fingerprint FROM {events}),
+    WITH f AS (SELECT source AS paper_id, doc_id AS ord, lang || CASE WHEN doc_id % 2 = 0 THEN '.csv' ELSE '.bin' END AS name,
+      n_chars AS size, coalesce(array_to_string(list_slice(string_split(text, chr(10)), 1, 3), chr(10)), '') AS fingerprint FROM {documents}),
     r AS (SELECT *, row_number() OVER (PARTITION BY paper_id, name, size,
       CASE WHEN name LIKE '%.csv' THEN fingerprint ELSE '' END ORDER BY ord) AS k FROM f)
     SELECT paper_id, ord, name AS rel_path, size FROM r WHERE k = 1""",
 )
 def dedup_files(t):
-    files = t.events.selectExpr(
-        "'p' || CAST(user_id % 10 AS STRING) AS paper_id",
-        "event_id AS ord",
-        "event_type || CASE WHEN event_id % 2 = 0 THEN '.csv' ELSE '.bin' END AS rel_path",
-        "CAST(floor(value / 10) AS BIGINT) AS size",
-        "props AS fingerprint",
+    """Documents as files: text tables must agree in their first three lines, others in name and size."""
+    files = t.documents.selectExpr(
+        "source AS paper_id", "doc_id AS ord", "lang || CASE WHEN doc_id % 2 = 0 THEN '.csv' ELSE '.bin' END AS rel_path", "n_chars AS size"
     )
-    return D.drop_duplicates(files).drop("fingerprint")
+    lines = t.documents.select(F.col("doc_id").alias("file"), F.posexplode(F.split("text", "\n")).alias("ord", "line"))
+    prints = S.first_lines(lines).withColumnRenamed("file", "ord")
+    return D.drop_duplicates(attach(files, prints, ["ord"])).drop("fingerprint")
 
 
 @query(

@@ -15,6 +15,7 @@ from tablewarden.plans.match_queries import MATCH, _labels
 from tablewarden.plans.profile_queries import rounded
 from tablewarden.plans.views import Family
 from tablewarden.session import shared_folder
+from tablewarden.sources import export as E
 from tablewarden.sources import files as S
 from tablewarden.streaming import incremental as I
 
@@ -169,6 +170,21 @@ def incremental_log(t):
     return rounded(I.read_log(t.spark, f"{folder}/log", ["event_id"]))
 
 
+@query(
+    "last_of_log",
+    """
+    SELECT user_id, event_id, event_type FROM (
+      SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS k FROM {events}) q WHERE k = 1""",
+)
+def last_of_log(t):
+    """The last event of every user, from a log whose batches repeat users very often."""
+    folder = f"{shared_folder(t.spark)}/stream-{uuid4().hex}"
+    arriving = I.arrivals(t.spark, f"{t.sf_dir}/events.parquet*", t.events.schema).select("user_id", "event_id", "event_type", "ts")
+    order = ["ts", "event_id"]
+    I.run_available(arriving, I.append_log(f"{folder}/log", ["user_id"], order), f"{folder}/state").awaitTermination()
+    return I.read_log(t.spark, f"{folder}/log", ["user_id"], order).select("user_id", "event_id", "event_type")
+
+
 def _written(t) -> str:
     """Customers as delimited files below ``osf/<nation>/``: tabs or semicolons, with and without a header."""
     root = f"{shared_folder(t.spark)}/collection-{uuid4().hex}"
@@ -222,4 +238,82 @@ def read_collection(t):
       CASE WHEN c_custkey % 3 = 2 THEN c_custkey END AS col_1, CASE WHEN c_custkey % 3 = 2 THEN c_nationkey END AS col_2 FROM {{customer}}""",
 )
 def read_delimited_mixed(t):
-    return S.read_delimited(t.spark, f"{_written(t)}/osf", multiline=True)
+    return S.read_delimited(t.spark, f"{_written(t)}/osf")
+
+
+@query(
+    "folder_names",
+    r"""
+    WITH s AS (SELECT item_id, text, array_to_string(list_slice(list_filter(list_transform(regexp_split_to_array(trim(text), '\s+'),
+      lambda w: regexp_replace(w, '[^A-Za-z0-9_-]', '', 'g')), lambda w: w <> ''), 1, 5), '_') AS short FROM {benchmark})
+    SELECT item_id, CASE WHEN short = replace(text, ' ', '_') THEN short ELSE short || '-' || substr(md5(text), 1, 12) END AS folder FROM s""",
+)
+def folder_names(t):
+    return t.benchmark.select("item_id", PF.folder_name(F.col("text")).alias("folder"))
+
+
+@query(
+    "stream_upsert",
+    """
+    SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 1 - quality ELSE quality END AS quality FROM {labels}""",
+)
+def stream_upsert(t):
+    """Labels arrive as a stream, then changes of every third twice: an upsert that broke off, and its repetition."""
+    folder = f"{shared_folder(t.spark)}/upsert-{uuid4().hex}"
+    labels = t.labels.select("doc_id", "quality")
+    arriving = I.arrivals(t.spark, f"{t.sf_dir}/labels.parquet*", t.labels.schema).select("doc_id", "quality")
+    I.run_available(arriving, I.upsert_rows(f"{folder}/table", ["doc_id"], partitions=16), f"{folder}/state").awaitTermination()
+    table = I.KeyedTable(t.spark, f"{folder}/table", ["doc_id"], 16)
+    changed = labels.where("doc_id % 3 = 0").withColumn("quality", (1 - F.col("quality")).cast(labels.schema["quality"].dataType))
+    number = table.versions()[-1] + 1
+    half = changed.where("doc_id % 2 = 0").withColumn("part", F.lit(0))
+    half.write.partitionBy("part").parquet(f"{folder}/table/data/version={number}")  # no pointer: not seen
+    table.upsert(changed, number)
+    table.upsert(changed, number)
+    return table.read()
+
+
+@query(
+    "archive_members",
+    """
+    WITH c AS (SELECT c_custkey, c_nationkey, c_name FROM {customer})
+    SELECT column_name, value, count(*) AS n FROM (
+      SELECT 'c_custkey' AS column_name, CAST(c_custkey AS VARCHAR) AS value FROM c
+      UNION ALL SELECT 'c_nationkey', CAST(c_nationkey AS VARCHAR) FROM c UNION ALL SELECT 'c_name', c_name FROM c) q GROUP BY 1, 2""",
+)
+def archive_members(t):
+    """Customers written as zipped, gzipped and bzip2 tables and read back out of the archives."""
+    root = f"{shared_folder(t.spark)}/archives-{uuid4().hex}"
+    rows = t.customer.select("c_custkey", "c_nationkey", "c_name")
+    E.write_zipped(rows.where("c_custkey % 3 = 0"), f"{root}/zip")
+    for part, kind in ((1, "gzip"), (2, "bzip2")):
+        rows.where(F.col("c_custkey") % 3 == part).write.csv(f"{root}/{kind}", header=True, compression=kind)
+    files = S.list_files(t.spark, t.spark.createDataFrame([(root,)], "folder string"))
+    cells = S.cells_of_lines(S.decode_lines(S.lines_of_archives(files)))
+    return cells.groupBy("column_name", "value").agg(F.count("*").alias("n"))
+
+
+_WIDE = """
+    SELECT p_partkey AS ord, 'p' || CAST(p_partkey % 150 AS STRING) AS paper_id,
+      'q' || CAST(p_size % 9 AS STRING) || '-' || CAST(p_size % 9 + CASE WHEN p_size % 4 = 0 THEN 10000000000 ELSE p_size % 5 END AS STRING)
+        AS codebook_variable, p_name AS label, 'codebook.csv' AS codebook_source, CAST(NULL AS STRING) AS "group", 'structured' AS parse_method
+    FROM {part}"""
+
+
+@query(
+    "range_join",
+    f"""
+    WITH b AS (SELECT ord, paper_id, label, CAST(split_part(substr(codebook_variable, 2), '-', 1) AS BIGINT) AS a,
+      CAST(split_part(codebook_variable, '-', 2) AS BIGINT) AS z FROM ({_WIDE}) q),
+    n AS (SELECT DISTINCT paper_id, CAST(right(column_name, 1) AS BIGINT) * 1234567891 + 3 AS nr FROM {{v_cols}}
+      UNION SELECT paper_id, CAST(right(column_name, 1) AS BIGINT) FROM {{v_cols}})
+    SELECT n.paper_id AS paper_id, 'q' || CAST(nr AS VARCHAR) AS name, b.ord AS ord, label FROM n JOIN b ON b.paper_id = n.paper_id AND nr BETWEEN a AND z""",
+)
+def range_join(t):
+    """Which ranges of a dictionary, some of ten thousand million numbers, hold a name."""
+    book = t.spark.sql(_WIDE.replace('"group"', "`group`"), part=t.part)
+    digit = F.right("column_name", F.lit(1)).cast("bigint")
+    numbers = F.explode(F.array(digit, digit * 1234567891 + 3))
+    names = t.v_cols.select("paper_id", numbers.alias("nr")).distinct().select("paper_id", F.concat(F.lit("q"), F.col("nr").cast("string")).alias("_norm"))
+    found = X.entries_of_names(names, book)
+    return found.select("paper_id", F.col("_norm").alias("name"), F.col("ord.ord").alias("ord"), "label")

@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import csv
+import zipfile
+from collections.abc import Iterator, Sequence
 
+import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablewarden.functions.text import strip_markup
 from tablewarden.operators.scale import attach, spread
+from tablewarden.sources.files import _store
 
 NUMERIC_TYPES = [
     "continuous", "continuous_comma_decimal", "continuous_outliers_excluded"
@@ -48,6 +53,31 @@ def clean_table(df: DataFrame) -> DataFrame:
     return out
 
 
+def write_zipped(df: DataFrame, path: str) -> None:
+    """One zip per task below ``path``, with the task's rows as a quoted CSV file in it.
+
+    A zip is written to a name of its attempt and then renamed to that of its partition, so a task that
+    is run again leaves one whole file.
+    """
+    names = df.columns
+
+    def write(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        task = TaskContext.get()
+        client, base, _ = _store(path)
+        client.create_dir(base, recursive=True)
+        final = f"{base}/part-{task.partitionId():05d}.zip"
+        draft = f"{base}/.{task.partitionId()}-{task.taskAttemptId()}"
+        with client.open_output_stream(draft) as out, zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+            with z.open(f"part-{task.partitionId():05d}.csv", "w", force_zip64=True) as member:
+                for i, frame in enumerate(frames):
+                    text = frame.to_csv(index=False, header=names if i == 0 else False, quoting=csv.QUOTE_ALL)
+                    member.write(text.encode())
+        client.move(draft, final)
+        yield pd.DataFrame({"path": [final]})
+
+    df.mapInPandas(write, "path string").write.format("noop").mode("overwrite").save()
+
+
 def export_table(df: DataFrame, path: str) -> dict[str, object]:
     """Write the cleaned table as quoted CSV and report what was written."""
     out = clean_table(df)

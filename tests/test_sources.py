@@ -2,11 +2,14 @@ import bz2
 import gzip
 import io
 import json
+import random
 import tarfile
 import zipfile
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from tablewarden.operators import folders as D
 from tablewarden.sources import export as E
 from tablewarden.sources import files as S
 
@@ -140,6 +143,80 @@ def test_archives(spark, tmp_path):
     assert [r["archive"].rsplit("/", 1)[-1] for r in rows if r["error"]] == ["broken.zip"]
 
 
+def test_archives_are_read_in_blocks(spark, tmp_path, monkeypatch):
+    rng = random.Random(1)
+    big = bytes(rng.randrange(256) for _ in range(3 << 20))
+    z = io.BytesIO()
+    with zipfile.ZipFile(z, "w") as f:
+        f.writestr("big.bin", big)
+        f.writestr("../out.csv", "1")
+        f.writestr("empty.txt", "")
+        for i in range(2500):
+            f.writestr(f"t/{i}.csv", f"id;v\n{i};{i % 7}\n")
+    t = io.BytesIO()
+    with tarfile.open(fileobj=t, mode="w") as f:
+        info = tarfile.TarInfo("deep/c.csv")
+        info.size = 12
+        f.addfile(info, io.BytesIO(b"id;v\r\n-1;x\r\n"))
+    root = write(tmp_path, **{"a_dot_zip": z.getvalue(), "b_dot_tar": t.getvalue(), "x_dot_csv_dot_gz": gzip.compress(b"id;v\n-2;y\n"),
+                              "broken_dot_zip": b"nope", "plain_dot_csv": b"1"})
+    files = S._listed(spark, root)
+    rows = S.archive_members(files).collect()
+    parts = sorted((r["place"], bytes(r["content"])) for r in rows if r["member"] == "a/big.bin")
+    assert len(parts) == 3 and b"".join(x for _, x in parts) == big
+    errors = {(r["archive"].rsplit("/", 1)[-1], r["member"]): r["error"] for r in rows if r["error"]}
+    assert errors.pop(("a.zip", "a/../out.csv")) == "unsafe path" and set(errors) == {("broken.zip", None)}
+    assert [bytes(r["content"]) for r in rows if r["member"] == "a/empty.txt"] == [b""]
+    small = {r["member"]: r["error"] for r in S.archive_members(files, limit=20).collect() if r["error"]}
+    assert small["a/big.bin"] == "larger than 20 bytes" and "a/t/1.csv" not in small
+    lines = S.lines_of_archives(files)
+    cells = S.cells_of_lines(S.decode_lines(lines)).collect()
+    ids = [int(r["value"]) for r in cells if r["column_name"] == "id"]
+    assert sorted(ids) == list(range(-2, 2500))
+    # the zip's 2,503 members are the work of several tasks
+    tasks = S._spread_out(files.select("path")).count()
+    assert tasks and list(S._slices(f"{root}/a.zip", None)) == [(0, 1000), (1000, 2000), (2000, 2503)]
+
+
+def test_listing_in_rounds(spark, tmp_path):
+    want = set()
+    for i in range(30):
+        for j in range(4):
+            path = tmp_path / f"d{i}" / f"e{j}" / "deep" / "er" / f"f{i}_{j}.txt"
+            path.parent.mkdir(parents=True)
+            path.write_text("x")
+            want.add(str(path))
+    (tmp_path / "d0" / "loop").symlink_to(tmp_path)
+    top = spark.createDataFrame([(str(tmp_path),)], "folder string")
+    for at_once in (1, 10, 5_000):
+        found = S.list_files(spark, top, at_once=at_once)
+        assert {r["path"] for r in found.collect()} == want
+        if at_once == 1:  # no task listed more than a part of the tree
+            held = found.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+            assert held < len(want) / 4
+
+
+def test_fingerprints_of_candidates_alone(spark, tmp_path):
+    a, b = "one\ntwo\nthree\nA\n", "one\ntwo\nTHREE\nA\n"
+    write(tmp_path, **{"x__t_dot_csv": a, "y__t_dot_csv": a.replace("A", "B"), "z__t_dot_csv": b, "x__alone_dot_csv": a, "x__n_dot_bin": "12", "y__n_dot_bin": "34",
+                       "x__l_dot_txt": b"\xe9\n", "y__l_dot_txt": b"\xe8\n", "x__e_dot_csv": "", "y__e_dot_csv": ""})
+    files = S._listed(spark, str(tmp_path)).selectExpr("'p' AS paper_id", "path", "substring_index(path, '/', -2) AS rel_path", "size")
+    files = files.withColumn("ord", F.rank().over(Window.orderBy("rel_path")))
+    printed = S.with_fingerprints(files)
+    got = {r["rel_path"]: r["fingerprint"] for r in printed.collect()}
+    assert got["x/t.csv"] == got["y/t.csv"] == "one\ntwo\nthree" and got["z/t.csv"] == "one\ntwo\nTHREE"
+    assert got["x/alone.csv"] is None and got["x/n.bin"] is None and got["x/l.txt"] != got["y/l.txt"]
+    left = {r["rel_path"] for r in D.drop_duplicates(printed).collect()}
+    assert left == {"x/t.csv", "z/t.csv", "x/alone.csv", "x/n.bin", "x/l.txt", "y/l.txt", "x/e.csv"}
+
+
+def test_fields_over_lines_by_default(spark, tmp_path):
+    root = write(tmp_path, a_dot_csv='id,t\n1,"x\ny"\n', b_dot_csv="id,t\n2,z\n", c_dot_csv=b'id,t\n3,"caf\xe9\nz"\n')
+    got = sorted(map(tuple, S.read_delimited(spark, root).collect()))
+    assert got == [(1, "x\ny"), (2, "z"), (3, "café\nz")]
+    assert S.read_cells(spark, root, multiline=False).where("column_name = 't'").count() == 3
+
+
 def test_union_fills_absent_columns(spark):
     a, b = spark.createDataFrame([(1,)], ["x"]), spark.createDataFrame([(2,)], ["y"])
     assert sorted(map(tuple, S.load_union([a, b]).collect()), key=str) == [(1, None), (None, 2)]
