@@ -341,12 +341,17 @@ def to_leaders(postings: DataFrame) -> DataFrame:
     return best.select(F.col("node").alias("a"), F.col("best.node").alias("b"))
 
 
-def prefix_lists(nodes: DataFrame) -> DataFrame:
-    """(key, node, weight) of the lists of rarest shingles ``nodes`` (digest, keys) that hold several; see ``posting_lists``."""
-    places = nodes.select(F.col("digest").alias("node"), F.explode("keys").alias("key"))
-    long = places.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    live = stored(places.join(long, "key"), "lists")
-    weights = live.groupBy("node").agg(F.sum("n").alias("weight"))
+def prefix_lists(prints: DataFrame) -> DataFrame:
+    """(key, node, weight) of the lists of rarest shingles that hold several nodes; see ``posting_lists``.
+
+    ``prints`` (digest, keys) may repeat a digest. A list is known to hold several by its least and
+    greatest node, so copies count once and only what is left is made distinct and counted.
+    """
+    places = prints.select(F.col("digest").alias("node"), F.explode("keys").alias("key"))
+    several = places.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high")
+    live = stored(places.join(several.select("key"), "key", "left_semi").distinct(), "lists")
+    long = live.groupBy("key").agg(F.count("*").alias("n"))
+    weights = live.join(long, "key").groupBy("node").agg(F.sum("n").alias("weight"))
     return stored(live.join(weights, "node").select("key", "node", "weight"), "postings")
 
 
@@ -421,21 +426,25 @@ def ends(pairs: DataFrame) -> DataFrame:
 
 
 def near_links(
-    docs: DataFrame, nodes: DataFrame, words: int = NEAR_WORDS, similarity: float = NEAR_SIMILARITY, complete: bool = False
+    docs: DataFrame,
+    nodes: DataFrame,
+    words: int = NEAR_WORDS,
+    similarity: float = NEAR_SIMILARITY,
+    prefixes: DataFrame | None = None,
 ) -> DataFrame:
     """Links (a, b) of digests of different texts that join up the same groups as all proposed similar pairs do.
 
-    ``nodes`` has one row per different text: digest, fingerprint lanes (``complete``: keys, its rarest
-    shingles), parity and size of its shingles, and the ``id`` and ``own`` hash of a row of ``docs``
-    (id, text) that holds it. The index of fingerprints of two-word features proposes most similar
+    ``nodes`` has one row per different text: digest, fingerprint lanes (not with ``prefixes``), parity
+    and size of its shingles, and the ``id`` and ``own`` hash of a row of ``docs`` (id, text) that holds
+    it. ``prefixes`` (digest, keys) has the rarest shingles of each text. The index of fingerprints of two-word features proposes most similar
     pairs, that of the rarest shingles every one; the Jaccard similarity of the whole sets of
     ``words``-word shingles decides. Thousands of near copies of one text would make millions of pairs;
     so each text is first compared with the leader of its lists, and then only with texts of other
     groups, where their parities do not rule the similarity out. A proposed pair left out either is
     in one group already or cannot be similar.
     """
-    if complete:
-        postings = prefix_lists(nodes)
+    if prefixes is not None:
+        postings = prefix_lists(prefixes)
         pairs = stored(prefix_leaders(postings, nodes.select("digest", "parity", "size"), similarity), "pairs")
         return _joined_up(docs, nodes, postings, pairs, words, similarity, [])
     heads = nodes.groupBy(*LANES).agg(F.min("digest").alias("node"))
@@ -492,9 +501,12 @@ def drop_near_duplicates(
         names = [*LANES, "size", "parity"]
     prints = stored(prints.select("id", "own", "digest", *held), "wide")
     place = F.struct(F.col("id").isNull().alias("none"), "id", "own")
-    nodes = prints.groupBy("digest").agg(F.min(place).alias("at"), F.min(F.struct(*names)).alias("of"))
+    # the rarest shingles stay where they are: they are long and needed once
+    facts = [n for n in names if n != "keys"]
+    nodes = prints.groupBy("digest").agg(F.min(place).alias("at"), F.min(F.struct(*facts)).alias("of"))
     nodes = stored(nodes.select("digest", "of.*", "at.none", "at.id", "at.own"), "nodes")
-    found = components(near_links(rows, nodes, words, similarity, complete))
+    prefixes = prints.select("digest", "keys") if complete else None
+    found = components(near_links(rows, nodes, words, similarity, prefixes))
     groups = nodes.join(found, nodes["digest"] == found["node"], "left")
     keep = groups.groupBy(F.coalesce("component", "digest").alias("group")).agg(F.min(place).alias("at"))
     keep = stored(keep.select(F.col("at.id").alias("keep_id"), F.col("at.own").alias("keep_own")), "keep")
