@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablewarden.functions.paths import SENTINEL, basename, clean_group, dirname, valid_type
@@ -14,8 +14,10 @@ from tablewarden.operators.scale import attach, first_rows, positions
 OVERLAID = ("type", "group", "data_granularity")
 
 
-def batches(items: DataFrame, size: int, by: Sequence[str] = ("paper_id",), order: str = "ord") -> DataFrame:
-    """Number the items of each repository in chunks of ``size``, in listing order."""
+def batches(
+    items: DataFrame, size: int, by: Sequence[str] = ("paper_id",), order: str | Sequence[Column] = "ord"
+) -> DataFrame:
+    """Number the items of each repository in chunks of ``size``, in listing order or another."""
     numbered = positions(items, list(by), order, out="_pos")
     return numbered.withColumn("batch", F.ceil(F.col("_pos") / F.lit(size)).cast("bigint")).drop("_pos")
 
@@ -105,32 +107,32 @@ def merge_answers(
     every type is known once missing answers take the fallback. Of repeated
     keys the first answer counts. Groups outside the pattern become shared.
     """
-    key, batch = ["paper_id", "batch", "rel_path"], ["paper_id", "batch"]
-    sizes = items.groupBy(*batch).agg(F.count("*").alias("_size"))
-    shape = answers.groupBy(*batch).agg(
-        F.count("*").alias("_rows"),
-        (F.bool_or(F.col("type").isNotNull()) & F.bool_or(F.col("group").isNotNull())).alias("_fields"),
-    )
-    first = answers.groupBy(*key).agg(F.min_by(F.struct("type", "group"), "ord").alias("_a"))
-    filled = attach(items, first, key).select(
+    # items and answers of a batch meet once; a batch has a fixed size, so its window has too
+    answered = answers.select(
+        "paper_id", "batch", "rel_path", F.struct("ord", "type", "group").alias("_a"), F.lit(True).alias("_answer")
+    )
+    both = items.unionByName(answered, allowMissingColumns=True)
+    own, whole = Window.partitionBy("paper_id", "batch", "rel_path"), Window.partitionBy("paper_id", "batch")
+    is_item = F.col("_answer").isNull()
+    filled = both.withColumn("_first", F.min_by("_a", "_a.ord").over(own)).withColumns(
+        {
+            "type": F.coalesce("_first.type", F.lit(fallback_type)),
+            "group": F.coalesce("_first.group", F.lit(fallback_group)),
+        }
+    )
+    ok = (
+        (F.count_if(is_item).over(whole) == F.count("_answer").over(whole))
+        & F.bool_or(F.col("_a.type").isNotNull()).over(whole)
+        & F.bool_or(F.col("_a.group").isNotNull()).over(whole)
+        & F.bool_and(F.when(is_item, valid_type(F.col("type")))).over(whole)
+    )
+    judged = filled.withColumn("batch_ok", F.coalesce(ok, F.lit(False))).where(is_item)
+    good = F.col("batch_ok")
+    return judged.select(
         *items.columns,
-        F.coalesce("_a.type", F.lit(fallback_type)).alias("type"),
-        F.coalesce("_a.group", F.lit(fallback_group)).alias("group"),
-    )
-    known = filled.groupBy(*batch).agg(F.bool_and(valid_type(F.col("type"))).alias("_known"))
-    state = attach(attach(sizes, shape, batch), known, batch).select(
-        *batch,
-        (
-            (F.coalesce("_rows", F.lit(0)) == F.col("_size"))
-            & F.coalesce("_fields", F.lit(False))
-            & F.col("_known")
-        ).alias("batch_ok"),
-    )
-    ok = F.col("batch_ok")
-    return (
-        attach(filled, state, batch)
-        .withColumn("type", F.when(ok, F.col("type")).otherwise(F.lit(SENTINEL)))
-        .withColumn("group", F.when(ok, clean_group(F.col("group"))).otherwise(F.lit("shared")))
+        F.when(good, F.col("type")).otherwise(F.lit(SENTINEL)).alias("type"),
+        F.when(good, clean_group(F.col("group"))).otherwise(F.lit("shared")).alias("group"),
+        "batch_ok",
     )
 
 

@@ -6,6 +6,7 @@ from tablewarden.plans import (
     source_queries,
     run_queries,
     text_queries,
+    stage_queries,
     match_queries,
     folder_queries,
     metric_queries,
@@ -16,6 +17,7 @@ FAMILIES = [
     profile_queries.FAMILY,
     run_queries.FAMILY,
     text_queries.FAMILY,
+    stage_queries.FAMILY,
     source_queries.FAMILY,
     match_queries.FAMILY,
     folder_queries.FAMILY,
