@@ -70,25 +70,20 @@ WHOLE = -1
 
 
 def _windows(template: Column, form: int, literals: bool = False, width: int = WINDOW) -> Column:
-    """Array of (pos, hash) of all windows of ``width`` words; words are split and hashed once, not once a window."""
+    """Array of (pos, hash) of all windows of ``width`` words; the words are split once, not once a window."""
 
-    def value(words: Column, codes: Column, i: Column) -> Column:
-        parts = [(i - 1).alias("pos"), F.xxhash64(F.slice(codes, i, width), F.lit(form)).alias("hash")]
+    def value(words: Column, i: Column) -> Column:
+        part = F.slice(words, i, width)
+        fields = [(i - 1).alias("pos"), F.xxhash64(part, F.lit(form)).alias("hash")]
         if literals:
-            said = F.filter(F.slice(words, i, width), lambda w: (w > UNIT) & (w != ""))
-            parts.append(F.size(said).alias("literals"))
-        return F.struct(*parts)
+            fields.append(F.size(F.filter(part, lambda w: (w > UNIT) & (w != ""))).alias("literals"))
+        return F.struct(*fields)
 
-    def inner(both: Column) -> Column:
-        words, codes = both["words"], both["codes"]
-        places = F.sequence(F.lit(1), F.size(codes) - (width - 1))
-        return F.when(F.size(codes) >= width, F.transform(places, lambda i: value(words, codes, i)))
-
-    def coded(words: Column) -> Column:
-        codes = F.transform(words, lambda w: F.xxhash64(w))
-        return F.struct(words.alias("words") if literals else F.lit(None).alias("words"), codes.alias("codes"))
-
-    return F.transform(F.transform(F.array(F.split(template, " ")), coded), inner)[0]
+    inner = lambda words: F.when(
+        F.size(words) >= width,
+        F.transform(F.sequence(F.lit(1), F.size(words) - (width - 1)), lambda i: value(words, i)),
+    )
+    return F.transform(F.array(F.split(template, " ")), inner)[0]
 
 
 def exact_words(text: Column) -> Column:
