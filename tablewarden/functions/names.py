@@ -18,11 +18,11 @@ from tablewarden.operators.scale import attach
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # Header names of the two columns every dictionary table has.
-VARIABLE_HEADERS = "var variable name column field variable_name varname item".split()
-LABEL_HEADERS = (
-    "label description desc definition meaning explanation text label_text question "
-    "question_text variable_description variable_label var_label"
-).split()
+VARIABLE_HEADERS = ["var", "variable", "name", "column", "field", "variable_name", "varname", "item"]
+LABEL_HEADERS = [
+    "label", "description", "desc", "definition", "meaning", "explanation", "text", "label_text", "question",
+    "question_text", "variable_description", "variable_label", "var_label",
+]
 
 
 def normalize_variable(name: Column) -> Column:

@@ -6,31 +6,32 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # File extensions that hold recordings, media or documents, never tables.
-RAW_EXTENSIONS = """
-edf bdf acq gdf rec cnt vhdr vmrk eeg mff set fdt fif nii img hdr mgh mgz mnc dcm c3d trc mot sto
-mat h5 hdf5 hdf nc cdf npy npz pkl pickle asc wav mp3 flac ogg m4a aiff aif au wma mp4 avi mov mkv
-wmv m4v flv webm 3gp bin raw pdf docx doc odt rtf
-""".split()
+RAW_EXTENSIONS = [
+    "edf", "bdf", "acq", "gdf", "rec", "cnt", "vhdr", "vmrk", "eeg", "mff", "set", "fdt", "fif", "nii", "img",
+    "hdr", "mgh", "mgz", "mnc", "dcm", "c3d", "trc", "mot", "sto", "mat", "h5", "hdf5", "hdf", "nc", "cdf", "npy",
+    "npz", "pkl", "pickle", "asc", "wav", "mp3", "flac", "ogg", "m4a", "aiff", "aif", "au", "wma", "mp4", "avi",
+    "mov", "mkv", "wmv", "m4v", "flv", "webm", "3gp", "bin", "raw", "pdf", "docx", "doc", "odt", "rtf",
+]
 
 # Extensions counted as tables when a folder is judged.
-TABLE_EXTENSIONS = "csv tsv txt dat xlsx xls sav dta sas7bdat rds rda rdata".split()
+TABLE_EXTENSIONS = ["csv", "tsv", "txt", "dat", "xlsx", "xls", "sav", "dta", "sas7bdat", "rds", "rda", "rdata"]
 
 # Extensions whose type never depends on an outside answer.
 EXTENSION_TYPES = {
-    "code": "r qmd ipynb do sps sas".split(),
-    "software": (
-        "exe dmg app jar msi deb rpm sh bash zsh bat cmd ps1 dll so dylib lib lua "
-        "psyexp osexp opensesame"
-    ).split(),
-    "output": "spv fig".split(),
+    "code": ["r", "qmd", "ipynb", "do", "sps", "sas"],
+    "software": [
+        "exe", "dmg", "app", "jar", "msi", "deb", "rpm", "sh", "bash", "zsh", "bat", "cmd", "ps1", "dll", "so",
+        "dylib", "lib", "lua", "psyexp", "osexp", "opensesame",
+    ],
+    "output": ["spv", "fig"],
 }
 
 # Folder names of language tooling (any size) and of build trees (size-gated).
-TOOL_FOLDERS = (
-    "__pycache__ .git .Rproj.user renv node_modules site-packages venv .venv packrat "
-    ".ipynb_checkpoints bower_components jspm_packages __pypackages__ .pytest_cache .mypy_cache"
-).split()
-BUILD_FOLDERS = "lib libs src build dist vendor".split()
+TOOL_FOLDERS = [
+    "__pycache__", ".git", ".Rproj.user", "renv", "node_modules", "site-packages", "venv", ".venv", "packrat",
+    ".ipynb_checkpoints", "bower_components", "jspm_packages", "__pypackages__", ".pytest_cache", ".mypy_cache",
+]
+BUILD_FOLDERS = ["lib", "libs", "src", "build", "dist", "vendor"]
 
 # Names that stand for one participant.
 PARTICIPANT_PATTERNS = [
@@ -46,7 +47,9 @@ PARTICIPANT_PATTERNS = [
 ]
 
 # File types an answer may carry.
-FILE_TYPES = "data codebook code software output supplemental readme asset other llm_error".split()
+FILE_TYPES = [
+    "data", "codebook", "code", "software", "output", "supplemental", "readme", "asset", "other", "llm_error",
+]
 SENTINEL = "llm_error"
 GROUP_PATTERN = r"^(ex|pilot)\d+\w*$|^shared$"
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -29,23 +31,15 @@ def strip_rtf(text: Column) -> Column:
 
 
 def clean_doi(raw: Column) -> Column:
-    """``10.xxxx/…`` in lower case without URL form or trailing punctuation, else null."""
-    text = F.regexp_replace(F.trim(F.lower(raw)), r"^https?://(dx\.)?doi\.org/", "")
-    text = F.regexp_replace(text, r"^doi:\s*", "")
-    found = F.regexp_extract(text, r"(10\.[0-9]{4,9}/\S+)", 1)
-    return F.when(found != "", F.regexp_replace(found, "[.,;]+$", ""))
+    """``10.xxxx/…`` in lower case, whatever stands before it, without trailing punctuation, else null."""
+    return F.nullif(F.regexp_extract(F.lower(raw), r"10\.[0-9]{4,9}/\S*[^\s.,;]", 0), F.lit(""))
 
 
 def doi_candidates(raw: Column) -> Column:
     """The DOI, the DOI without a letter tail, the DOI cut after its last digit."""
     doi = clean_doi(raw)
-    return F.array_distinct(
-        F.array(
-            doi,
-            F.regexp_replace(doi, "([0-9])[a-z]+$", "$1"),
-            F.regexp_replace(doi, "([0-9])[^0-9]*$", "$1"),
-        )
-    )
+    shorter = [F.regexp_replace(doi, f"(?<=[0-9]){tail}$", "") for tail in ("[a-z]+", "[^0-9]*")]
+    return F.array_distinct(F.array(doi, *shorter))
 
 
 def doi_from_id(prefix: str, paper_id: Column) -> Column:
@@ -70,33 +64,33 @@ def error_code(message: Column) -> Column:
     return F.regexp_replace(message, r"(?s)^([a-z_]+):.*", "$1")
 
 
-def explain_error(message: Column) -> Column:
-    sizes = r"replacement has (\d+) rows, data has (\d+)"
-    return (
-        F.when(
-            message.rlike(sizes),
-            F.format_string(
-                "column count mismatch building study table (%s input rows vs %s in data)",
-                F.regexp_extract(message, sizes, 1),
-                F.regexp_extract(message, sizes, 2),
-            ),
-        )
-        .when(F.trim(message) == "no_data_files", F.lit("no data files found for this study group"))
-        .otherwise(message)
-    )
+# What a failed step says, and what is shown for it.
+EXPLAINED = [
+    (r"replacement has (\d+) rows, data has (\d+)", "column count mismatch building study table ($1 input rows vs $2 in data)"),
+    (r"^ *no_data_files *$", "no data files found for this study group"),
+]
+REASONS = [
+    (r"UTF-8|locale|invalid in this", "encoding (non-UTF-8 input)"),
+    (r"no_data_files", "no data files in group"),
+]
 
 
-def failure_reason(message: Column) -> Column:
-    first = F.regexp_replace(
-        F.when(F.coalesce(message, F.lit("")) == "", F.lit("unspecified")).otherwise(message),
-        r"(?s)\n.*$",
-        "",
-    )
-    return (
-        F.when(first.rlike("UTF-8|locale|invalid in this"), F.lit("encoding (non-UTF-8 input)"))
-        .when(first.contains("no_data_files"), F.lit("no data files in group"))
-        .otherwise(first)
-    )
+def by_rules(text: Column, rules: Sequence[tuple[str, str]]) -> Column:
+    """What the first rule says whose pattern the text holds (``$1`` is a group of it), else the text."""
+    out = text
+    for pattern, said in reversed(rules):
+        out = F.when(text.rlike(pattern), F.regexp_replace(text, f"(?s)^.*?(?:{pattern}).*$", said)).otherwise(out)
+    return out
+
+
+def explain_error(message: Column, rules: Sequence[tuple[str, str]] = EXPLAINED) -> Column:
+    return by_rules(message, rules)
+
+
+def failure_reason(message: Column, rules: Sequence[tuple[str, str]] = REASONS) -> Column:
+    """The first line of a message in the words of ``rules``; one without a message is unspecified."""
+    line = F.substring_index(F.coalesce(F.nullif(message, F.lit("")), F.lit("unspecified")), "\n", 1)
+    return by_rules(line, rules)
 
 
 def percent(part: Column, whole: Column) -> Column:

@@ -227,7 +227,7 @@ def consistency_findings(truth: DataFrame) -> DataFrame:
 
 def enrich(base: DataFrame, lookup: DataFrame) -> DataFrame:
     """Citation fields from the lookup win; title and authors only where the base has none."""
-    cited = "journal pub_year date volume issue pages issn publisher".split()
+    cited = ["journal", "pub_year", "date", "volume", "issue", "pages", "issn", "publisher"]
     joined = base.join(
         lookup.select("paper_id", *[F.col(c).alias(f"_l_{c}") for c in [*cited, "title", "authors"]]),
         "paper_id",

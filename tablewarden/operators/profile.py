@@ -2,23 +2,28 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
 from tablewarden.functions.names import is_id_name
 from tablewarden.operators.scale import (
+    SLICE_WIDTH,
     attach,
     attach_grand,
     exact_quantiles,
     first_rows,
+    interpolate,
     positions,
+    small_side,
 )
 from tablewarden.session import settle
 
 QUANTILES = {"median": 0.5, "p25": 0.25, "p75": 0.75}
-STATS = "mean sd se median min max range p25 p75 iqr skewness kurtosis".split()
+STATS = ["mean", "sd", "se", "median", "min", "max", "range", "p25", "p75", "iqr", "skewness", "kurtosis"]
 
 # Thresholds of the type rules.
 DATE_SHARE, LONG_TEXT = 0.70, 40
@@ -27,10 +32,10 @@ INFINITE = r"(?i)^\s*[+-]?inf(inity)?\s*$"
 NUMBER = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
 
 # Column types an outside answer may carry.
-COLUMN_TYPES = (
-    "continuous binary categorical ordinal date id text continuous_comma_decimal "
-    "continuous_outliers_excluded empty constant unknown llm_error"
-).split()
+COLUMN_TYPES = [
+    "continuous", "binary", "categorical", "ordinal", "date", "id", "text", "continuous_comma_decimal",
+    "continuous_outliers_excluded", "empty", "constant", "unknown", "llm_error",
+]
 
 
 def long_form(
@@ -137,9 +142,73 @@ def profile_numeric(df: DataFrame, columns: Sequence[str], by: Sequence[str] = (
     )
 
 
+def frequencies(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """``by…, col_pos, column_name, i, d, s, c``: how often every value of every column occurs, in one scan.
+
+    A value stands in the column of its kind (whole number, number, text), a missing one in none. It is
+    counted per task before the shuffle, so a value that fills a third of a column travels once per task.
+    """
+    kinds = {"i": "bigint", "d": "double", "s": "string"}
+    cells = []
+    for at, c in enumerate(columns, 1):
+        own = _kind(df, c)
+        value = F.col(f"`{c}`").cast(own)
+        # NaN is missing, zero and negative zero are one value
+        value = _clean(value) + F.lit(0.0) if own == "double" else value
+        typed = [(value if kind == own else F.lit(None).cast(kind)).alias(name) for name, kind in kinds.items()]
+        cells.append(F.struct(F.lit(at).alias("col_pos"), F.lit(c).alias("column_name"), *typed))
+    tall = df.select(*by, F.inline(F.array(*cells)))
+    return tall.groupBy(*by, "col_pos", "column_name", *kinds).agg(F.count(F.lit(1)).alias("c"))
+
+
 def profile_table(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """Counts and the twelve statistics per column and key, all from one table of frequencies.
+
+    The table is scanned once; what follows works on distinct values. Quantiles come from running
+    counts over the values in order: within a key, or, where a column has very many values, within
+    ranges of them.
+    """
     keys = [*by, "col_pos", "column_name"]
-    return attach(profile_counts(df, columns, by), profile_numeric(df, columns, by), keys)
+    freq = settle(frequencies(df, columns, by))
+    c, v = F.col("c"), F.coalesce("d", F.col("i").cast("double"), F.col("s").try_cast("double"))
+    there = F.coalesce(F.col("i").isNotNull() | F.col("d").isNotNull() | F.col("s").isNotNull(), F.lit(False))
+    counts = settle(
+        freq.groupBy(*keys).agg(
+            F.coalesce(F.sum(F.when(there, c)), F.lit(0)).alias("n"),
+            F.coalesce(F.sum(F.when(~there, c)), F.lit(0)).alias("n_missing"),
+            F.count_if(there).alias("n_unique"),
+            F.coalesce(F.sum(F.when(v.isNotNull(), c)), F.lit(0)).alias("_n"),
+            (F.sum(v * c) / F.sum(F.when(v.isNotNull(), c))).alias("mean"),
+            F.min(v).alias("min"),
+            F.max(v).alias("max"),
+        )
+    )
+    known = attach(freq.withColumn("_v", v).where("_v IS NOT NULL").select(*keys, "_v", "c"), small_side(counts.select(*keys, "_n", "mean")), keys)
+    many = counts.agg(F.max("n_unique")).first()[0] or 0
+    if many <= SLICE_WIDTH:
+        order = Window.partitionBy(*keys).orderBy("_v")
+        known = known.withColumn("_cum", F.sum("c").over(order))
+    else:
+        known = positions(known, keys, [F.col("_v")], out="_cum", weight="c", width=None)
+    off, n = F.col("_v") - F.col("mean"), F.col("_n")
+    sums = {f"_m{k}": F.sum(F.pow(off, F.lit(float(k))) * F.col("c")) for k in (2, 3, 4)}
+    for name, p in QUANTILES.items():
+        h = (n - 1) * F.lit(float(p))
+        for side, k in (("lo", F.floor(h)), ("hi", F.ceil(h))):
+            covers = (F.col("_cum") > k) & (F.col("_cum") - F.col("c") <= k)
+            sums[f"_{side}_{name}"] = F.max(F.when(covers, F.col("_v")))
+    found = attach(counts, known.groupBy(*keys).agg(*[e.alias(name) for name, e in sums.items()]), keys)
+    shrink, spread_ = (n - 1) / n, F.col("_m2") / n
+    values = {
+        "sd": F.when(n > 1, F.sqrt(F.col("_m2") / (n - 1))),
+        "range": F.col("max") - F.col("min"),
+        "skewness": F.when((n > 2) & (spread_ > 0), F.col("_m3") / n / F.pow(spread_, F.lit(1.5)) * F.pow(shrink, F.lit(1.5))),
+        "kurtosis": F.when((n > 3) & (spread_ > 0), F.col("_m4") / n / (spread_ * spread_) * shrink * shrink - 3),
+    }
+    values |= {q: interpolate(n, p, F.col(f"_lo_{q}"), F.col(f"_hi_{q}")) for q, p in QUANTILES.items()}
+    out = found.withColumns(values)
+    out = out.withColumn("se", F.when(n > 1, F.col("sd") / F.sqrt(n))).withColumn("iqr", F.col("p75") - F.col("p25"))
+    return out.select(*keys, "n", "n_missing", "n_unique", *STATS)
 
 
 def as_number(value: Column) -> Column:
@@ -346,8 +415,8 @@ def read_budget(
 
     In ``order`` a file that would pass the cap is skipped and later smaller
     ones may still fit; unreadable files use up nothing. Keys within the cap
-    take all their files. Keys over it with few files are folded in one array;
-    keys with more go through rounds of distributed running sums (see
+    take all their files. Keys over it with few files are folded in one list, in linear
+    time; keys with more go through rounds of distributed running sums (see
     ``_greedy_rounds``).
     """
     by = list(by)
@@ -361,33 +430,37 @@ def read_budget(
     tight = over.where(F.col("_sum") > total_cap)
 
     small = tight.where(F.col("_cnt") <= fold_limit)
-    listed = small.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct(order, "_s"))).alias("_l"))
-    start = F.struct(
-        F.lit(0).cast("bigint").alias("used"), F.array().cast("array<bigint>").alias("taken")
-    )
-    folded = listed.select(
-        *by,
-        F.explode(
-            F.aggregate(
-                "_l",
-                start,
-                lambda acc, f: F.when(
-                    acc["used"] + f["_s"] <= total_cap,
-                    F.struct(
-                        (acc["used"] + f["_s"]).alias("used"),
-                        F.concat(acc["taken"], F.array(f[order].cast("bigint"))).alias("taken"),
-                    ),
-                ).otherwise(acc),
-                lambda acc: acc["taken"],
-            )
-        ).alias(order),
-    )
+    parts = F.array_sort(F.collect_list(F.struct(F.col(order).cast("bigint").alias("o"), F.col("_s").alias("s"))))
+    listed = small.groupBy(*by).agg(parts.alias("_l"))
+    listed = listed.select(*by, F.transform("_l", lambda r: r["o"]).alias("_o"), F.transform("_l", lambda r: r["s"]).alias("_z"))
+    kinds = StructType([*[listed.schema[c] for c in by], StructField("_o", ArrayType(LongType()))])
+    folded = listed.mapInArrow(_greedy(total_cap), kinds).select(*by, F.explode("_o").alias(order))
     large = tight.where(F.col("_cnt") > fold_limit).select(*by, order, "_s")
     taken = fits.unionByName(folded).unionByName(_greedy_rounds(large, by, order, total_cap))
     flagged = attach(files, taken.withColumn("is_read", F.lit(True)), [*by, order])
     return flagged.withColumn("is_read", F.coalesce("is_read", F.lit(False)))
 
 
+def _greedy(cap: int):
+    """Files taken one after another while they fit, one list per key in linear time."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            taken = []
+            for orders, sizes in zip(batch.column("_o"), batch.column("_z"), strict=True):
+                left, kept = cap, []
+                for o, s in zip(orders.as_py(), sizes.as_py(), strict=True):
+                    if s <= left:
+                        left -= s
+                        kept.append(o)
+                taken.append(kept)
+            names = [n for n in batch.schema.names if n not in ("_o", "_z")]
+            columns = [batch.column(n) for n in names]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(taken, pa.list_(pa.int64()))], [*names, "_o"])
+
+    return run
+
+
 def _greedy_rounds(cand: DataFrame, by: list[str], order: str, cap: int) -> DataFrame:
     """Greedy packing by running sums; every round at least halves what is left.
 
@@ -483,7 +556,7 @@ def compare_reported(
     ``mapping`` gives the ``column_name`` of each ``reported_name``. Column
     names compare in lower case; reported numbers may be text.
     """
-    stats = "n n_missing mean sd min max n_unique".split()
+    stats = ["n", "n_missing", "mean", "sd", "min", "max", "n_unique"]
 
     def tall(df: DataFrame, key: str, out: str) -> DataFrame:
         return (

@@ -14,18 +14,16 @@ TIMINGS = ["elapsed_ms", "download_ms", "llm_ms", "column_ms"]
 
 # Validator keys by who has to fix them.
 ISSUE_KEYS = {
-    "repository": (
-        "CSV_HEADER_REPEATED CSV_HEADER_LENGTH_MISMATCH FILENAME_KEYWORD_FORMATTING_ERROR FILE_EMPTY"
-    ).split(),
-    "converter": (
-        "VARIABLE_MISSING_FROM_CSV_COLUMNS MISSING_DATAFILE MISSING_SIDECAR_METADATA"
-    ).split(),
-    "structural": (
-        "FILE_NOT_CHECKED MISSING_CHANGES_DOC MISSING_DIRECTORY_METADATA MISSING_RESULTS_DIRECTORY "
-        "MISSING_README_DOC MISSING_MATERIALS_DIRECTORY MISSING_ANALYSIS_DIRECTORY "
-        "MISSING_DOCUMENTATION_DIRECTORY INVALID_SCHEMAORG_PROPERTY "
-        "FILENAME_UNOFFICIAL_KEYWORD_WARNING UNKNOWN_NAMESPACE"
-    ).split(),
+    "repository": [
+        "CSV_HEADER_REPEATED", "CSV_HEADER_LENGTH_MISMATCH", "FILENAME_KEYWORD_FORMATTING_ERROR", "FILE_EMPTY",
+    ],
+    "converter": ["VARIABLE_MISSING_FROM_CSV_COLUMNS", "MISSING_DATAFILE", "MISSING_SIDECAR_METADATA"],
+    "structural": [
+        "FILE_NOT_CHECKED", "MISSING_CHANGES_DOC", "MISSING_DIRECTORY_METADATA", "MISSING_RESULTS_DIRECTORY",
+        "MISSING_README_DOC", "MISSING_MATERIALS_DIRECTORY", "MISSING_ANALYSIS_DIRECTORY",
+        "MISSING_DOCUMENTATION_DIRECTORY", "INVALID_SCHEMAORG_PROPERTY", "FILENAME_UNOFFICIAL_KEYWORD_WARNING",
+        "UNKNOWN_NAMESPACE",
+    ],
 }
 
 

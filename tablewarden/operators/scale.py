@@ -135,7 +135,7 @@ def _percentiles(rows: DataFrame, by: list[str], probs: dict[str, float]) -> Dat
     )
 
 
-def _interpolate(n: Column, p: float, low: Column, high: Column) -> Column:
+def interpolate(n: Column, p: float, low: Column, high: Column) -> Column:
     h = (n - 1) * F.lit(float(p))
     return low + (h - F.floor(h)) * (high - low)
 
@@ -207,7 +207,7 @@ def exact_quantiles(
     def value_of(name: str) -> Column:
         low, high = F.col(f"_lo_{name}"), F.col(f"_hi_{name}")
         lost = F.raise_error(F.lit("quantile outside its bracket")).cast("double")
-        found = _interpolate(F.col("_n"), probs[name], low, high)
+        found = interpolate(F.col("_n"), probs[name], low, high)
         return F.when(low.isNull() | high.isNull(), lost).otherwise(found).alias(name)
 
     return (

@@ -11,7 +11,8 @@ from tablewarden.plans.views import Family
 FAMILY = Family()
 query = FAMILY.add
 
-LINE_NUMBERS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_linenumber"]
+LINE_NUMBERS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_linenumber", "l_orderkey", "l_partkey", "l_suppkey"]
+ORDER_NUMBERS = ["o_totalprice", "o_custkey", "o_orderkey"]
 STATS = ["mean", "sd", "se", "median", "min", "max", "range", "p25", "p75", "iqr", "skewness", "kurtosis"]
 
 
@@ -67,13 +68,13 @@ def profile_lineitem(t):
 @query(
     "profile_orders_by_status",
     f"""
-    WITH x AS ({_union('{orders}', ['o_totalprice', 'o_custkey'], 'o_orderstatus,')}),
+    WITH x AS ({_union('{orders}', ORDER_NUMBERS, 'o_orderstatus,')}),
     s AS ({_stats_sql('v', 'o_orderstatus, column_name, col_pos, count(*) - count(v) AS n_missing, count(DISTINCT v) AS n_unique,')}
       FROM x GROUP BY o_orderstatus, column_name, col_pos)
     SELECT o_orderstatus, column_name, col_pos, n, n_missing, n_unique, {STAT_COLUMNS} FROM s""",
 )
 def profile_orders_by_status(t):
-    return rounded(P.profile_table(t.orders, ["o_totalprice", "o_custkey"], ["o_orderstatus"]))
+    return rounded(P.profile_table(t.orders, ORDER_NUMBERS, ["o_orderstatus"]))
 
 
 def _cells_sql(table: str, ord_: str, columns: dict[str, str]) -> str:
@@ -211,7 +212,9 @@ def comma_decimal(t):
     WITH c AS (
       SELECT 'event_type' AS column_name, event_id AS ord, event_type AS value FROM {events} UNION ALL
       SELECT 'value', event_id, CAST(value AS VARCHAR) FROM {events} UNION ALL
-      SELECT 'user_id', event_id, CAST(user_id AS VARCHAR) FROM {events}),
+      SELECT 'user_id', event_id, CAST(user_id AS VARCHAR) FROM {events} UNION ALL
+      SELECT 'ts', event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') FROM {events} UNION ALL
+      SELECT 'props', event_id, props FROM {events}),
     a AS (SELECT *, row_number() OVER (PARTITION BY column_name ORDER BY ord) AS k FROM c WHERE value IS NOT NULL),
     u AS (SELECT column_name, value, min(ord) AS ord FROM c WHERE value IS NOT NULL GROUP BY column_name, value),
     b AS (SELECT *, row_number() OVER (PARTITION BY column_name ORDER BY ord) AS k FROM u)
@@ -221,7 +224,8 @@ def comma_decimal(t):
     WHERE k <= 20 GROUP BY column_name, first5.s""",
 )
 def sample_values(t):
-    cells = P.long_form(t.events.withColumnRenamed("event_id", "ord"), ["event_type", "value", "user_id"], ["ord"])
+    rows = t.events.withColumnRenamed("event_id", "ord").withColumn("ts", F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
+    cells = P.long_form(rows, ["event_type", "value", "user_id", "ts", "props"], ["ord"])
     return (
         P.sample_values(cells)
         .join(P.distinct_samples(cells), ["col_pos", "column_name"])

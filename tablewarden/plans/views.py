@@ -13,10 +13,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tablewarden.session import tune
 
-TABLES = (
-    "region nation customer supplier part orders lineitem events documents embeddings pages "
-    "benchmark labels conversations"
-).split()
+TABLES = [
+    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings",
+    "pages", "benchmark", "labels", "conversations",
+]
 
 FILE_CLASSES = ["asset", "code", "codebook", "data", "output", "readme", "supplemental"]
 CONFIGS = ["m120_md", "m20_json", "m20_md"]

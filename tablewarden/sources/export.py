@@ -19,7 +19,7 @@ NUMERIC_TYPES = [
     "continuous", "continuous_comma_decimal", "continuous_outliers_excluded"
 ]
 CATEGORICAL_TYPES = ["categorical", "binary", "ordinal"]
-STATISTICS = "n n_missing mean sd se median p25 p75 iqr skewness kurtosis".split()
+STATISTICS = ["n", "n_missing", "mean", "sd", "se", "median", "p25", "p75", "iqr", "skewness", "kurtosis"]
 
 
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ("source", "paper_id"), fmt: str = "parquet") -> None:
