@@ -1,5 +1,7 @@
 import math
+import time
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -127,3 +129,53 @@ def test_words_for_no_number(spark):
     assert got["w"]["col_type"] == "empty" and got["w"]["n_missing"] == 36
     assert got["late_dates"]["col_type"] == "date"
     assert {r["column_name"]: r["col_type"] for r in P.infer_types(cells, date_sample=1).collect()}["late_dates"] != "date"
+
+
+@pytest.mark.parametrize("width", [1_000_000, 0])
+def test_table_profile_from_frequencies(spark, monkeypatch, width):
+    """Both ways to running counts, with missing, repeated and lonely values, against numpy."""
+    monkeypatch.setattr(P, "SLICE_WIDTH", width)
+    rng = np.random.default_rng(7)
+    rows = [(k, None if rng.random() < 0.1 else round(float(rng.normal(5, 3)), 1), int(rng.integers(4))) for k in "ab" for _ in range(700)]
+    rows += [("a", float("nan"), None), ("c", 4.0, 1), ("d", None, None), (None, 1.0, 2), (None, 2.0, 2), ("e", -0.0, 5), ("e", 0.0, 5)]
+    df = spark.createDataFrame(rows, "k string, x double, n int")
+    got = {(r["k"], r["column_name"]): r for r in P.profile_table(df, ["x", "n"], ["k"]).collect()}
+    assert len(got) == 12
+    for (k, name), r in got.items():
+        own = [row[1 if name == "x" else 2] for row in rows if row[0] == k]
+        v = np.array([x for x in own if x is not None and x == x], float)
+        assert (r["n"], r["n_missing"], r["n_unique"]) == (len(v), len(own) - len(v), len(set(v.tolist())))
+        if not len(v):
+            assert r["mean"] is None and r["median"] is None
+            continue
+        want = {"mean": v.mean(), "min": v.min(), "max": v.max(), "median": np.median(v), "p25": np.quantile(v, 0.25), "p75": np.quantile(v, 0.75)}
+        if len(v) > 1:
+            want["sd"] = v.std(ddof=1)
+        if len(v) > 3 and v.std() > 0:
+            d, sd = v - v.mean(), v.std(ddof=1)
+            want |= {"skewness": (d**3).mean() / sd**3, "kurtosis": (d**4).mean() / sd**4 - 3}
+        for stat, w in want.items():
+            assert r[stat] == pytest.approx(w, abs=1e-9), (k, name, stat)
+
+
+def test_table_profile_reads_the_table_once(spark, tmp_path):
+    spark.createDataFrame([(1, 2.0), (2, 3.0)], "a int, b double").write.parquet(str(tmp_path / "t"))
+    plan = P.frequencies(spark.read.parquet(str(tmp_path / "t")), ["a", "b"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and plan.count("Exchange") == 1
+    out = P.profile_table(spark.read.parquet(str(tmp_path / "t")), ["a", "b"])._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan" not in out
+
+
+def test_read_budget_is_linear_in_the_files_of_a_repository(spark):
+    n = 50_000
+    files = spark.range(n).select(F.lit("p").alias("paper_id"), F.col("id").alias("ord"), (F.col("id") % 97 + 1).alias("size"))
+    start = time.monotonic()
+    read = P.read_budget(files, ["paper_id"], "ord", "size", 90, 1_000_000)
+    got = {r["ord"] for r in read.where("is_read").collect()}
+    left, want = 1_000_000, set()
+    for i in range(n):
+        size = i % 97 + 1
+        if size <= 90 and size <= left:
+            left -= size
+            want.add(i)
+    assert got == want and time.monotonic() - start < 60
