@@ -7,7 +7,7 @@ so a dialogue of any length is never held in one row; ``whole_dialogues`` puts s
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablewarden.llm.common import prepare, table
@@ -18,6 +18,15 @@ SYSTEM, ASSISTANT, USER = "system", "assistant", "user"
 UNNAMED = "unnamed"
 
 
+def safe_name(speaker: Column) -> Column:
+    """A name in one line without control tokens; different speakers keep different names."""
+    out = speaker
+    for bare, escaped in (("\\", "\\\\"), ("\n", "\\n"), ("\r", "\\r"), ("<|", "<\\|")):
+        out = F.replace(out, F.lit(bare), F.lit(escaped))
+    out = F.when(out.rlike(f"^{UNNAMED}~*$"), F.concat(out, F.lit("~"))).otherwise(out)
+    return F.coalesce(out, F.lit(UNNAMED))
+
+
 def rotate(
     turns: DataFrame, conv: str = "conv_id", turn: str = "turn", speaker: str = "role", text: str = "text"
 ) -> DataFrame:
@@ -26,7 +35,9 @@ def rotate(
     target_end (the part that is trained on; null where another speaks).
 
     The system speaker sets the scene and is no participant: its turns stay system turns. A null
-    speaker is a participant named ``unnamed``; a null text is empty. Turns are ordered by turn
+    speaker is a participant named ``unnamed``; one who is really called that gets a ``~`` behind the
+    name, and so on, so that no two speakers become one. Names are written with escapes for line ends,
+    ``<|`` and the escape itself, so no name can forge a turn either. A null text is empty. Turns are ordered by turn
     number (null first), then speaker, then text; repeated rows stay. Control tokens inside a text
     are broken up by a zero-width space, so no text can forge a turn. Null dialogue ids are one
     dialogue. A dialogue with only system turns has no perspective and no rows.
@@ -36,7 +47,7 @@ def rotate(
     base = turns.select(
         F.col(conv).alias("conv_id"),
         F.col(turn).alias("turn"),
-        F.coalesce(F.col(speaker).cast("string"), F.lit(UNNAMED)).alias("speaker"),
+        safe_name(F.col(speaker).cast("string")).alias("speaker"),
         safe.alias("content"),
     )
     people = base.where(F.col("speaker") != SYSTEM).select(F.col("conv_id").alias("of"), F.col("speaker").alias("perspective")).distinct()
@@ -96,10 +107,13 @@ def op8_perspective_rotation(spark, sf_dir):
 
 
 OP8_SQL = """
-WITH base AS (
-  SELECT conv_id, turn, coalesce(role, 'unnamed') AS speaker,
+WITH named AS (
+  SELECT *, replace(replace(replace(replace(role, chr(92), chr(92) || chr(92)), chr(10), chr(92) || 'n'), chr(13), chr(92) || 'r'),
+    '<|', '<' || chr(92) || '|') AS said FROM conversations
+), base AS (
+  SELECT conv_id, turn, CASE WHEN said IS NULL THEN 'unnamed' WHEN regexp_matches(said, '^unnamed~*$') THEN said || '~' ELSE said END AS speaker,
     regexp_replace(coalesce(text, ''), '<\\|(im_start|im_end)\\|>', '<' || chr(8203) || '|\\1|>', 'g') AS content
-  FROM conversations
+  FROM named
 ), seen AS (
   SELECT b.*, p.perspective,
     CASE WHEN b.speaker = 'system' THEN 'system' WHEN b.speaker = p.perspective THEN 'assistant' ELSE 'user' END AS role,
