@@ -70,6 +70,14 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Delete the folders of a ``stored`` table that no later step reads."""
+    spark = df.sparkSession
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def same(left: Column, right: Column) -> Column:
     """Equality in which null equals null."""
     return left.eqNullSafe(right)

@@ -25,7 +25,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablewarden.llm.common import fresh, mix, pick, prepare, same, stored, table, trim
+from tablewarden.llm.common import discard, fresh, mix, pick, prepare, same, stored, table, trim
+from tablewarden.operators.scale import small_side
 from tablewarden.session import settle
 
 SEED = 42
@@ -41,6 +42,8 @@ NEAR_TRIPLES = 64
 MIN_SHARED = 5
 PARITY_LONGS = 16
 SHINGLES_AT_ONCE = 1 << 15
+# Digests broadcast at most, to pick the sets that are still asked for; more are joined by a shuffle.
+SMALL_ENDS = 500_000
 # Order of shingles: counts of buckets over a share of the texts. Any order is right, a rare-first one is fast.
 RANK_BITS = 20
 RANK_SHARE = 8
@@ -352,7 +355,9 @@ def prefix_lists(prints: DataFrame) -> DataFrame:
     live = stored(places.join(several.select("key"), "key", "left_semi").distinct(), "lists")
     long = live.groupBy("key").agg(F.count("*").alias("n"))
     weights = live.join(long, "key").groupBy("node").agg(F.sum("n").alias("weight"))
-    return stored(live.join(weights, "node").select("key", "node", "weight"), "postings")
+    postings = stored(live.join(weights, "node").select("key", "node", "weight"), "postings")
+    discard(live)
+    return postings
 
 
 def allowed(similarity: float) -> Column:
@@ -436,7 +441,8 @@ def near_links(
 
     ``nodes`` has one row per different text: digest, fingerprint lanes (not with ``prefixes``), parity
     and size of its shingles, and the ``id`` and ``own`` hash of a row of ``docs`` (id, text) that holds
-    it. ``prefixes`` (digest, keys) has the rarest shingles of each text. The index of fingerprints of two-word features proposes most similar
+    it. ``prefixes`` (digest, keys) has the rarest shingles of each text; it is stored and deleted after
+    use. The index of fingerprints of two-word features proposes most similar
     pairs, that of the rarest shingles every one; the Jaccard similarity of the whole sets of
     ``words``-word shingles decides. Thousands of near copies of one text would make millions of pairs;
     so each text is first compared with the leader of its lists, and then only with texts of other
@@ -445,6 +451,7 @@ def near_links(
     """
     if prefixes is not None:
         postings = prefix_lists(prefixes)
+        discard(prefixes)  # the longest table of the stage; what follows reads the lists
         pairs = stored(prefix_leaders(postings, nodes.select("digest", "parity", "size"), similarity), "pairs")
         return _joined_up(docs, nodes, postings, pairs, words, similarity, [])
     heads = nodes.groupBy(*LANES).agg(F.min("digest").alias("node"))
@@ -461,13 +468,16 @@ def _joined_up(
 ) -> DataFrame:
     """The similar ones of ``pairs``, then those of the lists that lie between the groups these make."""
     texts = docs.withColumn("hash", F.xxhash64("text"))
-    sets = stored(shingle_sets(texts, nodes, ends(pairs), words), "shingles").dropDuplicates(["digest"])
+    sets = stored(shingle_sets(texts, nodes, ends(pairs), words).dropDuplicates(["digest"]), "shingles")
     near = stored(verified(pairs, sets, similarity), "near")
     sketches = nodes.select("digest", "parity", "size")
     rest = stored(between_groups(postings, sketches, components(near), similarity, lanes), "rest")
-    more = ends(rest).join(sets, "digest", "left_anti")
-    both = sets.unionByName(stored(shingle_sets(texts, nodes, more, words), "shingles").dropDuplicates(["digest"]))
-    return near.union(verified(rest, both, similarity))
+    wanted = stored(ends(rest), "ends")
+    more = wanted.join(sets.select("digest"), "digest", "left_anti")
+    more = stored(shingle_sets(texts, nodes, more, words).dropDuplicates(["digest"]), "shingles")
+    # only sets that a pair still asks for are shuffled
+    held = sets.join(small_side(wanted, SMALL_ENDS), "digest", "left_semi")
+    return near.union(verified(rest, held.unionByName(more), similarity))
 
 
 def drop_near_duplicates(
@@ -505,6 +515,7 @@ def drop_near_duplicates(
     facts = [n for n in names if n != "keys"]
     nodes = prints.groupBy("digest").agg(F.min(place).alias("at"), F.min(F.struct(*facts)).alias("of"))
     nodes = stored(nodes.select("digest", "of.*", "at.none", "at.id", "at.own"), "nodes")
+    repeated = prints.groupBy("id", "own").count().where("count > 1").limit(1).count()
     prefixes = prints.select("digest", "keys") if complete else None
     found = components(near_links(rows, nodes, words, similarity, prefixes))
     groups = nodes.join(found, nodes["digest"] == found["node"], "left")
@@ -513,7 +524,7 @@ def drop_near_duplicates(
     own = fresh(docs, "own")
     tagged = docs.withColumn(own, F.xxhash64(F.coalesce(docs[text_col].cast("string"), F.lit(""))))
     kept = tagged.join(keep, same(tagged[id_col], keep["keep_id"]) & (tagged[own] == keep["keep_own"]), "left_semi")
-    if prints.groupBy("id", "own").count().where("count > 1").limit(1).count():  # wholly repeated rows
+    if repeated:  # wholly repeated rows
         kept = kept.dropDuplicates([id_col, own])
     return kept.select(*docs.columns)
 
