@@ -162,11 +162,11 @@ def frequencies(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -
 
 
 def profile_table(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
-    """Counts and the twelve statistics per column and key, all from one table of frequencies.
+    """Counts and the twelve statistics per column and key, from two scans.
 
-    The table is scanned once; what follows works on distinct values. Quantiles come from running
-    counts over the values in order: within a key, or, where a column has very many values, within
-    ranges of them.
+    One is a table of frequencies, settled, from which counts and quantiles come: running counts over
+    the values in order, within a key or, where a column has very many values, within ranges of them.
+    The other is one wide aggregate for the moments, which shuffles a row per task and key.
     """
     keys = [*by, "col_pos", "column_name"]
     freq = settle(frequencies(df, columns, by))
@@ -178,36 +178,24 @@ def profile_table(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ())
             F.coalesce(F.sum(F.when(~there, c)), F.lit(0)).alias("n_missing"),
             F.count_if(there).alias("n_unique"),
             F.coalesce(F.sum(F.when(v.isNotNull(), c)), F.lit(0)).alias("_n"),
-            (F.sum(v * c) / F.sum(F.when(v.isNotNull(), c))).alias("mean"),
-            F.min(v).alias("min"),
-            F.max(v).alias("max"),
         )
     )
-    known = attach(freq.withColumn("_v", v).where("_v IS NOT NULL").select(*keys, "_v", "c"), small_side(counts.select(*keys, "_n", "mean")), keys)
+    values = freq.select(*keys, v.alias("_v"), "c").where("_v IS NOT NULL")
     many = counts.agg(F.max("n_unique")).first()[0] or 0
     if many <= SLICE_WIDTH:
-        order = Window.partitionBy(*keys).orderBy("_v")
-        known = known.withColumn("_cum", F.sum("c").over(order))
+        ranked = values.withColumn("_cum", F.sum("c").over(Window.partitionBy(*keys).orderBy("_v")))
     else:
-        known = positions(known, keys, [F.col("_v")], out="_cum", weight="c", width=None)
-    off, n = F.col("_v") - F.col("mean"), F.col("_n")
-    sums = {f"_m{k}": F.sum(F.pow(off, F.lit(float(k))) * F.col("c")) for k in (2, 3, 4)}
+        ranked = positions(values, keys, [F.col("_v")], out="_cum", weight="c", width=None)
+    ranked = attach(ranked, small_side(counts.select(*keys, "_n")), keys)
+    ends = {}
     for name, p in QUANTILES.items():
-        h = (n - 1) * F.lit(float(p))
+        h = (F.col("_n") - 1) * F.lit(float(p))
         for side, k in (("lo", F.floor(h)), ("hi", F.ceil(h))):
             covers = (F.col("_cum") > k) & (F.col("_cum") - F.col("c") <= k)
-            sums[f"_{side}_{name}"] = F.max(F.when(covers, F.col("_v")))
-    found = attach(counts, known.groupBy(*keys).agg(*[e.alias(name) for name, e in sums.items()]), keys)
-    shrink, spread_ = (n - 1) / n, F.col("_m2") / n
-    values = {
-        "sd": F.when(n > 1, F.sqrt(F.col("_m2") / (n - 1))),
-        "range": F.col("max") - F.col("min"),
-        "skewness": F.when((n > 2) & (spread_ > 0), F.col("_m3") / n / F.pow(spread_, F.lit(1.5)) * F.pow(shrink, F.lit(1.5))),
-        "kurtosis": F.when((n > 3) & (spread_ > 0), F.col("_m4") / n / (spread_ * spread_) * shrink * shrink - 3),
-    }
-    values |= {q: interpolate(n, p, F.col(f"_lo_{q}"), F.col(f"_hi_{q}")) for q, p in QUANTILES.items()}
-    out = found.withColumns(values)
-    out = out.withColumn("se", F.when(n > 1, F.col("sd") / F.sqrt(n))).withColumn("iqr", F.col("p75") - F.col("p25"))
+            ends[f"_{side}_{name}"] = F.max(F.when(covers, F.col("_v")))
+    found = attach(counts, ranked.groupBy(*keys).agg(*[e.alias(name) for name, e in ends.items()]), keys)
+    found = found.withColumns({q: interpolate(F.col("_n"), p, F.col(f"_lo_{q}"), F.col(f"_hi_{q}")) for q, p in QUANTILES.items()})
+    out = attach(found, profile_moments(df, columns, by), keys).withColumn("iqr", F.col("p75") - F.col("p25"))
     return out.select(*keys, "n", "n_missing", "n_unique", *STATS)
 
 

@@ -45,4 +45,4 @@ def test_query(spark, duck, name):
 
 
 def test_entry(spark):
-    assert entry_points.entry(spark).count() == 5
+    assert entry_points.entry(spark).count() == 8
