@@ -405,10 +405,15 @@ def between_groups(
 
 
 def shingle_sets(texts: DataFrame, nodes: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """(digest, shingles) of the digests in ``wanted``; of each a single row of ``texts`` is read."""
+    """(digest, shingles) of the digests in ``wanted``; of each a single row of ``texts`` is read.
+
+    Where few are wanted they are broadcast and no text is shuffled; beyond that texts and wanted rows
+    meet by a merge join.
+    """
     held = nodes.join(wanted, "digest", "left_semi").select("digest", F.col("id").alias("head"), "own")
-    return (  # as many texts as pairs propose: a share of all, so no side to broadcast
-        texts.join(held.hint("merge"), same(texts["id"], held["head"]) & (texts["hash"] == held["own"]))
+    held = small_side(stored(held, "heads"), SMALL_ENDS)
+    return (
+        texts.join(held, same(texts["id"], F.col("head")) & (texts["hash"] == F.col("own")))
         .select("digest", "text")
         .mapInArrow(_shingle_sets(words), "digest bigint, shingles array<bigint>")
     )
@@ -468,13 +473,13 @@ def _joined_up(
 ) -> DataFrame:
     """The similar ones of ``pairs``, then those of the lists that lie between the groups these make."""
     texts = docs.withColumn("hash", F.xxhash64("text"))
-    sets = stored(shingle_sets(texts, nodes, ends(pairs), words).dropDuplicates(["digest"]), "shingles")
+    sets = stored(shingle_sets(texts, nodes, ends(pairs), words), "shingles")
     near = stored(verified(pairs, sets, similarity), "near")
     sketches = nodes.select("digest", "parity", "size")
     rest = stored(between_groups(postings, sketches, components(near), similarity, lanes), "rest")
     wanted = stored(ends(rest), "ends")
     more = wanted.join(sets.select("digest"), "digest", "left_anti")
-    more = stored(shingle_sets(texts, nodes, more, words).dropDuplicates(["digest"]), "shingles")
+    more = stored(shingle_sets(texts, nodes, more, words), "shingles")
     # only sets that a pair still asks for are shuffled
     held = sets.join(small_side(wanted, SMALL_ENDS), "digest", "left_semi")
     return near.union(verified(rest, held.unionByName(more), similarity))
@@ -516,6 +521,8 @@ def drop_near_duplicates(
     nodes = prints.groupBy("digest").agg(F.min(place).alias("at"), F.min(F.struct(*facts)).alias("of"))
     nodes = stored(nodes.select("digest", "of.*", "at.none", "at.id", "at.own"), "nodes")
     repeated = prints.groupBy("id", "own").count().where("count > 1").limit(1).count()
+    if repeated:  # rows that are wholly alike would give a text's shingles more than once
+        rows = rows.dropDuplicates(["id", "text"])
     prefixes = prints.select("digest", "keys") if complete else None
     found = components(near_links(rows, nodes, words, similarity, prefixes))
     groups = nodes.join(found, nodes["digest"] == found["node"], "left")
