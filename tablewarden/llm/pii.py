@@ -5,30 +5,34 @@ written around (``name (at) host (dot) org``), number chains with any separators
 kind, score each candidate by its format and its context; a candidate above the kind's threshold
 that overlaps no span already taken is added.
 
-The trees learn from a bounded sample of the corpus' own candidates. A base match is a positive of
+The trees learn from all the corpus' own candidates. A base match is a positive of
 its kind; a candidate that fails the checks (Luhn, range, number of digits) is a negative. Each is
 also rewritten in other formats, with its label, since the exact patterns know only one format.
+Candidates with the same features are one row with its counts; the rows stay on the executors.
 """
 
 from __future__ import annotations
 
-import hashlib
 import math
 import re
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import RDD, StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablewarden.llm.boosting import Trees, boost, threshold
-from tablewarden.llm.common import pick, prepare, table
+from tablewarden.llm.boosting import BINS, SCORE_PARTS, Block, Label, Trees, binned, boost_blocks, score_tally, start_of, threshold
+from tablewarden.llm.common import discard, pick, prepare, stored, table
 
 KINDS = ["email", "ip", "card", "phone"]
-# Candidates the trees are fitted on at most, taken by the order of a hash.
-SAMPLE = 20_000
+# Of so many texts one is kept back to calibrate the thresholds.
+HELD = 3
+# Distinct rows of features in a block, and those that are worth a task of their own.
+BLOCK_ROWS, TASK_ROWS = 1 << 14, 1 << 16
 PRECISION = 0.98
 SUPPORT = 40
 # Least certainty of an added span; without support for a calibration a fixed one, and so many positives to a negative.
@@ -257,52 +261,118 @@ class Model:
         return out
 
 
-def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+# How many of the examples with the same features are of each kind.
+OF = {k: f"n_{name}" for k, name in zip(range(PART, len(KINDS)), ["part", "none", *KINDS], strict=True)}
+
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        seen: Counter[tuple] = Counter()
+        for text, held in zip(batch.column("text").to_pylist(), batch.column("held").to_pylist(), strict=True):
+            seen.update((tuple(map(int, f)), held, kind) for f, kind in examples(text))
+        if seen:
+            f, held, kind = zip(*seen, strict=True)
+            n, kind = np.fromiter(seen.values(), np.int64, len(seen)), np.array(kind)
+            parts = [pa.array(f, pa.list_(pa.int32())), pa.array(held, pa.bool_()), *[pa.array(n * (kind == k)) for k in OF]]
+            yield pa.RecordBatch.from_arrays(parts, ["features", "held", *OF.values()])
+
+
+def counted_examples(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """(features, held, one count for each kind) of all examples; ``held``: of a text that is kept back."""
+    rows = docs.select(docs[text_col].cast("string").alias("text")).where(F.col("text").rlike("[0-9@]|[(\\[](at|AT)[)\\]]"))
+    rows = rows.withColumn("held", F.pmod(F.xxhash64("text"), F.lit(HELD)) == 0)
+    schema = ", ".join(["features array<int>", "held boolean", *[f"{c} bigint" for c in OF.values()]])
+    return rows.mapInArrow(_counted, schema).groupBy("features", "held").agg(*[F.sum(c).alias(c) for c in OF.values()])
+
+
+def bin_edges(found: DataFrame) -> list[np.ndarray]:
+    """Of each feature the quantiles of its values, those of every kind, so that a rare kind has its own."""
+    values = found.select(F.posexplode("features").alias("feature", "value"), *OF.values())
+    values = values.groupBy("feature", "value").agg(*[F.sum(c).alias(c) for c in OF.values()])
+    at = F.lit(np.linspace(0, 1, BINS)[:-1].tolist())
+    edges = [np.zeros(1)] * FEATURES
+    for row in values.groupBy("feature").agg(*[F.percentile("value", at, F.col(c)).alias(c) for c in OF.values()]).collect():
+        edges[row.feature] = np.unique(np.concatenate([row[c] or [] for c in OF.values()]))
+    return edges
+
+
+def _joined(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.Table]:
+    """Batches put together as long as they hold ``rows`` at most."""
+    waiting: list[pa.RecordBatch] = []
     for batch in batches:
-        rows = []
-        for text in batch.column("text").to_pylist():
-            for f, kind in examples(text):
-                key = hashlib.blake2b(repr((f, kind, text[:CONTEXT])).encode(), digest_size=8).digest()
-                rows.append((int.from_bytes(key, "little", signed=True), kind, f))
-        if rows:
-            key, kind, f = zip(*rows, strict=True)
-            parts = [pa.array(key, pa.int64()), pa.array(kind, pa.int32()), pa.array(f, pa.list_(pa.float64()))]
-            yield pa.RecordBatch.from_arrays(parts, ["key", "kind", "features"])
-
-
-def train(docs: DataFrame, text_col: str = "text", sample: int = SAMPLE) -> Model:
-    """Fit trees and thresholds on at most ``sample`` candidates, the first by the order of a hash.
-
-    Every kind takes its share of the sample, so a kind that is everywhere does not push out another.
-    A third is held back to calibrate the thresholds. A kind with too few examples for that is fitted
-    on all of them, repeated, and has a fixed threshold; one without any adds nothing.
+        if waiting and sum(map(len, waiting)) + len(batch) > rows:
+            yield pa.Table.from_batches(waiting)
+            waiting = []
+        waiting.append(batch)
+    if waiting:
+        yield pa.Table.from_batches(waiting)
+
+
+def _blocks(edges: Sequence[np.ndarray], rows: int):
+    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in _joined(batches, rows):
+            x = part.column("features").combine_chunks().flatten().to_numpy().reshape(-1, FEATURES)
+            counts = np.stack([part.column(c).to_numpy() for c in OF.values()])
+            held = np.array(part.column("held").to_pylist(), bool)
+            packed = [pa.array([a.tobytes()], pa.binary()) for a in (binned(x, edges), counts, held)]
+            yield pa.RecordBatch.from_arrays(packed, ["bins", "counts", "held"])
+
+    return blocks
+
+
+def example_blocks(found: DataFrame, rows: int, edges: Sequence[np.ndarray], at_once: int = BLOCK_ROWS) -> RDD:
+    """The examples (``rows`` of them) as ``Block``s with one label for each kind, kept for many passes."""
+    packed = found.coalesce(math.ceil(rows / TASK_ROWS)).mapInArrow(_blocks(edges, at_once), "bins binary, counts binary, held binary").rdd
+
+    def block(row) -> Block:
+        held = np.frombuffer(row.held, bool)
+        counts = np.frombuffer(row.counts, np.int64).reshape(len(OF), len(held))
+        bins = np.frombuffer(row.bins, np.uint8).reshape(FEATURES, len(held))
+        return Block(bins, counts.sum(0), counts[-len(KINDS) :], held)
+
+    return packed.map(block).persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def train(docs: DataFrame, text_col: str = "text") -> Model:
+    """Fit trees and thresholds on all candidates of all texts.
+
+    A third of the texts is held back to calibrate the thresholds. A kind with too few examples for
+    that is fitted on all of them, repeated, and has a fixed threshold; one without any adds nothing.
     """
     prepare(docs.sparkSession)
-    rows = docs.select(docs[text_col].cast("string").alias("text")).where(F.col("text").rlike("[0-9@]|[(\\[](at|AT)[)\\]]"))
-    found = rows.mapInArrow(_sampled, "key bigint, kind int, features array<double>")
-    share = sample // (len(KINDS) + 2)
-    parts = [found.where(F.col("kind") == k).orderBy("key", "features").limit(share) for k in range(PART, len(KINDS))]
-    got = parts[0]
-    for p in parts[1:]:
-        got = got.union(p)
-    got = got.toArrow()
-    x = np.array(got.column("features").to_pylist(), float).reshape(-1, FEATURES)
-    kind, key = got.column("kind").to_numpy(), got.column("key").to_numpy()
-    held = key % 3 == 0
-    trees: list[Trees | None] = []
-    least: list[float] = []
+    found = stored(counted_examples(docs, text_col), "examples")
+    n = {(r.held, k): r[c] for r in found.groupBy("held").agg(*[F.sum(c).alias(c) for c in OF.values()]).collect() for k, c in OF.items()}
+    of = lambda k: (n.get((False, k), 0), n.get((True, k), 0))
+    total = [sum(of(k)[side] for k in OF) for side in (0, 1)]
+    labels, starts = {}, []
     for k in range(len(KINDS)):
-        y = (kind == k).astype(float)
-        if not y.any() or y.all():  # nothing to tell apart
-            trees.append(None)
-            least.append(float("inf"))
-        elif y[~held].sum() < SUPPORT or y[held].sum() < SUPPORT // 2:
-            weight = np.where(y > 0, math.ceil(FEW_SHARE * (y == 0).sum() / y.sum()), 1)
-            trees.append(boost(np.repeat(x, weight, axis=0), np.repeat(y, weight)))
-            least.append(FEW_SURE)
+        fit, held = of(k)
+        hits = fit + held
+        if not hits or hits == sum(total):  # nothing to tell apart
+            continue
+        if fit < SUPPORT or held < SUPPORT // 2:
+            weight = math.ceil(FEW_SHARE * (sum(total) - hits) / hits)
+            labels[k] = Label(k, weight, all_rows=True)
+            starts.append(start_of(weight * hits, sum(total) + (weight - 1) * hits))
         else:
-            trees.append(boost(x[~held], y[~held]))
-            least.append(max(LEAST_SURE, threshold(trees[-1].probability(x[held]), y[held], PRECISION, SUPPORT // 2)))
+            labels[k] = Label(k)
+            starts.append(start_of(fit, total[0]))
+    trees: list[Trees | None] = [None] * len(KINDS)
+    least = [float("inf")] * len(KINDS)
+    if labels:
+        edges = bin_edges(found)
+        blocks = example_blocks(found, found.count(), edges)
+        grown = boost_blocks(blocks, list(labels.values()), starts, edges)
+        tally = score_tally(blocks, list(labels.values()), grown)
+        blocks.unpersist()
+        for (k, label), model, counts in zip(labels.items(), grown, tally, strict=True):
+            trees[k] = model.on(edges)
+            least[k] = FEW_SURE
+            if not label.all_rows:
+                part = np.flatnonzero(counts[:, 1])
+                hits, rows = counts[part].T
+                least[k] = max(LEAST_SURE, threshold(part / SCORE_PARTS, hits, PRECISION, SUPPORT // 2, rows))
+    discard(found)
     return Model(trees, least)
 
 

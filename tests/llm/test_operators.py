@@ -133,6 +133,33 @@ def test_pii_few_examples(spark):
     assert model.least[1] == float("inf") and all(p >= pii.LEAST_SURE for p in model.least)
 
 
+def test_pii_learns_from_all_examples(spark):
+    docs = spark.createDataFrame([*card_texts(1500), (1500, None), (1501, "no number")], "doc_id bigint, text string").repartition(7)
+    found = pii.counted_examples(docs).cache()
+    kinds, rows = [], []
+    for _, text in card_texts(1500):
+        for f, kind in pii.examples(text):
+            kinds.append(kind)
+            rows.append(f)
+    sums = found.agg(*[F.sum(c).alias(c) for c in pii.OF.values()]).first()
+    assert [sums[c] for c in pii.OF.values()] == [kinds.count(k) for k in pii.OF] and sums.n_card > 3_400
+    # counts of distinct rows in blocks of other sizes make the trees that all rows make at once
+    edges, label = pii.bin_edges(found), boosting.Label(2, weight=3, all_rows=True)
+    y = np.array([[k == i for k in kinds] for i in range(4)], np.int64)
+    n = len(kinds)
+    whole = boosting.Block(boosting.binned(np.array(rows, float), edges), np.ones(n, np.int64), y, np.zeros(n, bool))
+    start = boosting.start_of(3 * y[2].sum(), n + 2 * y[2].sum())
+    width = max(map(len, edges)) + 1
+    want = boosting.grow(lambda models, level: boosting.level_sums(whole, [label], models, level, width), [start], trees=5)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "50")
+    for rows_of_block in (50, 10_000):
+        blocks = pii.example_blocks(found, found.count(), edges, rows_of_block)
+        got_trees = boosting.boost_blocks(blocks, [label], [start], edges, trees=5)
+        for a, b in zip(got_trees, want, strict=True):
+            assert (a.feature == b.feature).all() and (a.cut == b.cut).all() and np.allclose(a.leaf, b.leaf, rtol=1e-4, atol=1e-6)
+        blocks.unpersist()
+
+
 def test_boosting_and_threshold():
     rng = np.random.default_rng(3)
     x = rng.normal(size=(4000, 5))
@@ -143,6 +170,8 @@ def test_boosting_and_threshold():
     at = boosting.threshold(p, y[3000:], 0.98, 20)
     assert y[3000:][p >= at].mean() >= 0.98
     assert boosting.threshold(p[:3], y[3000:3003], 0.98, 20) == float("inf")
+    scores, place, rows = np.unique(p, return_inverse=True, return_counts=True)
+    assert boosting.threshold(scores, np.bincount(place, y[3000:]), 0.98, 20, rows) == at
 
 
 def test_language(spark, texts, empty):
