@@ -9,8 +9,9 @@ Lists of a single byte would hold 1/256 of all texts each, so a list takes sever
 * Similarity of word shingles has no such guarantee; there a wide fingerprint and many triples of
   positions propose pairs, and the shingle sets themselves decide. Pairs that differ by scattered
   words are rarely missed, but about a third of those at 0.8 with one block appended or replaced are.
-* ``complete=True`` takes posting lists on the shingles instead: sets of similarity s share a member
-  among the first (1 - s) of each, in any one order of all shingles. No pair is missed.
+* ``complete=True`` lets posting lists on the shingles look for the rest, between the groups that the
+  fingerprints made: sets of similarity s share a member among the first (1 - s) of each, in any one
+  order of all shingles. No pair is missed.
 """
 
 from __future__ import annotations
@@ -97,25 +98,6 @@ def parity(hashes: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.uint64)
 
 
-def near_sketch(words: int = NEAR_WORDS, feature_words: int = FEATURE_WORDS):
-    """UDF: fingerprint lanes of the set of features, then parity and size of the set of shingles."""
-
-    @F.arrow_udf("array<bigint>")
-    def sketches(texts: pa.Array) -> pa.Array:
-        rows = []
-        for t in texts.to_pylist():
-            features, own = (np.unique(shingle_hashes(t, n)) for n in (feature_words, words))
-            with np.errstate(over="ignore"):
-                lanes = [majority(mix(features + np.uint64(i * 0x632BE59BD9B4E019 & (1 << 64) - 1))) for i in range(WIDE_LANES)]
-                rows.append(np.concatenate([np.array(lanes, np.uint64), parity(own), np.array([len(own)], np.uint64)]))
-        wide = WIDE_LANES + PARITY_LONGS + 1
-        values = np.array(rows, np.uint64).view(np.int64).reshape(-1)
-        trim()
-        return pa.ListArray.from_arrays(pa.array(np.arange(0, len(values) + 1, wide), pa.int32()), pa.array(values, pa.int64()))
-
-    return sketches
-
-
 def bucket(hashes: np.ndarray) -> np.ndarray:
     return (mix(hashes) >> np.uint64(64 - RANK_BITS)).astype(np.int64)
 
@@ -151,15 +133,20 @@ def prefix(own: np.ndarray, similarity: float, ranks: np.ndarray) -> np.ndarray:
     return own[np.lexsort((own, ranks[bucket(own)]))[:most]]
 
 
-def prefix_sketch(words: int, similarity: float, ranks: np.ndarray):
-    """UDF: parity and size of the set of shingles, then its rarest members."""
+def near_sketch(words: int, similarity: float, ranks: np.ndarray | None = None, feature_words: int = FEATURE_WORDS):
+    """UDF: fingerprint lanes of the set of features, parity and size of the set of shingles, with ``ranks`` its rarest members."""
 
     @F.arrow_udf("array<bigint>")
     def sketches(texts: pa.Array) -> pa.Array:
         rows = [np.zeros(0, np.uint64)]
         for t in texts.to_pylist():
-            own = np.unique(shingle_hashes(t, words))
-            rows.append(np.concatenate([parity(own), np.array([len(own)], np.uint64), prefix(own, similarity, ranks)]))
+            features, own = (np.unique(shingle_hashes(t, n)) for n in (feature_words, words))
+            with np.errstate(over="ignore"):
+                lanes = [majority(mix(features + np.uint64(i * 0x632BE59BD9B4E019 & (1 << 64) - 1))) for i in range(WIDE_LANES)]
+                parts = [np.array(lanes, np.uint64), parity(own), np.array([len(own)], np.uint64)]
+            if ranks is not None:
+                parts.append(prefix(own, similarity, ranks))
+            rows.append(np.concatenate(parts))
         values = np.concatenate(rows).view(np.int64)
         trim()
         return pa.ListArray.from_arrays(pa.array(np.cumsum([len(r) for r in rows]), pa.int32()), pa.array(values, pa.int64()))
@@ -323,7 +310,7 @@ def _shingle_sets(words: int):
 
 
 def posting_lists(wide: DataFrame) -> DataFrame:
-    """(key, node, weight, lanes) of the lists that hold several of the fingerprints ``wide`` (node, lanes).
+    """(key, node, weight) of the lists that hold several of the fingerprints ``wide`` (node, lanes).
 
     A node's weight is the length of all its lists; in a group of near copies the most typical one
     has most. Lists of one node, nearly all there are, propose nothing and go before anything wide moves.
@@ -332,30 +319,51 @@ def posting_lists(wide: DataFrame) -> DataFrame:
     long = places.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     live = stored(places.join(long, "key"), "lists")
     weights = live.groupBy("node").agg(F.sum("n").alias("weight"))
-    return stored(live.join(weights, "node").join(wide.select("node", *LANES), "node").select("key", "node", "weight", *LANES), "postings")
+    postings = stored(live.join(weights, "node").select("key", "node", "weight"), "postings")
+    discard(live)
+    return postings
 
 
-def to_leaders(postings: DataFrame) -> DataFrame:
-    """One pair (a, b) per node at most: with the heaviest first of its lists that shares enough bytes."""
-    first = postings.groupBy("key").agg(F.max(F.struct("weight", "node", *LANES)).alias("top"))
-    shared = shared_bytes([F.col(c) for c in LANES], [F.col(f"top.{c}") for c in LANES])
-    met = postings.join(first, "key").where((F.col("node") != F.col("top.node")) & (shared >= MIN_SHARED))
-    best = met.groupBy("node").agg(F.max(F.struct("top.weight", "top.node")).alias("best"))
-    return best.select(F.col("node").alias("a"), F.col("best.node").alias("b"))
+def to_leaders(postings: DataFrame, wide: DataFrame) -> DataFrame:
+    """One pair (a, b) per node at most: with the heaviest first of its lists that shares enough bytes.
+
+    Fingerprints meet in many lists, so pairs are made distinct before the bytes (``wide``: node, lanes) are looked up.
+    """
+    first = postings.groupBy("key").agg(F.max(F.struct("weight", "node")).alias("top"))
+    met = postings.join(first, "key").where(F.col("node") != F.col("top.node"))
+    met = stored(met.select(F.col("node").alias("a"), F.col("top.node").alias("b"), F.col("top.weight").alias("w")).distinct(), "met")
+    pairs = met
+    for side in "ab":
+        pairs = pairs.join(wide.select(F.col("node").alias(side), *[F.col(c).alias(f"{side}_{c}") for c in LANES]), side)
+    shared = shared_bytes([F.col(f"a_{c}") for c in LANES], [F.col(f"b_{c}") for c in LANES])
+    best = pairs.where(shared >= MIN_SHARED).groupBy("a").agg(F.max(F.struct("w", "b")).alias("best"))
+    leaders = stored(best.select("a", F.col("best.b").alias("b")), "leaders")
+    discard(met)
+    return leaders
 
 
-def prefix_lists(prints: DataFrame) -> DataFrame:
-    """(key, node, weight) of the lists of rarest shingles that hold several nodes; see ``posting_lists``.
+def prefix_lists(prints: DataFrame, groups: DataFrame) -> DataFrame:
+    """(key, node, of, weight) of the lists of rarest shingles that hold nodes of several groups; see ``posting_lists``.
 
-    ``prints`` (digest, keys) may repeat a digest. A list is known to hold several by its least and
-    greatest node, so copies count once and only what is left is made distinct and counted.
+    ``prints`` (digest, keys) may repeat a digest; ``groups`` is (node, component) of nodes with a link,
+    any other node is a group by itself. A list is known to hold several by its least and greatest
+    group, so copies count once and only what is left is made distinct and counted.
     """
-    places = prints.select(F.col("digest").alias("node"), F.explode("keys").alias("key"))
-    several = places.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high")
-    live = stored(places.join(several.select("key"), "key", "left_semi").distinct(), "lists")
+    known = small_side(groups.select(F.col("node").alias("digest"), "component"), SMALL_ENDS)
+    places = prints.join(known, "digest", "left").select(
+        F.col("digest").alias("node"), F.coalesce("component", "digest").alias("of"), F.explode("keys").alias("key")
+    )
+    several = places.groupBy("key").agg(F.min("of").alias("low"), F.max("of").alias("high")).where("low < high")
+    several = stored(several.select("key"), "several")
+    # most places go here, so the group is looked up again for those that stay
+    live = prints.select(F.col("digest").alias("node"), F.explode("keys").alias("key")).join(several, "key", "left_semi")
+    live = stored(live.distinct(), "lists")
+    discard(several)
     long = live.groupBy("key").agg(F.count("*").alias("n"))
     weights = live.join(long, "key").groupBy("node").agg(F.sum("n").alias("weight"))
-    postings = stored(live.join(weights, "node").select("key", "node", "weight"), "postings")
+    named = known.withColumnRenamed("digest", "node")
+    postings = live.join(weights, "node").join(named, "node", "left").select("key", "node", F.coalesce("component", "node").alias("of"), "weight")
+    postings = stored(postings, "postings")
     discard(live)
     return postings
 
@@ -371,14 +379,14 @@ def allowed(similarity: float) -> Column:
 
 
 def prefix_leaders(postings: DataFrame, sketches: DataFrame, similarity: float) -> DataFrame:
-    """One pair (a, b) per node at most: with the heaviest first of its lists that its sketch allows."""
-    first = postings.groupBy("key").agg(F.max(F.struct("weight", "node")).alias("top"))
-    met = postings.join(first, "key").where(F.col("node") != F.col("top.node"))
+    """One pair (a, b) per node at most: with the heaviest first of its lists that is of another group and its sketch allows."""
+    first = postings.groupBy("key").agg(F.max(F.struct("weight", "node", "of")).alias("top"))
+    met = postings.join(first, "key").where(F.col("of") != F.col("top.of"))
     met = stored(met.select(F.col("node").alias("a"), F.col("top.node").alias("b"), F.col("top.weight").alias("w")).distinct(), "met")
     for side in "ab":
         met = met.join(sketches.select(*[F.col(c).alias(x) for c, x in (("digest", side), ("parity", f"{side}_parity"), ("size", f"{side}_size"))]), side)
     best = met.where(allowed(similarity)).groupBy("a").agg(F.max(F.struct("w", "b")).alias("best"))
-    return best.select("a", F.col("best.b").alias("b"))
+    return stored(best.select("a", F.col("best.b").alias("b")), "leaders")
 
 
 def between_groups(
@@ -386,12 +394,12 @@ def between_groups(
 ) -> DataFrame:
     """Pairs (a, b) of nodes of different groups that share enough bytes and whose parity allows the similarity.
 
-    ``sketches`` is (digest, parity, size), ``groups`` (node, component) of nodes with a link. Without
+    ``sketches`` is (digest, parity, size, lanes), ``groups`` (node, component) of nodes with a link. Without
     ``lanes`` there are no bytes to compare.
     """
     named = groups.select(F.col("node").alias("g"), "component")
     tagged = postings.join(named, postings["node"] == named["g"], "left").select(
-        "key", "node", *lanes, F.coalesce("component", "node").alias("of")
+        "key", "node", F.coalesce("component", "node").alias("of")
     )
     mixed = tagged.groupBy("key").agg(F.min("of").alias("low"), F.max("of").alias("high")).where("low < high").select("key")
     rows = tagged.join(mixed, "key").join(sketches.withColumnRenamed("digest", "node"), "node")
@@ -401,7 +409,9 @@ def between_groups(
     if lanes:
         meet = meet & (shared_bytes([F.col(f"a_{c}") for c in lanes], [F.col(f"b_{c}") for c in lanes]) >= MIN_SHARED)
     meet = meet & allowed(similarity)
-    return a.join(b, "key").where(meet).select(F.col("a_node").alias("a"), F.col("b_node").alias("b")).distinct()
+    found = stored(a.join(b, "key").where(meet).select(F.col("a_node").alias("a"), F.col("b_node").alias("b")).distinct(), "rest")
+    discard(rows)
+    return found
 
 
 def shingle_sets(texts: DataFrame, nodes: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
@@ -444,45 +454,61 @@ def near_links(
 ) -> DataFrame:
     """Links (a, b) of digests of different texts that join up the same groups as all proposed similar pairs do.
 
-    ``nodes`` has one row per different text: digest, fingerprint lanes (not with ``prefixes``), parity
+    ``nodes`` has one row per different text: digest, fingerprint lanes, parity
     and size of its shingles, and the ``id`` and ``own`` hash of a row of ``docs`` (id, text) that holds
-    it. ``prefixes`` (digest, keys) has the rarest shingles of each text; it is stored and deleted after
-    use. The index of fingerprints of two-word features proposes most similar
-    pairs, that of the rarest shingles every one; the Jaccard similarity of the whole sets of
-    ``words``-word shingles decides. Thousands of near copies of one text would make millions of pairs;
+    it. The index of fingerprints of two-word features proposes most similar pairs; the Jaccard
+    similarity of the whole sets of ``words``-word shingles decides. Thousands of near copies of one
+    text would make millions of pairs;
     so each text is first compared with the leader of its lists, and then only with texts of other
     groups, where their parities do not rule the similarity out. A proposed pair left out either is
     in one group already or cannot be similar.
+
+    ``prefixes`` (digest, keys) has the rarest shingles of each text; it is stored and deleted after use.
+    The lists of these propose every similar pair between the groups that the fingerprints made, and
+    go through the same steps.
     """
-    if prefixes is not None:
-        postings = prefix_lists(prefixes)
-        discard(prefixes)  # the longest table of the stage; what follows reads the lists
-        pairs = stored(prefix_leaders(postings, nodes.select("digest", "parity", "size"), similarity), "pairs")
-        return _joined_up(docs, nodes, postings, pairs, words, similarity, [])
     heads = nodes.groupBy(*LANES).agg(F.min("digest").alias("node"))
     heads = stored(heads, "heads")
     postings = posting_lists(heads)
     # different texts with one fingerprint meet through the first of them
     alike = nodes.join(heads, LANES).where("digest <> node").select(F.col("node").alias("a"), F.col("digest").alias("b"))
-    pairs = stored(to_leaders(postings).union(alike), "pairs")
-    return _joined_up(docs, nodes, postings, pairs, words, similarity, LANES)
+    pairs = to_leaders(postings, heads).union(alike)
+    links = _joined_up(docs, nodes, postings, pairs, words, similarity, LANES)
+    discard(postings)
+    if prefixes is None:
+        return links
+    postings = prefix_lists(prefixes, components(links))
+    discard(prefixes)  # the longest table of the stage; what follows reads the lists
+    pairs = prefix_leaders(postings, nodes.select("digest", "parity", "size"), similarity)
+    return links.union(_joined_up(docs, nodes, postings.drop("of"), pairs, words, similarity, [], links))
 
 
 def _joined_up(
-    docs: DataFrame, nodes: DataFrame, postings: DataFrame, pairs: DataFrame, words: int, similarity: float, lanes: Sequence[str]
+    docs: DataFrame,
+    nodes: DataFrame,
+    postings: DataFrame,
+    pairs: DataFrame,
+    words: int,
+    similarity: float,
+    lanes: Sequence[str],
+    known: DataFrame | None = None,
 ) -> DataFrame:
-    """The similar ones of ``pairs``, then those of the lists that lie between the groups these make."""
+    """The similar ones of ``pairs``, then those of the lists that lie between the groups these make with the ``known`` links."""
     texts = docs.withColumn("hash", F.xxhash64("text"))
     sets = stored(shingle_sets(texts, nodes, ends(pairs), words), "shingles")
     near = stored(verified(pairs, sets, similarity), "near")
-    sketches = nodes.select("digest", "parity", "size")
-    rest = stored(between_groups(postings, sketches, components(near), similarity, lanes), "rest")
+    sketches = nodes.select("digest", "parity", "size", *lanes)
+    groups = components(near if known is None else near.union(known))
+    rest = between_groups(postings, sketches, groups, similarity, lanes)
     wanted = stored(ends(rest), "ends")
     more = wanted.join(sets.select("digest"), "digest", "left_anti")
     more = stored(shingle_sets(texts, nodes, more, words), "shingles")
     # only sets that a pair still asks for are shuffled
     held = sets.join(small_side(wanted, SMALL_ENDS), "digest", "left_semi")
-    return near.union(verified(rest, held.unionByName(more), similarity))
+    links = stored(near.union(verified(rest, held.unionByName(more), similarity)), "links")
+    for done in (sets, more, rest, wanted, near):
+        discard(done)
+    return links
 
 
 def drop_near_duplicates(
@@ -495,7 +521,7 @@ def drop_near_duplicates(
 ) -> DataFrame:
     """``docs`` with one row of each group of exact and near copies, the one with the smallest id.
 
-    ``complete`` finds every pair of that similarity; without it the fingerprints may miss some.
+    The index of fingerprints proposes pairs and may miss some; ``complete`` also finds all others of that similarity.
 
     Texts equal up to the case of A-Z and white space are copies. Rows without words are one group.
     A null id comes after all others. Of rows that repeat an id, the one whose text hashes lowest
@@ -504,20 +530,16 @@ def drop_near_duplicates(
     prepare(docs.sparkSession)
     rows = pick(docs, id_col, text_col).withColumn("text", F.coalesce("text", F.lit("")))
     plain = F.trim(F.regexp_replace(F.translate("text", UPPER, UPPER.lower()), "[\\x20\\x09-\\x0D]+", " "))
-    sketch = prefix_sketch(words, similarity, shingle_ranks(rows, words)) if complete else near_sketch(words)
+    sketch = near_sketch(words, similarity, shingle_ranks(rows, words) if complete else None)
     prints = rows.select("id", F.xxhash64("text").alias("own"), F.xxhash64(plain).alias("digest"), sketch(F.col("text")).alias("f"))
+    held = [F.col("f")[i].alias(c) for i, c in enumerate(LANES)]
+    held += [F.slice("f", WIDE_LANES + 1, PARITY_LONGS).alias("parity"), F.col("f")[WIDE_LANES + PARITY_LONGS].alias("size")]
+    facts = [*LANES, "size", "parity"]
     if complete:
-        held = [F.col("f")[PARITY_LONGS].alias("size"), F.slice("f", 1, PARITY_LONGS).alias("parity")]
-        held.append(F.slice("f", F.lit(PARITY_LONGS + 2), F.size("f")).alias("keys"))
-        names = ["size", "parity", "keys"]
-    else:
-        held = [F.col("f")[i].alias(c) for i, c in enumerate(LANES)]
-        held += [F.element_at("f", -1).alias("size"), F.slice("f", WIDE_LANES + 1, PARITY_LONGS).alias("parity")]
-        names = [*LANES, "size", "parity"]
+        held.append(F.slice("f", F.lit(WIDE_LANES + PARITY_LONGS + 2), F.size("f")).alias("keys"))
     prints = stored(prints.select("id", "own", "digest", *held), "wide")
     place = F.struct(F.col("id").isNull().alias("none"), "id", "own")
     # the rarest shingles stay where they are: they are long and needed once
-    facts = [n for n in names if n != "keys"]
     nodes = prints.groupBy("digest").agg(F.min(place).alias("at"), F.min(F.struct(*facts)).alias("of"))
     nodes = stored(nodes.select("digest", "of.*", "at.none", "at.id", "at.own"), "nodes")
     repeated = prints.groupBy("id", "own").count().where("count > 1").limit(1).count()

@@ -328,6 +328,36 @@ def test_near_copies_with_one_block_changed(spark):
     assert kept == want and 120 < len(want) < 200
 
 
+def test_near_copies_come_from_the_fingerprint_index(spark, monkeypatch):
+    rng = np.random.default_rng(13)
+    texts = {}
+    for i in range(0, 120, 3):  # scattered words, which the fingerprints find; then a block at the end
+        base = [f"w{x}" for x in rng.integers(0, 10**6, 300)]
+        texts[i] = " ".join(base)
+        texts[i + 1] = " ".join(["y" if j == i else w for j, w in enumerate(base)])
+        texts[i + 2] = " ".join(base + [f"z{x}" for x in rng.integers(0, 10**6, 70)])
+    proposed, grouped = [], []
+    to_leaders, prefix_lists = simhash.to_leaders, simhash.prefix_lists
+
+    def leaders(postings, wide):
+        proposed.append(to_leaders(postings, wide))
+        return proposed[0]
+
+    def lists(prints, groups):
+        grouped.append(simhash.stored(groups, "grouped"))
+        found = prefix_lists(prints, grouped[0])
+        assert found.groupBy("key").agg(F.countDistinct("of").alias("n")).where("n < 2").count() == 0
+        return found
+
+    monkeypatch.setattr(simhash, "to_leaders", leaders)
+    monkeypatch.setattr(simhash, "prefix_lists", lists)
+    docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    kept = {r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, FOLDER).collect()}
+    assert kept == brute.near_groups(texts) == set(range(0, 120, 3))
+    # 40 originals and 40 near copies at least come from the index, the lists of shingles find the rest
+    assert proposed[0].count() >= 40 and 80 <= grouped[0].count() < 120
+
+
 def test_components(spark):
     links = [(i, i + 1) for i in range(1, 60)] + [(200 + i, 200) for i in range(1, 50)] + [(500, 501)]
     rows = {r.node: r.component for r in simhash.components(spark.createDataFrame(links, "a bigint, b bigint")).collect()}
