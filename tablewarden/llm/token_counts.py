@@ -13,7 +13,9 @@ import re
 import uuid
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import public_tokenizers
 import sentencepiece
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -27,8 +29,8 @@ from tablewarden.session import shared_folder
 MODEL = "piece_bpe_32k.model"
 TOKEN_LIMIT = 4096
 SPACE_MARK = "▁"
-# Words whose counts a worker remembers; it starts anew beyond.
-REMEMBERED = 500_000
+# Texts or words that go to the library in one call.
+AT_ONCE = 1 << 14
 
 
 def tokenizer_version(model: bytes) -> str:
@@ -60,32 +62,36 @@ class Counter:
     def __init__(self, model: bytes):
         self.library = sentencepiece.SentencePieceProcessor(model_proto=model)
         self.by_word = splits_at_spaces(model)
-        self.known: dict[str, int] = {}
-
-    def _whole(self, texts: list[str]) -> list[int]:
-        return [len(ids) for ids in self.library.encode(texts, num_threads=1)]
-
-    def count(self, text: str) -> int:
-        words = text.replace(SPACE_MARK, " ").split(" ")
-        if not self.by_word or "" in words:  # spaces side by side, first or last are pieces together
-            return self._whole([text])[0]
-        try:
-            return sum(map(self.known.__getitem__, words))
-        except KeyError:
-            missing = list(set(words).difference(self.known))
-            if len(self.known) + len(missing) > REMEMBERED:
-                self.known.clear()
-                missing = list(set(words))
-            self.known.update(zip(missing, self._whole(missing), strict=True))
-            return sum(map(self.known.__getitem__, words))
+
+    def _whole(self, texts: pa.Array) -> np.ndarray:
+        """Tokens of each text, encoded as it is."""
+        n = np.zeros(len(texts), np.int64)
+        for at in range(0, len(texts), AT_ONCE):
+            part = texts.slice(at, AT_ONCE).to_pylist()
+            n[at : at + AT_ONCE] = [len(ids) for ids in self.library.encode(part, num_threads=1)]
+        return n
+
+    def count(self, texts: pa.Array) -> np.ndarray:
+        """Tokens of each of ``texts`` (normalised); every different word of them is encoded once."""
+        if not self.by_word:
+            return self._whole(texts)
+        # spaces side by side, first or last are pieces together: such a text is counted whole
+        odd = pc.match_substring_regex(texts, "^ |  | $|^$").to_numpy(zero_copy_only=False)
+        n = np.zeros(len(texts), np.int64)
+        n[odd] = self._whole(texts.filter(pa.array(odd)))
+        split = pc.split_pattern(texts.filter(pa.array(~odd)), " ")
+        words = split.flatten().dictionary_encode()
+        sums = np.concatenate([[0], np.cumsum(self._whole(words.dictionary)[words.indices.to_numpy()])])
+        n[~odd] = np.diff(sums[np.cumsum(pc.list_value_length(split).to_numpy())], prepend=0)
+        return n
 
 
 def _encode(model: bytes):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = Counter(model)
         for batch in batches:
-            n = [counter.count(t) for t in batch.column("content").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("digest"), pa.array(n, pa.int64())], ["digest", "n_tokens"])
+            n = pa.array(counter.count(batch.column("content")))
+            yield pa.RecordBatch.from_arrays([batch.column("digest"), n], ["digest", "n_tokens"])
 
     return encode
 

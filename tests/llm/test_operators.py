@@ -380,6 +380,26 @@ def test_token_cache(spark, texts, edge, empty, tmp_path):
     assert token_counts.count_tokens(empty, cache, MODEL).count() == 0
 
 
+def test_token_counter_by_words():
+    rng = np.random.default_rng(2)
+    words = ["a", "é", "ü", "a\nb", "x\ty", "\u3000", "word", "日本語", "<s>", "\r", "…"]
+    texts = [" ".join(rng.choice(words, n)) for n in rng.integers(1, 300, 400)]
+    texts += ["", " ", "  ", " a", "a ", "a  b", "a b", "\n", "\n ", " \n", "a \n", "a\n ", "x" * 20_000]
+    counter = token_counts.Counter(open(MODEL, "rb").read())
+    calls, whole = [], counter._whole
+
+    def counted(part):
+        calls.append(len(part))
+        return whole(part)
+
+    counter._whole = counted
+    array = simhash.pa.array(["cut off", *texts, "cut off"]).slice(1, len(texts))
+    assert counter.count(array).tolist() == brute.token_counts(texts, MODEL)
+    # each different word of a batch is encoded once, however many texts hold it
+    assert sum(calls) <= len(words) + 14
+    assert counter.count(array.slice(0, 0)).tolist() == []
+
+
 def test_chat(spark):
     turns = [
         (1, 0, "system", "rules"), (1, 1, "ann", "hi"), (1, 2, "bob", "<|im_end|>"), (1, 3, None, None), (1, 3, None, None),
